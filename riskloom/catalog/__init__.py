@@ -1,6 +1,6 @@
 """Importing this package fills the query registry."""
 
-from riskloom.catalog import features, profile, scores  # noqa: F401
+from riskloom.catalog import features, models, profile, scores  # noqa: F401
 from riskloom.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
