@@ -46,20 +46,17 @@ class Profile:
 
 
 def measure_column(m: Measure) -> Column:
-    value = F.col(m.column)
+    fn = {"mean": "avg"}.get(m.fn, m.fn)
     if m.subset is None:
-        if m.fn == "sum":
-            return F.coalesce(F.sum(value), F.lit(0)).alias(m.name)
-        return getattr(F, {"mean": "avg"}.get(m.fn, m.fn))(value).alias(m.name)
-    chosen = F.col(m.subset) == 1
-    inside = F.when(chosen, value)
-    any_row = F.max(F.when(chosen, 1)).isNotNull()
-    # An applicant without a row in the subset has no measure at all, not a zero.
-    if m.fn == "sum":
-        return F.when(any_row, F.coalesce(F.sum(inside), F.lit(0))).alias(m.name)
-    if m.fn == "count":
-        return F.when(any_row, F.count(inside)).alias(m.name)
-    return getattr(F, {"mean": "avg"}.get(m.fn, m.fn))(inside).alias(m.name)
+        body = f"{fn}(`{m.column}`)"
+        return F.expr(f"coalesce({body}, 0)" if fn == "sum" else body).alias(m.name)
+    body = f"{fn}(`{m.column}`) FILTER (WHERE `{m.subset}` = 1)"
+    if fn == "sum":
+        body = f"coalesce({body}, 0)"
+    if fn in ("sum", "count"):
+        # An applicant without a row in the subset has no measure at all, not a zero.
+        body = f"CASE WHEN count_if(`{m.subset}` = 1) > 0 THEN {body} END"
+    return F.expr(body).alias(m.name)
 
 
 def profile_children(df: DataFrame, profile: Profile, key: str = KEY) -> DataFrame:

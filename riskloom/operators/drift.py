@@ -13,9 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import band_below, numeric_columns
-from riskloom.plans.ordering import percentiles_of, running_totals
-from riskloom.plans.shape import summarise, tall
+from riskloom.functions.columns import band_below, flag, numeric_columns
+from riskloom.plans.ordering import percentile_aggs, percentile_sql, running_totals
+from riskloom.plans.shape import rounded, summarise, tall
 
 # Null bin, smoothing, bands and alert limits.
 NULL_BIN = -999.0
@@ -53,135 +53,136 @@ def null_rates(
 def side_by_side(
     reference: DataFrame, current: DataFrame, features: Sequence[str], null_as: float | None
 ) -> DataFrame:
-    """Running totals per (feature, value) of both tables: ``ref``/``cur`` counts."""
-    both = tall(reference, features).withColumns({"_r": F.lit(1), "_c": F.lit(0)}).unionByName(
-        tall(current, features).withColumns({"_r": F.lit(0), "_c": F.lit(1)})
+    """Running totals per (feature, value) of both tables: counts ``ref``/``cur`` and,
+    among them, the missing values ``ref_null``/``cur_null``."""
+    both = tall(reference, features).withColumn("_r", F.lit(True)).unionByName(
+        tall(current, features).withColumn("_r", F.lit(False))
     )
-    if null_as is not None:
-        both = both.withColumn("value", F.coalesce("value", F.lit(null_as)))
-    return running_totals(both, ["feature"], "value", {"ref": F.col("_r"), "cur": F.col("_c")})
+    rows = both.select(
+        "feature",
+        (F.coalesce("value", F.lit(null_as)) if null_as is not None else F.col("value")).alias(
+            "value"
+        ),
+        flag(F.col("_r")).alias("_ref"),
+        flag(~F.col("_r")).alias("_cur"),
+        flag(F.col("value").isNull()).alias("_null"),
+    )
+    sums = {
+        "ref": F.col("_ref"),
+        "cur": F.col("_cur"),
+        "ref_null": F.col("_ref") * F.col("_null"),
+        "cur_null": F.col("_cur") * F.col("_null"),
+    }
+    return running_totals(rows, ["feature"], "value", sums)
 
 
-def ks_expr() -> Column:
-    ref = F.try_divide(
-        (F.col("before_ref") + F.col("ref")).cast("double"), F.col("total_ref").cast("double")
-    )
-    cur = F.try_divide(
-        (F.col("before_cur") + F.col("cur")).cast("double"), F.col("total_cur").cast("double")
-    )
-    return F.max(F.abs(ref - cur))
+KS_SQL = """max(abs(
+  try_divide(CAST(before_ref + ref AS DOUBLE), CAST(total_ref AS DOUBLE))
+  - try_divide(CAST(before_cur + cur AS DOUBLE), CAST(total_cur AS DOUBLE))))"""
 
+# linspace(lo, hi + pad, d + 1) over the d distinct reference values
+UNIFORM_SQL = f"""transform(sequence(0L, d), i -> CASE WHEN i = d THEN hi + {EDGE_PAD!r}D
+  ELSE lo + i * ((hi + {EDGE_PAD!r}D - lo) / d) END)"""
 
-def bin_edges(totals: DataFrame, n_bins: int = 10, fallback: bool = True) -> DataFrame:
-    """(feature, edges) from the reference side.
 
-    Percentile edges; with ``fallback`` a reference of fewer than ``n_bins``
-    distinct values gets uniform edges instead.
+def feature_summary(totals: DataFrame, n_bins: int = 10) -> DataFrame:
+    """Everything read off the running totals in one aggregate, one row per feature.
+
+    ``quantile_edges`` are the reference percentiles; ``edges`` the same unless the
+    reference has fewer than ``n_bins`` distinct values, then uniform ones.
     """
-    ref_side = totals.where(F.col("ref") > 0)
-    names = {f"_e{i}": i / n_bins for i in range(n_bins + 1)}
-    own = ref_side.select(
-        "feature",
-        "value",
-        F.col("ref").alias("n"),
-        F.col("before_ref").alias("before_n"),
-        F.col("total_ref").alias("total_n"),
-    )
-    quantiles = percentiles_of(own, ["feature"], "value", names).select(
-        "feature", F.array(*[F.col(n) for n in names]).alias("edges")
-    )
-    if not fallback:
-        return quantiles
-    spread = ref_side.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("_d"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
-    )
-    # linspace(lo, hi + pad, d + 1) with d = number of distinct values
-    step = (F.col("_hi") + EDGE_PAD - F.col("_lo")) / F.col("_d")
-    uniform = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.col("_d")),
-        lambda i: F.when(i == F.col("_d"), F.col("_hi") + EDGE_PAD).otherwise(
-            F.col("_lo") + i * step
-        ),
+    names = {f"e{i}": i / n_bins for i in range(n_bins + 1)}
+    out = totals.groupBy("feature").agg(
+        *percentile_aggs("value", names, "ref"),
+        F.expr("count_if(ref > 0) AS d"),
+        F.expr("min(value) FILTER (WHERE ref > 0) AS lo"),
+        F.expr("max(value) FILTER (WHERE ref > 0) AS hi"),
+        F.expr(f"{KS_SQL} AS ks"),
+        F.expr("sum(ref) AS ref_total"),
+        F.expr("sum(cur) AS cur_total"),
+        F.expr("sum(ref_null) AS ref_nulls"),
+        F.expr("sum(cur_null) AS cur_nulls"),
     )
-    return quantiles.join(spread, "feature").select(
-        "feature", F.when(F.col("_d") < n_bins, uniform).otherwise(F.col("edges")).alias("edges")
+    quantiles = "array(" + ", ".join(percentile_sql(n) for n in names) + ")"
+    return out.selectExpr(
+        "feature",
+        f"{quantiles} AS quantile_edges",
+        f"CASE WHEN d > 0 AND d < {n_bins} THEN {UNIFORM_SQL} ELSE {quantiles} END AS edges",
+        "d",
+        "lo",
+        "hi",
+        "ks",
+        "ref_total",
+        "cur_total",
+        "try_divide(CAST(ref_nulls AS DOUBLE), CAST(ref_total AS DOUBLE)) AS ref_null_rate",
+        "try_divide(CAST(cur_nulls AS DOUBLE), CAST(cur_total AS DOUBLE)) AS cur_null_rate",
     )
 
 
-def unique_edges(edges: DataFrame) -> DataFrame:
-    return edges.withColumn("edges", F.array_sort(F.array_distinct("edges")))
+def known_edges(summary: DataFrame) -> DataFrame:
+    """The summary with distinct percentile edges in place of ``edges``."""
+    return summary.withColumn("edges", F.array_sort(F.array_distinct("quantile_edges")))
 
 
-def histograms(totals: DataFrame, edges: DataFrame, max_bins: int = 10) -> DataFrame:
-    """(feature, bin, ref_n, cur_n): half-open bins, the last one closed.
+def bin_counts(totals: DataFrame, summary: DataFrame, max_bins: int = 10) -> DataFrame:
+    """The summary with ``ref_n`` and ``cur_n`` per bin and the current values outside.
 
-    Values outside the edges are not counted. A bin count is the difference of two
-    counts of smaller values, so repeated edges give empty bins.
+    Bins are half-open, the last one closed. A count is the difference of two counts
+    of smaller values, so repeated edges give empty bins and values outside the edges
+    are not counted.
     """
-    edge = [F.get("edges", F.lit(i)) for i in range(max_bins + 1)]
-    last = F.size("edges") - 1
-    # edges hold one short array per feature: the size is that of the schema
-    rows = totals.join(F.broadcast(edges), "feature")
-    below = []
-    for side in ("ref", "cur"):
-        for i in range(max_bins + 1):
-            inside = (F.col("value") < edge[i]) | (
-                (F.lit(i) == last) & (F.col("value") == edge[i])
-            )
-            below.append(
-                F.coalesce(F.sum(F.when(inside, F.col(side))), F.lit(0)).alias(f"_{side}{i}")
-            )
-    counted = rows.groupBy("feature").agg(*below, F.max(last).alias("_bins"))
-    bins = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("bin"),
-                (F.col(f"_ref{i + 1}") - F.col(f"_ref{i}")).alias("ref_n"),
-                (F.col(f"_cur{i + 1}") - F.col(f"_cur{i}")).alias("cur_n"),
-            )
-            for i in range(max_bins)
-        ]
+    below = [
+        f"coalesce(sum({side}) FILTER (WHERE value < edges[{i}]"
+        f" OR ({i} = size(edges) - 1 AND value = edges[{i}])), 0) AS {side}{i}"
+        for side in ("ref", "cur")
+        for i in range(max_bins + 1)
+    ]
+    outside = "coalesce(sum(cur) FILTER (WHERE value < lo OR value > hi), 0) AS n_outside"
+    # short arrays per feature: the size of the summary is that of the schema
+    rows = totals.select("feature", "value", "ref", "cur").join(
+        F.broadcast(summary.select("feature", _guarded_edges(max_bins), "lo", "hi")), "feature"
     )
-    used = F.filter(bins, lambda b: b["bin"] < F.col("_bins"))
-    return counted.select("feature", F.inline(used))
-
-
-def psi_from_counts(hist: DataFrame, keys: Sequence[str] = ("feature",)) -> DataFrame:
-    """PSI with the smoothing added to the counts before they become shares."""
-    size = hist.groupBy(*keys).agg(
-        F.sum(F.col("ref_n") + EPSILON).alias("_r"), F.sum(F.col("cur_n") + EPSILON).alias("_c")
-    )
-    ref, cur = (F.col("ref_n") + EPSILON) / F.col("_r"), (F.col("cur_n") + EPSILON) / F.col("_c")
-    return hist.join(F.broadcast(size), list(keys)).groupBy(*keys).agg(
-        F.sum((cur - ref) * F.log(cur / ref)).alias("psi")
+    counted = rows.groupBy("feature").agg(*[F.expr(b) for b in below], F.expr(outside))
+
+    def bins(side: str) -> str:
+        steps = ", ".join(f"{side}{i + 1} - {side}{i}" for i in range(max_bins))
+        return f"array({steps}) AS _{side}"
+
+    packed = counted.selectExpr("feature", bins("ref"), bins("cur"), "n_outside")
+    return summary.join(F.broadcast(packed), "feature").selectExpr(
+        *summary.columns,
+        "slice(_ref, 1, greatest(size(edges) - 1, 0)) AS ref_n",
+        "slice(_cur, 1, greatest(size(edges) - 1, 0)) AS cur_n",
+        "n_outside",
     )
 
 
-def psi_from_shares(
-    hist: DataFrame, sizes: DataFrame, keys: Sequence[str] = ("feature",)
-) -> DataFrame:
-    """PSI with the smoothing added to the shares of all known values.
+def _guarded_edges(max_bins: int) -> Column:
+    """Edges padded with NULL to a fixed length, so an index never runs over."""
+    return F.expr(f"transform(sequence(0, {max_bins}), i -> get(edges, i)) AS edges")
 
-    ``sizes`` carries ``ref_total`` and ``cur_total`` per key.
-    """
-    ref = F.col("ref_n") / F.col("ref_total") + EPSILON
-    cur = F.col("cur_n") / F.col("cur_total") + EPSILON
-    return hist.join(F.broadcast(sizes), list(keys)).groupBy(*keys).agg(
-        F.sum((cur - ref) * F.log(cur / ref)).alias("psi")
+
+def histograms(counts: DataFrame) -> DataFrame:
+    """(feature, bin, ref_n, cur_n) of packed bin counts."""
+    return counts.selectExpr(
+        "feature",
+        "inline(transform(ref_n, (n, i) -> struct(i AS bin, n AS ref_n, cur_n[i] AS cur_n)))",
     )
 
 
-def outside_counts(totals: DataFrame) -> DataFrame:
-    """Current values beyond the reference range, which no bin counts."""
-    is_ref = F.col("ref") > 0
-    span = totals.groupBy("feature").agg(
-        F.min(F.when(is_ref, F.col("value"))).alias("_lo"),
-        F.max(F.when(is_ref, F.col("value"))).alias("_hi"),
-    )
-    beyond = (F.col("value") < F.col("_lo")) | (F.col("value") > F.col("_hi"))
-    return totals.join(F.broadcast(span), "feature").groupBy("feature").agg(
-        F.coalesce(F.sum(F.when(beyond, F.col("cur"))), F.lit(0)).alias("n_outside")
-    )
+# Smoothing added to the counts before they become shares of the counted values.
+PSI_COUNTS_SQL = f"""aggregate(
+  transform(ref_n, (n, i) -> struct(
+    (n + {EPSILON!r}D) / aggregate(ref_n, 0D, (a, x) -> a + x + {EPSILON!r}D) AS r,
+    (cur_n[i] + {EPSILON!r}D) / aggregate(cur_n, 0D, (a, x) -> a + x + {EPSILON!r}D) AS c)),
+  0D, (a, t) -> a + (t.c - t.r) * ln(t.c / t.r))"""
+
+# Smoothing added to the shares of all known values.
+PSI_SHARES_SQL = f"""aggregate(
+  transform(ref_n, (n, i) -> struct(
+    try_divide(n, ref_total) + {EPSILON!r}D AS r,
+    try_divide(cur_n[i], cur_total) + {EPSILON!r}D AS c)),
+  0D, (a, t) -> a + (t.c - t.r) * ln(t.c / t.r))"""
 
 
 def psi(
@@ -189,28 +190,23 @@ def psi(
 ) -> DataFrame:
     """Null-aware PSI per feature: missing values form their own bin."""
     totals = side_by_side(reference, current, features, NULL_BIN)
-    return psi_from_counts(histograms(totals, bin_edges(totals, n_bins), n_bins))
+    counts = bin_counts(totals, feature_summary(totals, n_bins), n_bins)
+    return counts.selectExpr("feature", f"{PSI_COUNTS_SQL} AS psi")
 
 
 def psi_known_values(
     reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10
 ) -> DataFrame:
     """PSI over the known values only, on distinct percentile edges."""
-    return _known_psi(side_by_side(reference, current, features, None), n_bins)
-
-
-def _known_psi(totals: DataFrame, n_bins: int) -> DataFrame:
-    edges = unique_edges(bin_edges(totals, n_bins, fallback=False))
-    sizes = totals.groupBy("feature").agg(
-        F.max("total_ref").alias("ref_total"), F.max("total_cur").alias("cur_total")
-    )
-    return psi_from_shares(histograms(totals, edges, n_bins), sizes)
+    totals = side_by_side(reference, current, features, None)
+    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    return counts.selectExpr("feature", f"{PSI_SHARES_SQL} AS psi")
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """Two-sample KS distance per feature, missing values as one point."""
     totals = side_by_side(reference, current, features, NULL_BIN)
-    return totals.groupBy("feature").agg(ks_expr().alias("ks"))
+    return totals.groupBy("feature").agg(F.expr(f"{KS_SQL} AS ks"))
 
 
 def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column) -> Column:
@@ -230,19 +226,17 @@ def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column) -> Column:
     )
 
 
-def _ks_known(totals: DataFrame) -> DataFrame:
-    out = totals.groupBy("feature").agg(
-        ks_expr().alias("ks"), F.max("total_ref").alias("_n"), F.max("total_cur").alias("_m")
-    )
-    p = kolmogorov_p(F.col("ks"), F.col("_n"), F.col("_m"))
-    return out.select("feature", "ks", p.alias("p_value"))
-
-
 def ks_test(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """KS distance of the known values with its p-value and a drift flag."""
     present = [f for f in features if f in current.columns]
-    out = _ks_known(side_by_side(reference, current, present, None))
-    return out.withColumn("drifted", F.col("p_value") < P_VALUE_FLAG)
+    totals = side_by_side(reference, current, present, None)
+    out = totals.groupBy("feature").agg(
+        F.expr(f"{KS_SQL} AS ks"), F.sum("ref").alias("_n"), F.sum("cur").alias("_m")
+    )
+    p = kolmogorov_p(F.col("ks"), F.col("_n"), F.col("_m"))
+    return out.select("feature", "ks", p.alias("p_value")).withColumn(
+        "drifted", F.col("p_value") < P_VALUE_FLAG
+    )
 
 
 EMPTY_REPORT = (
@@ -263,19 +257,18 @@ def drift_report(
     if not features:
         return reference.sparkSession.createDataFrame([], EMPTY_REPORT)
     totals = side_by_side(reference, current, features, NULL_BIN)
-    shift = psi_from_counts(histograms(totals, bin_edges(totals, n_bins), n_bins))
-    distance = totals.groupBy("feature").agg(ks_expr().alias("ks"))
-    # every table below has one row per feature: the size is that of the schema
-    joined = (
-        shift.join(F.broadcast(distance), "feature")
-        .join(F.broadcast(null_rates(reference, current, features)), "feature")
-        .join(F.broadcast(outside_counts(totals)), "feature")
+    counts = bin_counts(totals, feature_summary(totals, n_bins), n_bins)
+    exact = counts.selectExpr(
+        "feature",
+        f"{PSI_COUNTS_SQL} AS psi",
+        "ks",
+        "ref_null_rate",
+        "cur_null_rate",
+        "abs(cur_null_rate - ref_null_rate) AS null_shift",
+        "n_outside",
     )
-    exact = joined.withColumn("drifted", (F.col("psi") > psi_limit) | (F.col("ks") > ks_limit))
-    measures = ["psi", "ks", "ref_null_rate", "cur_null_rate", "null_shift"]
-    return exact.select(
-        "feature", *[F.round(m, 6).alias(m) for m in measures], "n_outside", "drifted"
-    ).orderBy(F.col("psi").desc(), "feature")
+    drifted = (F.col("psi") > psi_limit) | (F.col("ks") > ks_limit)
+    return rounded(exact.withColumn("drifted", drifted)).orderBy(F.col("psi").desc(), "feature")
 
 
 def drift_summary(report: DataFrame) -> DataFrame:
@@ -303,7 +296,9 @@ def check_batch(
     one for the score, with PSI, KS, p-value, band and alert text."""
     present = [f for f in features if f in batch.columns]
     totals = side_by_side(reference, batch, [score, *present], None)
-    out = _known_psi(totals, n_bins).join(F.broadcast(_ks_known(totals)), "feature")
+    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    p = kolmogorov_p(F.col("ks"), F.col("ref_total"), F.col("cur_total"))
+    out = counts.withColumns({"psi": F.expr(PSI_SHARES_SQL), "p_value": p})
     is_score = F.col("feature") == score
     alert = F.when(F.col("psi") > PSI_ALERT, "ALERT").when(
         is_score & (F.col("psi") > PSI_WARN), "WARN"
@@ -325,16 +320,9 @@ def reference_profile(reference: DataFrame, features: Sequence[str], n_bins: int
 
     A few numbers per feature, meant to be written once as Parquet.
     """
-    totals = side_by_side(reference, reference.limit(0), features, None)
-    edges = unique_edges(bin_edges(totals, n_bins, fallback=False))
-    ordered = F.array_sort(F.collect_list(F.struct("bin", "ref_n")))
-    counts = histograms(totals, edges, n_bins).groupBy("feature").agg(ordered.alias("_bins"))
-    sizes = totals.groupBy("feature").agg(F.max("total_ref").alias("ref_total"))
-    return (
-        edges.join(counts, "feature")
-        .join(sizes, "feature")
-        .select("feature", "edges", F.col("_bins.ref_n").alias("ref_counts"), "ref_total")
-    )
+    totals = side_by_side(reference, reference.where(F.lit(False)), features, None)
+    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    return counts.select("feature", "edges", F.col("ref_n").alias("ref_counts"), "ref_total")
 
 
 def bin_of(value: Column, edges: Column) -> Column:

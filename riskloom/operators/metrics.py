@@ -8,7 +8,7 @@ bounded (10**digits + 1 rows per group) however many rows are scored.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +25,20 @@ def ranked(
     score: str = "score",
     keys: Sequence[str] = (),
     digits: int | None = None,
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Distinct scores with positives/negatives at, below and overall."""
-    value = F.col(score) if digits is None else grid_point(F.col(score), digits)
-    rows = df.select(*keys, F.col(label).cast("double").alias("_y"), value.alias("_score"))
-    rows = rows.where(F.col("_y").isNotNull())
+    """Distinct scores with positives/negatives at, below and overall.
+
+    ``extra`` adds plain sums over the rows, written in terms of ``_y`` and ``_p``.
+    """
+    value = F.col("_p") if digits is None else grid_point(F.col("_p"), digits)
+    rows = (
+        df.select(*keys, F.col(label).cast("double").alias("_y"), F.col(score).alias("_p"))
+        .where(F.col("_y").isNotNull())
+        .withColumn("_score", value)
+    )
     sums = {"pos": flag(F.col("_y") == 1).cast("long"), "neg": flag(F.col("_y") != 1).cast("long")}
+    sums.update(extra or {})
     return running_totals(rows, keys, "_score", sums, grid=digits is not None)
 
 
@@ -132,46 +140,32 @@ def report(
     fp_cost: float = 1.0,
     fn_cost: float = 5.0,
 ) -> DataFrame:
-    """All metrics of a scored table, one row per group.
-
-    One pass over the rows for the averages and counts, one ranking for the rest.
-    """
-    rows = df.withColumn("_all", F.lit(0))
-    by = ["_all", *keys]
-    ranks = ranked(rows, label, score, by, digits).groupBy(*by).agg(
+    """All metrics of a scored table, one row per group, from one pass over the rows."""
+    y, p = F.col("_y"), F.col("_p")
+    said, was = p >= threshold, y == 1
+    clipped = F.greatest(F.lit(LOG_CLIP), F.least(F.lit(1.0 - LOG_CLIP), p))
+    parts = {
+        "sq": F.pow(p - y, F.lit(2.0)),
+        "ll": -F.when(was, F.log(clipped)).otherwise(F.log(1.0 - clipped)),
+        "tn": flag(~said & ~was),
+        "fp": flag(said & ~was),
+        "fn": flag(~said & was),
+        "tp": flag(said & was),
+    }
+    n, pos = F.sum(F.col("pos") + F.col("neg")), F.sum("pos")
+    out = ranked(df, label, score, keys, digits, parts).groupBy(*keys).agg(
+        n.alias("n"),
         auc_expr().alias("auc"),
+        (auc_expr() * 2 - 1).alias("gini"),
         ks_expr().alias("ks"),
         average_precision_expr().alias("average_precision"),
+        (F.sum("sq") / n).alias("brier"),
+        (pos / n * (1 - pos / n)).alias("brier_base_rate"),
+        (F.sum("ll") / n).alias("log_loss"),
+        ((F.sum("fp") * fp_cost + F.sum("fn") * fn_cost) / n).alias("expected_loss"),
+        *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")],
     )
-    said, was = F.col(score) >= threshold, F.col(label) == 1
-    rate = F.avg(F.col(label).cast("double"))
-    plain = rows.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        brier_expr(label, score).alias("brier"),
-        (rate * (1 - rate)).alias("brier_base_rate"),
-        log_loss_expr(label, score).alias("log_loss"),
-        F.count_if(~said & ~was).alias("tn"),
-        F.count_if(said & ~was).alias("fp"),
-        F.count_if(~said & was).alias("fn"),
-        F.count_if(said & was).alias("tp"),
-    )
-    loss = (F.col("fp") * fp_cost + F.col("fn") * fn_cost) / F.greatest(F.col("n"), F.lit(1))
-    return plain.join(ranks, by).select(
-        *keys,
-        "n",
-        "auc",
-        (F.col("auc") * 2 - 1).alias("gini"),
-        "ks",
-        "average_precision",
-        "brier",
-        "brier_base_rate",
-        "log_loss",
-        loss.alias("expected_loss"),
-        "tn",
-        "fp",
-        "fn",
-        "tp",
-    )
+    return out.where(F.col("n") > 0)
 
 
 def roc_points(df: DataFrame, label="label", score="score", keys: Sequence[str] = (), digits=None):

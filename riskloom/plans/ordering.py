@@ -27,6 +27,7 @@ def _bucketizer(df: DataFrame, value: str) -> Bucketizer | None:
     wanted = min(MAX_BUCKETS, df.count() // ROWS_PER_BUCKET)
     if wanted < 2:
         return None
+    df = df.select(F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
     probabilities = [i / wanted for i in range(1, wanted)]
     cuts = sorted(set(df.approxQuantile(value, probabilities, 1.0 / (4 * wanted))))
     return Bucketizer(
@@ -52,7 +53,7 @@ def running_totals(
     if grid:
         cut = counted.withColumn("_bucket", F.floor(F.col(value) / F.lit(GRID_STEP)).cast("double"))
     else:
-        bucketizer = _bucketizer(known.select(F.col(value).cast("double").alias(value)), value)
+        bucketizer = _bucketizer(df, value)
         if bucketizer is None:
             ordered = Window.partitionBy(*keys).orderBy(value)
             earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
@@ -89,29 +90,32 @@ def running_totals(
     )
 
 
+def percentile_aggs(value: str, probabilities: Mapping[str, float], n: str = "n") -> list[Column]:
+    """Aggregates picking the two neighbours and the weight of each percentile out of
+    running totals of ``n``; :func:`percentile_column` puts them together."""
+    first, after = f"`before_{n}`", f"(`before_{n}` + `{n}`)"
+    aggs = []
+    for name, q in probabilities.items():
+        rank = f"((`total_{n}` - 1) * {float(q)!r}D)"
+        for tag, at in (("lo", f"floor({rank})"), ("hi", f"ceil({rank})")):
+            inside = f"{first} <= {at} AND {at} < {after}"
+            aggs.append(F.expr(f"max(`{value}`) FILTER (WHERE {inside}) AS `_{tag}_{name}`"))
+        aggs.append(F.expr(f"max({rank} - floor({rank})) AS `_w_{name}`"))
+    return aggs
+
+
+def percentile_sql(name: str) -> str:
+    """Linear interpolation between the neighbours picked by :func:`percentile_aggs`."""
+    return f"`_lo_{name}` + (`_hi_{name}` - `_lo_{name}`) * `_w_{name}`"
+
+
 def percentiles_of(
     totals: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float]
 ) -> DataFrame:
     """Linearly interpolated percentiles from ``running_totals(..., {"n": ...})``."""
-    first, after = F.col("before_n"), F.col("before_n") + F.col("n")
-    aggs: list[Column] = []
-    for name, q in probabilities.items():
-        rank = (F.col("total_n") - 1) * F.lit(float(q))
-        low, high = F.floor(rank), F.ceil(rank)
-        aggs += [
-            F.max(F.when((first <= low) & (low < after), F.col(value))).alias(f"_lo_{name}"),
-            F.max(F.when((first <= high) & (high < after), F.col(value))).alias(f"_hi_{name}"),
-            F.max(rank - low).alias(f"_w_{name}"),
-        ]
-    picked = totals.groupBy(*keys).agg(*aggs)
-    return picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")
-            ).alias(n)
-            for n in probabilities
-        ],
+    picked = totals.groupBy(*keys).agg(*percentile_aggs(value, probabilities))
+    return picked.selectExpr(
+        *[f"`{k}`" for k in keys], *[f"{percentile_sql(n)} AS `{n}`" for n in probabilities]
     )
 
 

@@ -57,9 +57,9 @@ def rounded(
     """Round the double columns for a report; other columns pass through."""
     finer = finer or {}
     doubles = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
-    return df.select(
-        [
-            F.round(F.col(c), finer.get(c, digits)).alias(c) if c in doubles else F.col(c)
+    return df.selectExpr(
+        *[
+            f"round(`{c}`, {finer.get(c, digits)}) AS `{c}`" if c in doubles else f"`{c}`"
             for c in df.columns
         ]
     )
