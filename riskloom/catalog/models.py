@@ -397,7 +397,7 @@ SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY abs(contribu
   feature, round(contribution, 6) AS contribution FROM k QUALIFY rank <= 3""",
 )
 def linear_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.reasons_from_long(_linear(spark, sf), "vec_id", 3)
+    return rounded(explain.reasons_from_long(_linear(spark, sf), "vec_id", 3))
 
 
 @query(
@@ -432,7 +432,7 @@ t AS (SELECT SK_ID_CURR, 'AMT_CREDIT' AS feature, AMT_CREDIT * 1e-5 - c * 1e-5 A
   SELECT SK_ID_CURR, 'DAYS_BIRTH', DAYS_BIRTH * 1e-4 - b * 1e-4 FROM application, m UNION ALL
   SELECT SK_ID_CURR, 'CNT_CHILDREN', CNT_CHILDREN * 3e-1 - k * 3e-1 FROM application, m),
 r AS (SELECT SK_ID_CURR, feature, CAST(row_number() OVER (PARTITION BY SK_ID_CURR ORDER BY abs(contribution) DESC, feature) AS INTEGER) AS rank,
-  round(contribution, 6) AS contribution FROM t QUALIFY rank <= 2),
+  contribution FROM t QUALIFY rank <= 2),
 l AS (SELECT *, CASE feature WHEN 'AMT_CREDIT' THEN 'loan amount' WHEN 'DAYS_BIRTH' THEN 'applicant age' ELSE 'cnt children' END AS factor FROM r)"""
 )
 

@@ -427,7 +427,16 @@ def constant_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "duplicate_columns",
     """
-SELECT 'price' AS kept, 'price_copy' AS dropped UNION ALL SELECT 'flagged', 'flagged_copy'""",
+WITH c AS (SELECT p_retailprice AS price, CASE WHEN p_size <> 7 THEN p_retailprice ELSE p_retailprice + 1 END AS almost,
+    coalesce(nullif(p_size, 3), -999) AS flagged, p_retailprice + 0 AS price_copy,
+    coalesce(nullif(CAST(p_size AS DOUBLE), 3), -999) AS flagged_copy FROM part),
+p AS (SELECT 'price' AS kept, 'almost' AS dropped, bool_and(price = almost) AS same FROM c UNION ALL
+  SELECT 'price', 'flagged', bool_and(price = flagged) FROM c UNION ALL
+  SELECT 'price', 'price_copy', bool_and(price = price_copy) FROM c UNION ALL
+  SELECT 'almost', 'price_copy', bool_and(almost = price_copy) FROM c UNION ALL
+  SELECT 'price', 'flagged_copy', bool_and(price = flagged_copy) FROM c UNION ALL
+  SELECT 'flagged', 'flagged_copy', bool_and(flagged = flagged_copy) FROM c)
+SELECT kept, dropped FROM p WHERE same""",
 )
 def duplicate_columns(spark: SparkSession, sf: str) -> DataFrame:
     """``almost`` differs from ``price`` in the rows of one size only."""

@@ -201,7 +201,7 @@ def named_contributions(contributions: Column, features: Sequence[str]) -> Colum
     )
 
 
-def top_reasons(pairs: Column, n: int = TOP_REASONS) -> Column:
+def top_reasons(pairs: Column, n: int = TOP_REASONS, digits: int | None = None) -> Column:
     """The ``n`` largest contributions by size, ties by name; no shuffle is needed."""
     keyed = F.transform(
         pairs,
@@ -209,12 +209,12 @@ def top_reasons(pairs: Column, n: int = TOP_REASONS) -> Column:
             (-F.abs(p["contribution"])).alias("k"), p["feature"], p["contribution"]
         ),
     )
-    return F.transform(
-        F.slice(F.array_sort(keyed), 1, n),
-        lambda p: F.struct(
-            p["feature"].alias("feature"), F.round(p["contribution"], 6).alias("contribution")
-        ),
-    )
+
+    def shown(p: Column) -> Column:
+        value = p["contribution"] if digits is None else F.round(p["contribution"], digits)
+        return F.struct(p["feature"].alias("feature"), value.alias("contribution"))
+
+    return F.transform(F.slice(F.array_sort(keyed), 1, n), shown)
 
 
 def reasons_from_long(df: DataFrame, key: str, n: int = TOP_REASONS) -> DataFrame:

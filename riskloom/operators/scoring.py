@@ -152,7 +152,7 @@ class Bundle:
         )
         scored = explained_scores(parts, self.key, self.calibrator)
         pairs = named_contributions(F.col("contributions"), self.features)
-        return scored.withColumn("top_reasons", top_reasons(pairs))
+        return scored.withColumn("top_reasons", top_reasons(pairs, digits=6))
 
     # -- storage ------------------------------------------------------------------
 
