@@ -634,7 +634,7 @@ FROM customer LEFT JOIN agg ON c_custkey = SK_ID_CURR""",
 def active_credit_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Smallest end-to-end slice: conditional aggregate, left join, guarded ratios."""
     profile = children.Profile(
-        derived={"_active": lambda: fx.flag(F.col("CREDIT_ACTIVE") == "Active")},
+        derived=[{"_active": lambda: fx.flag(F.col("CREDIT_ACTIVE") == "Active")}],
         measures=[
             children.Measure("loan_count", "count", "SK_ID_BUREAU"),
             children.Measure("_active_count", "sum", "_active"),

@@ -268,8 +268,8 @@ SELECT feature, CAST(bin AS INTEGER) AS bin, CAST(ref_n AS BIGINT) AS ref_n,
 )
 def drift_histograms(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = event_halves(spark, sf)
-    totals = drift.side_by_side(ref, cur, DRIFT_FEATURES, drift.NULL_BIN)
-    return drift.histograms(drift.bin_counts(totals, drift.feature_summary(totals)))
+    both = drift.side_by_side(ref, cur, DRIFT_FEATURES, drift.NULL_BIN)
+    return drift.histograms(drift.bin_counts(both, drift.feature_summary(both)))
 
 
 KNOWN_SQL = """,

@@ -25,7 +25,8 @@ from riskloom.functions.columns import (
 )
 
 KEY = "SK_ID_CURR"
-Derived = Mapping[str, Callable[[], Column]]
+# Derived columns in levels: a level may use the columns of the levels before it.
+Derived = Sequence[Mapping[str, Callable[[], Column]]]
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class Measure:
 @dataclass(frozen=True)
 class Profile:
     measures: Sequence[Measure]
-    derived: Derived = field(default_factory=dict)
+    derived: Derived = ()
     ratios: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
 
@@ -62,8 +63,8 @@ def measure_column(m: Measure) -> Column:
 def profile_children(df: DataFrame, profile: Profile, key: str = KEY) -> DataFrame:
     """Aggregate a child table to one row per non-null key."""
     rows = df.where(F.col(key).isNotNull())
-    for name, build in profile.derived.items():
-        rows = rows.withColumn(name, build())
+    for level in profile.derived:
+        rows = rows.withColumns({name: build() for name, build in level.items()})
     out = rows.groupBy(key).agg(*[measure_column(m) for m in profile.measures])
     return add_ratios(out, profile.ratios)
 
@@ -90,11 +91,13 @@ def _one(name: str) -> Column:
 # Names and definitions of the measures below are the output contract.
 
 BUREAU = Profile(
-    derived={
-        "_active": lambda: flag(F.col("CREDIT_ACTIVE") == "Active"),
-        "_overdue": lambda: flag(F.col("CREDIT_DAY_OVERDUE") > 0),
-        "_use": lambda: guarded_ratio(_zero("AMT_CREDIT_SUM_DEBT"), _one("AMT_CREDIT_SUM")),
-    },
+    derived=[
+        {
+            "_active": lambda: flag(F.col("CREDIT_ACTIVE") == "Active"),
+            "_overdue": lambda: flag(F.col("CREDIT_DAY_OVERDUE") > 0),
+            "_use": lambda: guarded_ratio(_zero("AMT_CREDIT_SUM_DEBT"), _one("AMT_CREDIT_SUM")),
+        },
+    ],
     measures=[
         Measure("BUREAU_LOAN_COUNT", "count", "SK_ID_BUREAU"),
         Measure("BUREAU_ACTIVE_COUNT", "sum", "_active"),
@@ -131,11 +134,15 @@ BUREAU = Profile(
 MONTH_STATUS_CODES = {"C": 0, "X": 0, "0": 0, "1": 1, "2": 2, "3": 3, "4": 4, "5": 5}
 
 BUREAU_BALANCE_LOAN = Profile(
-    derived={
-        "_status": lambda: code_map(F.col("STATUS"), MONTH_STATUS_CODES),
-        "_late": lambda: flag(F.col("_status") > 0),
-        "_bad": lambda: flag(F.col("_status") >= 2),
-    },
+    derived=[
+        {
+            "_status": lambda: code_map(F.col("STATUS"), MONTH_STATUS_CODES),
+        },
+        {
+            "_late": lambda: flag(F.col("_status") > 0),
+            "_bad": lambda: flag(F.col("_status") >= 2),
+        },
+    ],
     measures=[
         Measure("BB_MONTHS_COUNT", "count", "MONTHS_BALANCE"),
         Measure("BB_STATUS_MEAN", "mean", "_status"),
@@ -163,13 +170,15 @@ BUREAU_BALANCE = Profile(
 )
 
 PREVIOUS = Profile(
-    derived={
-        "_ratio": lambda: guarded_ratio(F.col("AMT_APPLICATION"), _one("AMT_CREDIT")),
-        "_down": lambda: guarded_ratio(_zero("AMT_DOWN_PAYMENT"), _one("AMT_GOODS_PRICE")),
-        "_recent": lambda: flag(F.col("DAYS_DECISION") >= -365),
-        "_approved": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Approved"),
-        "_refused": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Refused"),
-    },
+    derived=[
+        {
+            "_ratio": lambda: guarded_ratio(F.col("AMT_APPLICATION"), _one("AMT_CREDIT")),
+            "_down": lambda: guarded_ratio(_zero("AMT_DOWN_PAYMENT"), _one("AMT_GOODS_PRICE")),
+            "_recent": lambda: flag(F.col("DAYS_DECISION") >= -365),
+            "_approved": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Approved"),
+            "_refused": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Refused"),
+        },
+    ],
     measures=[
         Measure("PREV_APP_COUNT", "count", "SK_ID_PREV"),
         Measure("PREV_AMT_CREDIT_MEAN", "mean", "AMT_CREDIT"),
@@ -202,15 +211,19 @@ def _delay() -> Column:
 
 
 INSTALLMENTS = Profile(
-    derived={
-        "_late_days": lambda: positive_part(_delay()),
-        "_early_days": lambda: negative_part(_delay()),
-        "_paid": lambda: guarded_ratio(_zero("AMT_PAYMENT"), _one("AMT_INSTALMENT")),
-        "_gap": lambda: F.col("AMT_INSTALMENT") - _zero("AMT_PAYMENT"),
-        "_late": lambda: flag(F.col("_late_days") > 0),
-        "_very_late": lambda: flag(F.col("_late_days") > 30),
-        "_underpaid": lambda: flag(F.col("_paid") < 0.95),
-    },
+    derived=[
+        {
+            "_late_days": lambda: positive_part(_delay()),
+            "_early_days": lambda: negative_part(_delay()),
+            "_paid": lambda: guarded_ratio(_zero("AMT_PAYMENT"), _one("AMT_INSTALMENT")),
+            "_gap": lambda: F.col("AMT_INSTALMENT") - _zero("AMT_PAYMENT"),
+        },
+        {
+            "_late": lambda: flag(F.col("_late_days") > 0),
+            "_very_late": lambda: flag(F.col("_late_days") > 30),
+            "_underpaid": lambda: flag(F.col("_paid") < 0.95),
+        },
+    ],
     measures=[
         Measure("INS_PAYMENT_COUNT", "count", "NUM_INSTALMENT_NUMBER"),
         Measure("INS_DAYS_LATE_MEAN", "mean", "_late_days"),
@@ -234,12 +247,14 @@ INSTALLMENTS = Profile(
 )
 
 POS_CASH = Profile(
-    derived={
-        "_late": lambda: flag(F.col("SK_DPD") > 0),
-        "_late_def": lambda: flag(F.col("SK_DPD_DEF") > 0),
-        "_completed": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Completed"),
-        "_active": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Active"),
-    },
+    derived=[
+        {
+            "_late": lambda: flag(F.col("SK_DPD") > 0),
+            "_late_def": lambda: flag(F.col("SK_DPD_DEF") > 0),
+            "_completed": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Completed"),
+            "_active": lambda: flag(F.col("NAME_CONTRACT_STATUS") == "Active"),
+        },
+    ],
     measures=[
         Measure("POS_MONTHS_COUNT", "count", "MONTHS_BALANCE"),
         Measure("POS_SK_DPD_MEAN", "mean", "SK_DPD"),
@@ -261,24 +276,28 @@ POS_CASH = Profile(
 )
 
 CREDIT_CARD = Profile(
-    derived={
-        "_use": lambda: clip(
-            guarded_ratio(_zero("AMT_BALANCE"), _one("AMT_CREDIT_LIMIT_ACTUAL")), 0.0, 1.0
-        ),
-        "_min_paid": lambda: guarded_ratio(
-            _zero("AMT_PAYMENT_CURRENT"), _one("AMT_INST_MIN_REGULARITY")
-        ),
-        # The current total is added to its own parts; the published feature is defined so.
-        "_drawn": lambda: _zero("AMT_DRAWINGS_ATM_CURRENT")
-        + _zero("AMT_DRAWINGS_CURRENT")
-        + _zero("AMT_DRAWINGS_OTHER_CURRENT")
-        + _zero("AMT_DRAWINGS_POS_CURRENT"),
-        "_cash": lambda: guarded_ratio(
-            _zero("AMT_DRAWINGS_ATM_CURRENT"), zero_to_null(F.col("_drawn"))
-        ),
-        "_late": lambda: flag(F.col("SK_DPD") > 0),
-        "_maxed": lambda: flag(F.col("_use") > 0.95),
-    },
+    derived=[
+        {
+            "_use": lambda: clip(
+                guarded_ratio(_zero("AMT_BALANCE"), _one("AMT_CREDIT_LIMIT_ACTUAL")), 0.0, 1.0
+            ),
+            "_min_paid": lambda: guarded_ratio(
+                _zero("AMT_PAYMENT_CURRENT"), _one("AMT_INST_MIN_REGULARITY")
+            ),
+            # The current total is added to its own parts; the published feature is defined so.
+            "_drawn": lambda: _zero("AMT_DRAWINGS_ATM_CURRENT")
+            + _zero("AMT_DRAWINGS_CURRENT")
+            + _zero("AMT_DRAWINGS_OTHER_CURRENT")
+            + _zero("AMT_DRAWINGS_POS_CURRENT"),
+            "_late": lambda: flag(F.col("SK_DPD") > 0),
+        },
+        {
+            "_cash": lambda: guarded_ratio(
+                _zero("AMT_DRAWINGS_ATM_CURRENT"), zero_to_null(F.col("_drawn"))
+            ),
+            "_maxed": lambda: flag(F.col("_use") > 0.95),
+        },
+    ],
     measures=[
         Measure("CC_MONTHS_COUNT", "count", "MONTHS_BALANCE"),
         Measure("CC_UTILIZATION_MEAN", "mean", "_use"),

@@ -9,12 +9,18 @@ loops over features and no raw column is collected.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_below, flag, numeric_columns
-from riskloom.plans.ordering import percentile_aggs, percentile_sql, running_totals
+from riskloom.plans.ordering import (
+    percentile_aggs,
+    percentile_sql,
+    running_totals,
+    value_counts,
+)
 from riskloom.plans.shape import rounded, summarise, tall
 
 # Null bin, smoothing, bands and alert limits.
@@ -50,11 +56,18 @@ def null_rates(
     return ref.join(F.broadcast(cur), "feature").withColumn("null_shift", shift)
 
 
+@dataclass(frozen=True)
+class SideBySide:
+    """Both tables per (feature, distinct value): counts ``ref``/``cur`` and, among them,
+    the missing values ``ref_null``/``cur_null``; ``totals`` adds the running totals."""
+
+    counts: DataFrame
+    totals: DataFrame
+
+
 def side_by_side(
     reference: DataFrame, current: DataFrame, features: Sequence[str], null_as: float | None
-) -> DataFrame:
-    """Running totals per (feature, value) of both tables: counts ``ref``/``cur`` and,
-    among them, the missing values ``ref_null``/``cur_null``."""
+) -> SideBySide:
     both = tall(reference, features).withColumn("_r", F.lit(True)).unionByName(
         tall(current, features).withColumn("_r", F.lit(False))
     )
@@ -73,7 +86,8 @@ def side_by_side(
         "ref_null": F.col("_ref") * F.col("_null"),
         "cur_null": F.col("_cur") * F.col("_null"),
     }
-    return running_totals(rows, ["feature"], "value", sums)
+    by = (rows, ["feature"], "value", sums)
+    return SideBySide(value_counts(*by), running_totals(*by))
 
 
 KS_SQL = """max(abs(
@@ -85,14 +99,14 @@ UNIFORM_SQL = f"""transform(sequence(0L, d), i -> CASE WHEN i = d THEN hi + {EDG
   ELSE lo + i * ((hi + {EDGE_PAD!r}D - lo) / d) END)"""
 
 
-def feature_summary(totals: DataFrame, n_bins: int = 10) -> DataFrame:
+def feature_summary(both: SideBySide, n_bins: int = 10) -> DataFrame:
     """Everything read off the running totals in one aggregate, one row per feature.
 
     ``quantile_edges`` are the reference percentiles; ``edges`` the same unless the
     reference has fewer than ``n_bins`` distinct values, then uniform ones.
     """
     names = {f"e{i}": i / n_bins for i in range(n_bins + 1)}
-    out = totals.groupBy("feature").agg(
+    out = both.totals.groupBy("feature").agg(
         *percentile_aggs("value", names, "ref"),
         F.expr("count_if(ref > 0) AS d"),
         F.expr("min(value) FILTER (WHERE ref > 0) AS lo"),
@@ -124,7 +138,7 @@ def known_edges(summary: DataFrame) -> DataFrame:
     return summary.withColumn("edges", F.array_sort(F.array_distinct("quantile_edges")))
 
 
-def bin_counts(totals: DataFrame, summary: DataFrame, max_bins: int = 10) -> DataFrame:
+def bin_counts(both: SideBySide, summary: DataFrame, max_bins: int = 10) -> DataFrame:
     """The summary with ``ref_n`` and ``cur_n`` per bin and the current values outside.
 
     Bins are half-open, the last one closed. A count is the difference of two counts
@@ -132,34 +146,23 @@ def bin_counts(totals: DataFrame, summary: DataFrame, max_bins: int = 10) -> Dat
     are not counted.
     """
     below = [
-        f"coalesce(sum({side}) FILTER (WHERE value < edges[{i}]"
-        f" OR ({i} = size(edges) - 1 AND value = edges[{i}])), 0) AS {side}{i}"
+        f"coalesce(sum({side}) FILTER (WHERE value < _e[{i}]"
+        f" OR ({i} = size(edges) - 1 AND value = _e[{i}])), 0) AS {side}{i}"
         for side in ("ref", "cur")
         for i in range(max_bins + 1)
     ]
     outside = "coalesce(sum(cur) FILTER (WHERE value < lo OR value > hi), 0) AS n_outside"
-    # short arrays per feature: the size of the summary is that of the schema
-    rows = totals.select("feature", "value", "ref", "cur").join(
-        F.broadcast(summary.select("feature", _guarded_edges(max_bins), "lo", "hi")), "feature"
-    )
-    counted = rows.groupBy("feature").agg(*[F.expr(b) for b in below], F.expr(outside))
+    # a few numbers per feature: the size of the summary is that of the schema
+    fixed = f"transform(sequence(0, {max_bins}), i -> get(edges, i))"
+    padded = summary.withColumn("_e", F.expr(fixed))
+    rows = both.counts.join(F.broadcast(padded), "feature")
+    counted = rows.groupBy(*summary.columns).agg(*[F.expr(b) for b in below], F.expr(outside))
 
     def bins(side: str) -> str:
         steps = ", ".join(f"{side}{i + 1} - {side}{i}" for i in range(max_bins))
-        return f"array({steps}) AS _{side}"
-
-    packed = counted.selectExpr("feature", bins("ref"), bins("cur"), "n_outside")
-    return summary.join(F.broadcast(packed), "feature").selectExpr(
-        *summary.columns,
-        "slice(_ref, 1, greatest(size(edges) - 1, 0)) AS ref_n",
-        "slice(_cur, 1, greatest(size(edges) - 1, 0)) AS cur_n",
-        "n_outside",
-    )
-
+        return f"slice(array({steps}), 1, greatest(size(edges) - 1, 0)) AS {side}_n"
 
-def _guarded_edges(max_bins: int) -> Column:
-    """Edges padded with NULL to a fixed length, so an index never runs over."""
-    return F.expr(f"transform(sequence(0, {max_bins}), i -> get(edges, i)) AS edges")
+    return counted.selectExpr(*summary.columns, bins("ref"), bins("cur"), "n_outside")
 
 
 def histograms(counts: DataFrame) -> DataFrame:
@@ -189,8 +192,8 @@ def psi(
     reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10
 ) -> DataFrame:
     """Null-aware PSI per feature: missing values form their own bin."""
-    totals = side_by_side(reference, current, features, NULL_BIN)
-    counts = bin_counts(totals, feature_summary(totals, n_bins), n_bins)
+    both = side_by_side(reference, current, features, NULL_BIN)
+    counts = bin_counts(both, feature_summary(both, n_bins), n_bins)
     return counts.selectExpr("feature", f"{PSI_COUNTS_SQL} AS psi")
 
 
@@ -198,15 +201,15 @@ def psi_known_values(
     reference: DataFrame, current: DataFrame, features: Sequence[str], n_bins: int = 10
 ) -> DataFrame:
     """PSI over the known values only, on distinct percentile edges."""
-    totals = side_by_side(reference, current, features, None)
-    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    both = side_by_side(reference, current, features, None)
+    counts = bin_counts(both, known_edges(feature_summary(both, n_bins)), n_bins)
     return counts.selectExpr("feature", f"{PSI_SHARES_SQL} AS psi")
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """Two-sample KS distance per feature, missing values as one point."""
-    totals = side_by_side(reference, current, features, NULL_BIN)
-    return totals.groupBy("feature").agg(F.expr(f"{KS_SQL} AS ks"))
+    both = side_by_side(reference, current, features, NULL_BIN)
+    return both.totals.groupBy("feature").agg(F.expr(f"{KS_SQL} AS ks"))
 
 
 def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column) -> Column:
@@ -229,8 +232,8 @@ def kolmogorov_p(distance: Column, n_ref: Column, n_cur: Column) -> Column:
 def ks_test(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
     """KS distance of the known values with its p-value and a drift flag."""
     present = [f for f in features if f in current.columns]
-    totals = side_by_side(reference, current, present, None)
-    out = totals.groupBy("feature").agg(
+    both = side_by_side(reference, current, present, None)
+    out = both.totals.groupBy("feature").agg(
         F.expr(f"{KS_SQL} AS ks"), F.sum("ref").alias("_n"), F.sum("cur").alias("_m")
     )
     p = kolmogorov_p(F.col("ks"), F.col("_n"), F.col("_m"))
@@ -256,8 +259,8 @@ def drift_report(
     features = common_numeric(reference, current)
     if not features:
         return reference.sparkSession.createDataFrame([], EMPTY_REPORT)
-    totals = side_by_side(reference, current, features, NULL_BIN)
-    counts = bin_counts(totals, feature_summary(totals, n_bins), n_bins)
+    both = side_by_side(reference, current, features, NULL_BIN)
+    counts = bin_counts(both, feature_summary(both, n_bins), n_bins)
     exact = counts.selectExpr(
         "feature",
         f"{PSI_COUNTS_SQL} AS psi",
@@ -295,8 +298,8 @@ def check_batch(
     """Drift of a batch against the training data: one row per watched feature and
     one for the score, with PSI, KS, p-value, band and alert text."""
     present = [f for f in features if f in batch.columns]
-    totals = side_by_side(reference, batch, [score, *present], None)
-    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    both = side_by_side(reference, batch, [score, *present], None)
+    counts = bin_counts(both, known_edges(feature_summary(both, n_bins)), n_bins)
     p = kolmogorov_p(F.col("ks"), F.col("ref_total"), F.col("cur_total"))
     out = counts.withColumns({"psi": F.expr(PSI_SHARES_SQL), "p_value": p})
     is_score = F.col("feature") == score
@@ -320,8 +323,8 @@ def reference_profile(reference: DataFrame, features: Sequence[str], n_bins: int
 
     A few numbers per feature, meant to be written once as Parquet.
     """
-    totals = side_by_side(reference, reference.where(F.lit(False)), features, None)
-    counts = bin_counts(totals, known_edges(feature_summary(totals, n_bins)), n_bins)
+    both = side_by_side(reference, reference.where(F.lit(False)), features, None)
+    counts = bin_counts(both, known_edges(feature_summary(both, n_bins)), n_bins)
     return counts.select("feature", "edges", F.col("ref_n").alias("ref_counts"), "ref_total")
 
 

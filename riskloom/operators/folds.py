@@ -24,20 +24,20 @@ def _hash_bucket(order: Column) -> Column:
 def rank_in_class(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
     """Add ``_rank`` (0-based, per label) and ``_size`` in the order of a seeded hash."""
     rows = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    rows = rows.withColumn("_b", _hash_bucket(F.col("_h")))
-    counts = rows.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    over = Window.partitionBy(label).orderBy("_b")
+    rows = rows.withColumns({"_b": _hash_bucket(F.col("_h")), "_g": F.struct(label)})
+    counts = rows.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # at most HASH_BUCKETS rows per class
+    whole = Window.partitionBy("_g")
     offsets = counts.select(
-        F.col(label).alias("_l"),
-        F.col("_b").alias("_b2"),
-        (F.sum("_n").over(over) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(label)).alias("_size"),
+        "_g",
+        "_b",
+        (F.sum("_n").over(whole.orderBy("_b")) - F.col("_n")).alias("_before"),
+        F.sum("_n").over(whole).alias("_size"),
     )
-    inside = Window.partitionBy(label, "_b").orderBy("_h", key)
+    # the struct also matches a NULL label; rank and join share one partitioning
+    inside = Window.partitionBy("_g", "_b").orderBy("_h", key)
     local = rows.withColumn("_in", F.row_number().over(inside) - 1)
-    # one row per class and hash bucket: at most HASH_BUCKETS per label
-    same = F.col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_b2"))
-    return local.join(F.broadcast(offsets), same).select(
+    return local.join(offsets, ["_g", "_b"]).select(
         *df.columns, (F.col("_in") + F.col("_before")).alias("_rank"), "_size"
     )
 

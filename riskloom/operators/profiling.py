@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import numeric_columns
 from riskloom.plans.joins import lookup_join
 from riskloom.plans.ordering import percentiles
-from riskloom.plans.shape import summarise, tall
+from riskloom.plans.shape import report_rows, summarise, tall
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-DIRECT_PAIRS = 120
+DIRECT_PAIRS = 30
 
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
@@ -224,8 +224,6 @@ def correlation_with_target(
         ],
         (F.col(target).cast("double") - F.lit(float(centre[target] or 0.0))).alias("_y"),
     )
-    from riskloom.plans.shape import report_rows
-
     stats = ("n", "sx", "sy", "sxy", "sxx", "syy")
     rows = report_rows(shifted.agg(*aggs), list(columns), {s: "double" for s in stats})
     out = rows.select("feature", _corr(*[F.col(s) for s in stats]).alias("corr")).orderBy(

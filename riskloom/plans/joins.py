@@ -5,11 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
-SALTS = 32
+# A key holding at least this share of the rows is joined on its own.
+HOT_SHARE = 1 / 1_000
+
+
+def _same(on: Sequence[str], prefix: str) -> Column:
+    return reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in on]
+    )
 
 
 def size_checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
@@ -20,46 +27,73 @@ def size_checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) ->
     return F.broadcast(small.sparkSession.createDataFrame(head, small.schema))
 
 
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
+    """Keys holding at least ``share`` of the rows (so at most 1 / share of them)."""
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") >= F.lit(share) * df.count()).drop("_n").toArrow()
+    if hot.num_rows == 0:
+        return None
+    return df.sparkSession.createDataFrame(hot, df.select(*on).schema)
+
+
 def lookup_join(
     df: DataFrame, table: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Left join to a table holding each key once; keys compare null-safe.
 
-    A small table is broadcast after its size was checked. Beyond that both sides
-    shuffle, and each row gets a salt from its own content so that a key shared by
-    a large part of the rows spreads over several tasks.
+    A small table is broadcast after its size was checked. Beyond that the rows of hot
+    keys meet a broadcast of just those keys, at most 1 / HOT_SHARE rows, and only the
+    other rows shuffle, so no key fills a task.
     """
-    payload = [c for c in table.columns if c not in on]
-    renamed = table.select(*[F.col(k).alias(f"_r_{k}") for k in on], *payload)
-    same = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on]
+    renamed = table.select(
+        *[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in table.columns if c not in on]
+    )
     drop = [f"_r_{k}" for k in on]
 
     small = size_checked_broadcast(renamed, max_rows)
     if small is not None:
-        return df.join(small, reduce(lambda a, b: a & b, same), "left").drop(*drop)
+        return df.join(small, _same(on, "_r_"), "left").drop(*drop)
 
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    copies = renamed.withColumn("_r_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    same.append(F.col("_salt") == F.col("_r_salt"))
-    joined = salted.join(copies, reduce(lambda a, b: a & b, same), "left")
-    return joined.drop(*drop, "_salt", "_r_salt")
+    hot = hot_keys(df, on)
+    if hot is None:
+        return df.join(renamed, _same(on, "_r_"), "left").drop(*drop)
+    marks = F.broadcast(hot.select([F.col(k).alias(f"_h_{k}") for k in on]))
+    hot_table = F.broadcast(
+        renamed.join(
+            F.broadcast(hot.select([F.col(k).alias(f"_h__r_{k}") for k in on])),
+            reduce(
+                lambda a, b: a & b,
+                [F.col(f"_r_{k}").eqNullSafe(F.col(f"_h__r_{k}")) for k in on],
+            ),
+            "left_semi",
+        )
+    )
+    hot_rows = df.join(marks, _same(on, "_h_"), "left_semi")
+    cold_rows = df.join(marks, _same(on, "_h_"), "left_anti")
+    joined = hot_rows.join(hot_table, _same(on, "_r_"), "left").unionByName(
+        cold_rows.join(renamed, _same(on, "_r_"), "left")
+    )
+    return joined.drop(*drop)
 
 
 def checked_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join that raises when the right side would multiply rows of the left."""
-    fan_out = (
-        right.join(left.select(key).where(F.col(key).isNotNull()), key, "left_semi")
-        .groupBy(key)
-        .count()
-        .where(F.col("count") > 1)
+    copies = right.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"))
+    fan_out = left.select(key).distinct().join(
+        copies.where(F.col("_copies") > 1).withColumnRenamed(key, "_k"),
+        F.col(key).eqNullSafe(F.col("_k")),
+        "left_semi",
     )
-    joined = left.join(right, key, "left")
     if fan_out.limit(1).count():
+        sizes = lookup_join(left.select(key), copies, [key]).agg(
+            F.count(F.lit(1)), F.sum(F.coalesce("_copies", F.lit(1)))
+        )
+        before, after = sizes.first() or (0, 0)
         raise ValueError(
-            f"Join on {key} changed the row count: {left.count()} -> {joined.count()}. "
+            f"Join on {key} changed the row count: {before} -> {after}. "
             "The right side holds duplicate keys."
         )
-    return joined
+    return lookup_join(left, right, [key])
 
 
 def count_without_children(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from operator import add
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -19,22 +20,44 @@ from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 200_000
 MAX_BUCKETS = 8_192
+SAMPLE_PER_BUCKET = 1_000
 GRID_STEP = 1_000
 
 
 def _bucketizer(df: DataFrame, value: str) -> Bucketizer | None:
-    """Equal-depth value cuts, or None when one bucket is small enough."""
-    wanted = min(MAX_BUCKETS, df.count() // ROWS_PER_BUCKET)
+    """Value cuts of about equal depth, or None when one bucket is small enough.
+
+    The cuts only balance the buckets, any cuts give the same totals; so they come
+    from a sample, as Spark's own range partitioning does.
+    """
+    rows = df.count()
+    wanted = min(MAX_BUCKETS, rows // ROWS_PER_BUCKET)
     if wanted < 2:
         return None
-    df = df.select(F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+    known = df.select(F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+    share = min(1.0, wanted * SAMPLE_PER_BUCKET / rows)
+    sampled = known.sample(share, seed=7) if share < 1.0 else known
     probabilities = [i / wanted for i in range(1, wanted)]
-    cuts = sorted(set(df.approxQuantile(value, probabilities, 1.0 / (4 * wanted))))
+    cuts = sorted(set(sampled.approxQuantile(value, probabilities, 1.0 / (4 * wanted))))
+    if not cuts:
+        return None
     return Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol=value, outputCol="_bucket"
     )
 
 
+def value_counts(
+    df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column]
+) -> DataFrame:
+    """One row per distinct (keys, known value) with the sums, which must be known and
+    not negative."""
+    known = df.where(F.col(value).isNotNull())
+    counted = known.groupBy(*keys, value).agg(*[F.sum(c).alias(s) for s, c in sums.items()])
+    # Always true, but it makes every later branch ask for all sums: their exchanges stay
+    # identical, so Spark scans and shuffles once and reuses the result in each branch.
+    return counted.where(reduce(add, [F.col(s) for s in sums]) >= 0)
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -42,46 +65,47 @@ def running_totals(
     sums: Mapping[str, Column],
     grid: bool = False,
 ) -> DataFrame:
-    """One row per distinct (keys, value) with, for each sum ``s``: ``s`` itself,
-    ``before_s`` (all smaller values of the same keys) and ``total_s`` (all values).
+    """:func:`value_counts` with, for each sum ``s``, ``before_s`` (over all smaller
+    values of the same keys) and ``total_s`` (over all values).
 
     ``grid=True`` promises that ``value`` is a long on a bounded grid; its buckets
     are then plain intervals and no pass over the data is needed to cut them.
     """
-    known = df.where(F.col(value).isNotNull())
-    counted = known.groupBy(*keys, value).agg(*[F.sum(c).alias(s) for s, c in sums.items()])
+    counted = value_counts(df, keys, value, sums)
+    bucketizer = None if grid else _bucketizer(df, value)
     if grid:
-        cut = counted.withColumn("_bucket", F.floor(F.col(value) / F.lit(GRID_STEP)).cast("double"))
+        cut = counted.withColumn("_bucket", F.floor(F.col(value) / F.lit(GRID_STEP)).cast("int"))
+    elif bucketizer is not None:
+        cut = bucketizer.transform(counted).withColumn("_bucket", F.col("_bucket").cast("int"))
     else:
-        bucketizer = _bucketizer(df, value)
-        if bucketizer is None:
-            ordered = Window.partitionBy(*keys).orderBy(value)
-            earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-            whole = Window.partitionBy(*keys)
-            return counted.select(
-                "*",
-                *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums],
-                *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
-            )
-        cut = bucketizer.transform(counted)
-
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
+        ordered = Window.partitionBy(*keys).orderBy(value)
+        earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+        whole = Window.partitionBy(*keys)
+        return counted.select(
+            "*",
+            *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums],
+            *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
+        )
+
+    # the keys as one struct: equal also where a key is NULL, and the windows inside the
+    # buckets and the join to the offsets then share one partitioning
+    cut = cut.withColumn("_g", F.struct(*keys) if keys else F.lit(0))
+    inside = Window.partitionBy("_g", "_bucket").orderBy(value)
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = cut.select(
         "*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_in_{s}") for s in sums]
     )
-    per_bucket = cut.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    across = across.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    join_keys = [*keys, "_bucket"]
+    per_bucket = cut.groupBy("_g", "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    # at most MAX_BUCKETS rows (or the grid's intervals) per key
+    whole = Window.partitionBy("_g")
+    across = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
-        *[F.col(k).alias(f"_k_{k}") for k in join_keys],
+        "_g",
+        "_bucket",
         *[F.coalesce(F.sum(f"_t_{s}").over(across), F.lit(0)).alias(f"_off_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(whole).alias(f"total_{s}") for s in sums],
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in join_keys])
-    return local.join(offsets, same).select(
+    return local.join(offsets, ["_g", "_bucket"]).select(
         *keys,
         value,
         *sums,

@@ -132,7 +132,7 @@ def test_checked_join(spark):
     assert checked_left_join(left, unrelated, "k").count() == 3
 
 
-def test_lookup_join_salted_equals_broadcast(spark):
+def test_lookup_join_with_hot_key_equals_broadcast(spark):
     rows = [("hot", i) for i in range(300)] + [("cold", -1), (None, -2)]
     df = spark.createDataFrame(rows, "k string, i int")
     small = spark.createDataFrame([("hot", 1.0), ("other", 2.0)], "k string, v double")
