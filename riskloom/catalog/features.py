@@ -393,7 +393,12 @@ bureau_agg AS (
   FROM bureau_all a LEFT JOIN bureau_active b ON a.SK_ID_CURR = b.SK_ID_CURR)"""
 
 # Means of short decimal rates: nine digits keep them away from rounding ties.
-FINE_MEANS = {"BB_STATUS_MEAN_OF_MEANS": 9, "BB_DPD_RATE_MEAN": 9, "BB_BAD_RATE_MEAN": 9}
+FINE_MEANS = {
+    "BB_STATUS_MEAN_OF_MEANS": 9,
+    "BB_DPD_RATE_MEAN": 9,
+    "BB_BAD_RATE_MEAN": 9,
+    "CC_MIN_PAYMENT_RATIO_MEAN": 9,
+}
 
 BALANCE_SQL = """
 bb_rows AS (
@@ -514,7 +519,7 @@ cc_sums AS (
     round(min(u), 6) AS CC_UTILIZATION_MIN,
     round(avg(AMT_BALANCE), 6) AS CC_AMT_BALANCE_MEAN, max(AMT_BALANCE) AS CC_AMT_BALANCE_MAX,
     round(avg(AMT_PAYMENT_CURRENT), 6) AS CC_PAYMENT_MEAN,
-    round(avg(mp), 6) AS CC_MIN_PAYMENT_RATIO_MEAN, round(avg(drawn), 6) AS CC_DRAWING_TOTAL_MEAN,
+    round(avg(mp), 9) AS CC_MIN_PAYMENT_RATIO_MEAN, round(avg(drawn), 6) AS CC_DRAWING_TOTAL_MEAN,
     round(avg(coalesce(AMT_DRAWINGS_ATM_CURRENT, 0) / nullif(drawn, 0)), 6) AS CC_CASH_DRAW_RATIO_MEAN,
     round(avg(SK_DPD), 6) AS CC_DPD_MEAN, max(SK_DPD) AS CC_DPD_MAX,
     CAST(sum(CASE WHEN SK_DPD > 0 THEN 1 ELSE 0 END) AS BIGINT) AS CC_DPD_MONTH_COUNT,
@@ -570,7 +575,8 @@ def pos_cash_profile(spark: SparkSession, sf: str) -> DataFrame:
     "credit_card_profile", with_views("credit_card_balance") + f", {CARD_SQL} SELECT * FROM cc_agg"
 )
 def credit_card_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(children.credit_card_profile(spark_view(spark, sf, "credit_card_balance")))
+    cards = spark_view(spark, sf, "credit_card_balance")
+    return rounded(children.credit_card_profile(cards), finer=FINE_MEANS)
 
 
 CHILD_VIEWS = (

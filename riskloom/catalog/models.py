@@ -122,14 +122,14 @@ def simplex_weights(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "mean_over_models",
     """
-WITH p AS (SELECT event_id % 500 AS id, value / (value + 50) AS p FROM events)
+WITH p AS (SELECT user_id AS id, value / (value + 50) AS p FROM events)
 SELECT id, round(avg(p), 6) AS p FROM p GROUP BY id""",
 )
 def mean_over_models(spark: SparkSession, sf: str) -> DataFrame:
     """Stored scores of several models, averaged per row."""
     value = F.col("value")
     scores = table(spark, sf, "events").select(
-        "event_type", (F.col("event_id") % 500).alias("id"), (value / (value + 50)).alias("p")
+        "event_type", F.col("user_id").alias("id"), (value / (value + 50)).alias("p")
     )
     kinds = ("signup", "purchase", "view", "click", "error")
     parts = [scores.where(F.col("event_type") == k) for k in kinds]

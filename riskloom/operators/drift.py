@@ -48,7 +48,7 @@ def null_rates(
     reference: DataFrame, current: DataFrame, features: Sequence[str]
 ) -> DataFrame:
     """Null share per feature on both sides and its absolute shift."""
-    share = {"rate": ("double", lambda c: F.avg(F.col(c).isNull().cast("double")))}
+    share = {"rate": ("double", lambda c: f"avg(CAST({c} IS NULL AS DOUBLE))")}
     ref = summarise(reference, features, share).withColumnRenamed("rate", "ref_null_rate")
     cur = summarise(current, features, share).withColumnRenamed("rate", "cur_null_rate")
     shift = F.abs(F.col("cur_null_rate") - F.col("ref_null_rate"))

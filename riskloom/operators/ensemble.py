@@ -73,10 +73,11 @@ def blend_weight_by_fold(
     rows = df.select(label, fold, a, b).where(F.col(label).isNotNull()).select("*", grid)
     mixed = blend(F.col(a), F.col(b), F.col("w") / float(steps))
     counts = checkpointed(_candidate_counts(rows, label, mixed, ["w", fold], digits))
-    held = df.select(F.col(fold).alias("held")).distinct()
-    # one row per fold on the small side
+    folds = [r[fold] for r in counts.select(fold).distinct().collect()]
+    # a row of fold k counts in the training part of every other fold
+    others = F.array_except(F.array(*[F.lit(k) for k in folds]), F.array(F.col(fold)))
     train = (
-        counts.join(F.broadcast(held), F.col(fold) != F.col("held"))
+        counts.select("w", "_score", "pos", "neg", F.explode(others).alias("held"))
         .groupBy("held", "w", "_score")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import sigmoid
 from riskloom.functions.naming import feature_label
-from riskloom.operators.training import FILL_VALUE
+from riskloom.operators.training import filled_sql
 from riskloom.plans.lineage import scratch_path
 from riskloom.plans.shape import tall
 
@@ -164,9 +164,7 @@ def tree_contributions(
                 }
             )
 
-    filled = df.select(
-        key, *[F.coalesce(F.col(c).cast("double"), F.lit(FILL_VALUE)).alias(c) for c in names]
-    )
+    filled = df.selectExpr(f"`{key}`", *[filled_sql(c) for c in names])
     kind = dict(df.dtypes)[key]
     return filled.mapInPandas(
         explain, f"`{key}` {kind}, base_value double, contributions array<double>"

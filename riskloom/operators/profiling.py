@@ -32,11 +32,11 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
         df,
         features,
         {
-            "count": ("long", lambda c: F.count(c)),
-            "mean": ("double", lambda c: F.avg(c)),
-            "std": ("double", lambda c: F.stddev_samp(c)),
-            "min": ("double", lambda c: F.min(c)),
-            "max": ("double", lambda c: F.max(c)),
+            "count": ("bigint", lambda c: f"count({c})"),
+            "mean": ("double", lambda c: f"avg({c})"),
+            "std": ("double", lambda c: f"stddev_samp({c})"),
+            "min": ("double", lambda c: f"min({c})"),
+            "max": ("double", lambda c: f"max({c})"),
         },
     )
     quartiles = percentiles(tall(df, features), ["feature"], "value", QUARTILES, exact)
@@ -48,14 +48,14 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, exact: bool =
 
 def missing_report(df: DataFrame, top: int | None = None) -> DataFrame:
     """Missing count and percentage of the columns that miss any, most first."""
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    kinds = {f"`{f.name}`": f.dataType.simpleString() for f in df.schema.fields}
     out = summarise(
         df,
         df.columns,
         {
-            "missing_count": ("long", lambda c: F.count_if(F.col(c).isNull())),
-            "_n": ("long", lambda c: F.count(F.lit(1))),
-            "dtype": ("string", lambda c: F.first(F.lit(kinds[c]))),
+            "missing_count": ("bigint", lambda c: f"count_if({c} IS NULL)"),
+            "_n": ("bigint", lambda c: "count(1)"),
+            "dtype": ("string", lambda c: f"first('{kinds[c]}')"),
         },
     )
     pct = F.round(F.try_divide(F.col("missing_count") * 100.0, F.col("_n").cast("double")), 2)
@@ -71,13 +71,13 @@ def missing_report(df: DataFrame, top: int | None = None) -> DataFrame:
 def missing_vs_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Target rate (percent) where a column is missing and where it is present."""
     present = [c for c in columns if c in df.columns]
-    y = F.col(target).cast("double")
+    rate = f"100 * avg(CAST(`{target}` AS DOUBLE)) FILTER (WHERE "
     out = summarise(
         df,
         present,
         {
-            "rate_missing": ("double", lambda c: F.avg(F.when(F.col(c).isNull(), y)) * 100),
-            "rate_present": ("double", lambda c: F.avg(F.when(F.col(c).isNotNull(), y)) * 100),
+            "rate_missing": ("double", lambda c: f"{rate}{c} IS NULL)"),
+            "rate_present": ("double", lambda c: f"{rate}{c} IS NOT NULL)"),
         },
     )
     gap = F.col("rate_missing") - F.col("rate_present")
@@ -129,6 +129,19 @@ def _corr(n: Column, sx: Column, sy: Column, sxy: Column, sxx: Column, syy: Colu
     return F.when(ok, bounded)
 
 
+MOMENTS = ("n", "sx", "sy", "sxy", "sxx", "syy")
+
+
+def _pair_sums(a: str, b: str, tag: str) -> list[Column]:
+    """Sums over the rows where both columns are known, named ``<moment>__<tag>``."""
+    terms = ("1D", a, b, f"{a} * {b}", f"{a} * {a}", f"{b} * {b}")
+    known = f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)"
+    return [
+        F.expr(f"sum({term}) {known} AS `{k}__{tag}`")
+        for k, term in zip(MOMENTS, terms, strict=True)
+    ]
+
+
 def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete sums per ordered column pair (a before b), values centred.
 
@@ -142,25 +155,14 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     middle = {c: float(centre[c]) if centre[c] is not None else 0.0 for c in names}
     x = df.select([(F.col(c).cast("double") - F.lit(middle[c])).alias(c) for c in names])
     pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    schema = "a string, b string, n double, sx double, sy double, sxy double, sxx double, syy double"
     if len(pairs) <= DIRECT_PAIRS:
-        aggs = []
+        aggs, rows = [], []
         for i, j in pairs:
-            a, b = F.col(names[i]), F.col(names[j])
-            both = a.isNotNull() & b.isNotNull()
-            tag = f"{i}_{j}"
-            parts = {"n": F.lit(1.0), "sx": a, "sy": b, "sxy": a * b, "sxx": a * a, "syy": b * b}
-            aggs += [F.sum(F.when(both, e)).alias(f"{k}{tag}") for k, e in parts.items()]
-        stats = ("n", "sx", "sy", "sxy", "sxx", "syy")
-        rows = [
-            F.struct(
-                F.lit(names[i]).alias("a"),
-                F.lit(names[j]).alias("b"),
-                *[F.col(f"{k}{i}_{j}").alias(k) for k in stats],
-            )
-            for i, j in pairs
-        ]
-        return x.agg(*aggs).select(F.inline(F.array(*rows)))
+            a, b = f"`{names[i]}`", f"`{names[j]}`"
+            aggs += _pair_sums(a, b, f"{i}_{j}")
+            parts = ", ".join(f"`{k}__{i}_{j}` AS {k}" for k in MOMENTS)
+            rows.append(f"struct('{names[i]}' AS a, '{names[j]}' AS b, {parts})")
+        return x.agg(*aggs).selectExpr(f"inline(array({', '.join(rows)}))")
 
     upper = np.triu_indices(len(names), 1)
     left = np.asarray(names, dtype=object)[upper[0]]
@@ -186,20 +188,16 @@ def pair_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             total = part if total is None else total + part
         if total is not None:
             cells = total[:, upper[0], upper[1]]
-            stats = dict(zip(("n", "sx", "sy", "sxy", "sxx", "syy"), cells, strict=True))
+            stats = dict(zip(MOMENTS, cells, strict=True))
             yield pd.DataFrame({"a": left, "b": right, **stats})
 
-    summed = ("n", "sx", "sy", "sxy", "sxx", "syy")
-    return (
-        x.mapInPandas(partial, schema)
-        .groupBy("a", "b")
-        .agg(*[F.sum(s).alias(s) for s in summed])
-    )
+    parts = x.mapInPandas(partial, "a string, b string, " + ", ".join(f"{m} double" for m in MOMENTS))
+    return parts.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in MOMENTS])
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(a, b, corr) for every column pair, pairwise complete."""
-    sums = [F.col(c) for c in ("n", "sx", "sy", "sxy", "sxx", "syy")]
+    sums = [F.col(m) for m in MOMENTS]
     return pair_moments(df, columns).select("a", "b", _corr(*sums).alias("corr"))
 
 
@@ -207,13 +205,6 @@ def correlation_with_target(
     df: DataFrame, columns: Sequence[str], target: str, top: int | None = None
 ) -> DataFrame:
     """Columns by absolute correlation with the target, strongest first."""
-    aggs: list[Column] = []
-    y = F.col("_y")
-    for i, c in enumerate(columns):
-        x = F.col(f"_x{i}")
-        both = x.isNotNull() & y.isNotNull()
-        parts = {"n": F.lit(1.0), "sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}
-        aggs += [F.sum(F.when(both, e)).alias(f"{k}__{c}") for k, e in parts.items()]
     names = [*columns, target]
     centre = df.agg(*[F.avg(c).alias(c) for c in names]).first()
     assert centre is not None
@@ -224,9 +215,9 @@ def correlation_with_target(
         ],
         (F.col(target).cast("double") - F.lit(float(centre[target] or 0.0))).alias("_y"),
     )
-    stats = ("n", "sx", "sy", "sxy", "sxx", "syy")
-    rows = report_rows(shifted.agg(*aggs), list(columns), {s: "double" for s in stats})
-    out = rows.select("feature", _corr(*[F.col(s) for s in stats]).alias("corr")).orderBy(
+    aggs = [e for i, c in enumerate(columns) for e in _pair_sums(f"_x{i}", "_y", c)]
+    rows = report_rows(shifted.agg(*aggs), list(columns), {m: "double" for m in MOMENTS})
+    out = rows.select("feature", _corr(*[F.col(m) for m in MOMENTS]).alias("corr")).orderBy(
         F.abs("corr").desc_nulls_last(), "feature"
     )
     return out.limit(top) if top is not None else out

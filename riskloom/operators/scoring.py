@@ -35,11 +35,11 @@ from riskloom.operators.explain import (
 from riskloom.operators.folds import stratified_folds
 from riskloom.operators.selection import select_features
 from riskloom.operators.training import (
-    FILL_VALUE,
     LEARNER_A,
     LEARNER_B,
     BoostParams,
     boosted,
+    filled_sql,
     prepare,
     run_cv,
 )
@@ -93,13 +93,7 @@ class Bundle:
 
     def probabilities(self, matrix: DataFrame) -> DataFrame:
         """Blended, uncalibrated score ``p``: mean per learner group, then the blend."""
-        filled = matrix.select(
-            self.key,
-            *[
-                F.coalesce(F.col(c).cast("double"), F.lit(FILL_VALUE)).alias(c)
-                for c in self.features
-            ],
-        )
+        filled = matrix.selectExpr(f"`{self.key}`", *[filled_sql(c) for c in self.features])
         rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(filled)
         groups = []
         for name, models in (("a", self.models_a), ("b", self.models_b)):

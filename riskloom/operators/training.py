@@ -97,6 +97,12 @@ def forest(
     return build
 
 
+def filled_sql(column: str) -> str:
+    """A feature as the trees see it: Spark's trees reject NaN, so a missing value
+    becomes -999, below every real one."""
+    return f"coalesce(CAST(`{column}` AS DOUBLE), {FILL_VALUE}D) AS `{column}`"
+
+
 def prepare(
     df: DataFrame,
     features: Sequence[str],
@@ -106,17 +112,14 @@ def prepare(
     positive_weight: float = 1.0,
     extra: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, label, fold, _weight, features) with missing inputs filled, frozen.
-
-    Spark's trees reject NaN, so a missing value becomes -999, below every real one.
-    """
-    filled = df.select(
-        F.col(key),
-        F.col(label).cast("double").alias("label"),
-        F.col(fold).alias("fold"),
+    """(key, label, fold, _weight, features) with missing inputs filled, frozen."""
+    filled = df.selectExpr(
+        f"`{key}`",
+        f"CAST(`{label}` AS DOUBLE) AS label",
+        f"`{fold}` AS fold",
         *extra,
-        *[F.coalesce(F.col(c).cast("double"), F.lit(FILL_VALUE)).alias(c) for c in features],
-    ).where(F.col("label").isNotNull())
+        *[filled_sql(c) for c in features],
+    ).where("label IS NOT NULL")
     weight = F.when(F.col("label") == 1, F.lit(positive_weight)).otherwise(F.lit(1.0))
     vectors = VectorAssembler(inputCols=list(features), outputCol="features")
     rows = vectors.transform(filled).withColumn("_weight", weight)

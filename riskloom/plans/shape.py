@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,7 +17,9 @@ def tall(
     dtype: str = "double",
 ) -> DataFrame:
     """One row per (row, column): a narrow Expand, no shuffle."""
-    typed = df.select(*ids, *[F.col(c).cast(dtype).alias(c) for c in columns])
+    typed = df.selectExpr(
+        *[f"`{c}`" for c in ids], *[f"CAST(`{c}` AS {dtype}) AS `{c}`" for c in columns]
+    )
     return typed.unpivot(list(ids), list(columns), name, value)
 
 
@@ -29,24 +31,28 @@ def report_rows(
     ``stats`` maps each statistic to its output type.
     """
     entries = [
-        F.struct(
-            F.lit(f).alias(name),
-            *[F.col(f"`{s}__{f}`").cast(t).alias(s) for s, t in stats.items()],
-        )
+        f"struct('{f}' AS `{name}`, "
+        + ", ".join(f"CAST(`{s}__{f}` AS {t}) AS `{s}`" for s, t in stats.items())
+        + ")"
         for f in features
     ]
-    return df.select(F.inline(F.array(*entries)))
+    return df.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def summarise(
-    df: DataFrame, features: Sequence[str], measures: Mapping[str, tuple[str, object]]
+    df: DataFrame,
+    features: Sequence[str],
+    measures: Mapping[str, tuple[str, Callable[[str], str]]],
 ) -> DataFrame:
     """Aggregate every feature in one pass and return one row per feature.
 
-    ``measures`` maps a statistic to ``(type, function(column_name) -> Column)``.
+    ``measures`` maps a statistic to its type and to a function giving the SQL of the
+    aggregate for a quoted column.
     """
-    aggs: list[Column] = [
-        fn(f).alias(f"{s}__{f}") for f in features for s, (_, fn) in measures.items()
+    aggs = [
+        F.expr(f"{sql(f'`{f}`')} AS `{s}__{f}`")
+        for f in features
+        for s, (_, sql) in measures.items()
     ]
     return report_rows(df.agg(*aggs), features, {s: t for s, (t, _) in measures.items()})
 
