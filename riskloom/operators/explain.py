@@ -9,12 +9,12 @@ This is not TreeSHAP.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import sigmoid
@@ -68,12 +68,18 @@ class TreeNodes:
     weight: float
 
 
-def tree_nodes(model: Model) -> list[TreeNodes]:
+def _placed(tree: TreeNodes, positions: Sequence[int]) -> TreeNodes:
+    """The tree with feature numbers of the full feature list (leaves keep -1)."""
+    at = np.asarray(positions, dtype=np.int64)
+    moved = np.where(tree.feature >= 0, at[np.maximum(tree.feature, 0)], -1)
+    return replace(tree, feature=moved)
+
+
+def tree_nodes(spark: SparkSession, model: Model) -> list[TreeNodes]:
     """Node arrays of a fitted boosted-tree model, read from its saved node table.
 
     The table is as large as the model, not the data.
     """
-    spark = model._java_obj and _session()
     path = scratch_path(spark, "nodes")
     model.write().save(path)
     split = "nodeData.split"
@@ -106,14 +112,6 @@ def tree_nodes(model: Model) -> list[TreeNodes]:
     return out
 
 
-def _session():
-    from pyspark.sql import SparkSession
-
-    session = SparkSession.getActiveSession()
-    assert session is not None
-    return session
-
-
 def attribute_paths(x: np.ndarray, trees: Sequence[TreeNodes]) -> tuple[float, np.ndarray]:
     """Base value and (rows, features) contributions to the margin."""
     rows = np.arange(len(x))
@@ -135,18 +133,29 @@ def attribute_paths(x: np.ndarray, trees: Sequence[TreeNodes]) -> tuple[float, n
 
 
 def tree_contributions(
-    df: DataFrame, key: str, features: Sequence[str], models: Sequence[Model]
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    models: Sequence[Model],
+    chosen: Sequence[Sequence[str]] | None = None,
 ) -> DataFrame:
     """(key, base_value, contributions) in log-odds, averaged over the models.
 
-    ``contributions`` follows the order of ``features``.
+    ``contributions`` follows the order of ``features``; ``chosen`` names the inputs of
+    each model when a model was fitted on some of them only.
     """
     check = [f for f in features if f not in df.columns]
     if check:
         raise ValueError(f"Columns missing for the explanation: {check}")
     spark = df.sparkSession
-    nodes = spark.sparkContext.broadcast([tree_nodes(m) for m in models])
     names = list(features)
+    place = {c: i for i, c in enumerate(names)}
+    picks = chosen if chosen is not None else [names] * len(models)
+    trees_of = [
+        [_placed(t, [place[c] for c in pick]) for t in tree_nodes(spark, m)]
+        for m, pick in zip(models, picks, strict=True)
+    ]
+    nodes = spark.sparkContext.broadcast(trees_of)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

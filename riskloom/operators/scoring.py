@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -75,6 +75,8 @@ class Bundle:
     models_a: list[Model]
     models_b: list[Model]
     weight: float
+    chosen_a: list[list[str]]
+    chosen_b: list[list[str]]
     calibrator: Calibrator | None = None
     encoder: OrdinalModel | None = None
     threshold: float = THRESHOLD
@@ -96,13 +98,18 @@ class Bundle:
         filled = matrix.selectExpr(f"`{self.key}`", *[filled_sql(c) for c in self.features])
         rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(filled)
         groups = []
-        for name, models in (("a", self.models_a), ("b", self.models_b)):
+        for name, models, picks in (
+            ("a", self.models_a, self.chosen_a),
+            ("b", self.models_b, self.chosen_b),
+        ):
             columns = []
-            for i, model in enumerate(models):
-                out = f"_p_{name}{i}"
-                quiet = model.copy().setProbabilityCol(out)
+            for i, (model, pick) in enumerate(zip(models, picks, strict=True)):
+                out, inputs = f"_p_{name}{i}", f"_x_{name}{i}"
+                at = [self.features.index(c) for c in pick]
+                slicer = VectorSlicer(inputCol="features", outputCol=inputs, indices=at)
+                quiet = model.copy().setProbabilityCol(out).setFeaturesCol(inputs)
                 quiet = quiet.setRawPredictionCol("").setPredictionCol("")
-                rows = quiet.transform(rows)
+                rows = quiet.transform(slicer.transform(rows)).drop(inputs)
                 columns.append(F.get(vector_to_array(out), F.lit(1)))
             groups.append(ensemble.equal_blend(columns) if columns else None)
         a, b = groups
@@ -142,7 +149,11 @@ class Bundle:
         """Calibrated score, log-odds, base and the top reasons of every row."""
         check_feature_order([c for c in matrix.columns if c != self.key], self.features)
         parts = tree_contributions(
-            matrix, self.key, self.features, [*self.models_a, *self.models_b]
+            matrix,
+            self.key,
+            self.features,
+            [*self.models_a, *self.models_b],
+            [*self.chosen_a, *self.chosen_b],
         )
         scored = explained_scores(parts, self.key, self.calibrator)
         pairs = named_contributions(F.col("contributions"), self.features)
@@ -159,8 +170,8 @@ class Bundle:
                 model.write().overwrite().save(f"{path}/model_{name}_{i}")
         meta: dict[str, object] = {
             "features": self.features,
-            "n_a": len(self.models_a),
-            "n_b": len(self.models_b),
+            "chosen_a": self.chosen_a,
+            "chosen_b": self.chosen_b,
             "weight": self.weight,
             "threshold": self.threshold,
             "key": self.key,
@@ -199,9 +210,11 @@ class Bundle:
             encoder = OrdinalModel(meta["encoded"], spark.read.parquet(f"{path}/encoder"))
         return cls(
             meta["features"],
-            models("a", meta["n_a"]),
-            models("b", meta["n_b"]),
+            models("a", len(meta["chosen_a"])),
+            models("b", len(meta["chosen_b"])),
             meta["weight"],
+            meta["chosen_a"],
+            meta["chosen_b"],
             calibrator,
             encoder,
             meta["threshold"],
@@ -227,9 +240,8 @@ def train(
     """Encode, select, train two learners out of fold, blend, calibrate, evaluate.
 
     ``features`` is a feature matrix (see :mod:`riskloom.operators.assemble`) with the
-    target. Selection sees the rows of the first training part only, so the held-out
-    fold of that part does not choose its own features; calibrated metrics come from
-    the half the calibrator did not see.
+    target. Each fold selects its features from the rows of the other folds; calibrated
+    metrics come from the half the calibrator did not see.
     """
     labelled = features.where(F.col(target).isNotNull())
     folded = stratified_folds(labelled, key, target, config.folds, config.seed)
@@ -237,14 +249,18 @@ def train(
     encoder = OrdinalEncoder([c for c, t in features.dtypes if t == "string" and c in inputs])
     encoded_by = encoder.fit(folded.select(inputs))
     frozen = checkpointed(encoded_by.transform(folded))
-    chosen = select_features(
-        frozen.where(F.col("fold") != 0), inputs, target, key, config.method, config.n_features
-    )
+    chosen = [
+        select_features(
+            frozen.where(F.col("fold") != k), inputs, target, key, config.method, config.n_features
+        )
+        for k in range(config.folds)
+    ]
+    used = [c for c in inputs if any(c in pick for pick in chosen)]
 
     results = {}
     for name, params in (("a", config.learner_a), ("b", config.learner_b)):
-        rows = prepare(frozen, chosen, key, target, "fold", params.positive_weight)
-        results[name] = run_cv(rows, chosen, key, boosted(params), config.folds)
+        rows = prepare(frozen, used, key, target, "fold", params.positive_weight)
+        results[name] = run_cv(rows, used, key, boosted(params), config.folds, chosen)
     a = results["a"].oof.withColumnRenamed("p", "p_a")
     b = results["b"].oof.select(key, F.col("p").alias("p_b"))
     both = a.join(b, key)
@@ -284,7 +300,7 @@ def train(
         "ks_calibrated": float(final["ks"]),
         "expected_loss": float(final["expected_loss"]),
         "weight_a": weight,
-        "n_features": float(len(chosen)),
+        "n_features": float(len(used)),
     }
     for name, result in results.items():
         for row in result.fold_metrics().collect():
@@ -294,10 +310,12 @@ def train(
         [tuple(values.values())], ", ".join(f"`value__{m}` double" for m in values)
     )
     bundle = Bundle(
-        chosen,
+        used,
         results["a"].models,
         results["b"].models,
         weight,
+        results["a"].chosen,
+        results["b"].chosen,
         calibrated.best_calibrator,
         encoded_by,
         config.threshold,

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
@@ -132,10 +132,11 @@ def probability() -> Column:
 
 @dataclass
 class CvResult:
-    features: list[str]
+    """``chosen`` holds the input columns of each fold's model."""
+
+    chosen: list[list[str]]
     models: list[Model]
     oof: DataFrame
-    extra: dict[str, object] = field(default_factory=dict)
 
     def fold_metrics(self) -> DataFrame:
         return metrics.auc(self.oof, score="p", keys=["fold"])
@@ -159,30 +160,45 @@ class CvResult:
         return float(row["oof_auc"]), float(row["mean_auc"]), float(row["std_auc"])
 
 
+def sliced(df: DataFrame, features: Sequence[str], chosen: Sequence[str]) -> DataFrame:
+    """``features`` reduced to the chosen entries of the full vector."""
+    if list(chosen) == list(features):
+        return df
+    at = {c: i for i, c in enumerate(features)}
+    slicer = VectorSlicer(
+        inputCol="_full", outputCol="features", indices=[at[c] for c in chosen]
+    )
+    return slicer.transform(df.withColumnRenamed("features", "_full")).drop("_full")
+
+
 def run_cv(
     prepared: DataFrame,
     features: Sequence[str],
     key: str,
     build: Callable[[], Estimator],
     folds: int,
+    chosen: Sequence[Sequence[str]] | None = None,
 ) -> CvResult:
     """Fit one model per fold on the other folds; score each row by the model that
-    did not see it. The held-out fold also drives early stopping."""
+    did not see it. The held-out fold also drives early stopping. ``chosen`` gives each
+    fold its own subset of the features."""
+    picks = [list(c) for c in chosen] if chosen is not None else [list(features)] * folds
     models, parts = [], []
     for k in range(folds):
         estimator = build()
+        rows = sliced(prepared, features, picks[k])
         held_out = F.col("fold") == k
         if estimator.hasParam("validationIndicatorCol"):
-            model = estimator.fit(prepared.withColumn("_validation", held_out))
+            model = estimator.fit(rows.withColumn("_validation", held_out))
         else:
-            model = estimator.fit(prepared.where(~held_out))
+            model = estimator.fit(rows.where(~held_out))
         models.append(model)
-        scored = model.transform(prepared.where(held_out))
+        scored = model.transform(rows.where(held_out))
         parts.append(scored.select(key, "fold", "label", probability().alias("p")))
     oof = parts[0]
     for part in parts[1:]:
         oof = oof.unionByName(part)
-    return CvResult(list(features), models, checkpointed(oof))
+    return CvResult(picks, models, checkpointed(oof))
 
 
 def mean_scores(parts: Sequence[DataFrame], key: str, score: str = "p") -> DataFrame:
@@ -199,7 +215,9 @@ def fold_importances(result: CvResult) -> DataFrame:
     rows = [
         (k, name, float(value))
         for k, model in enumerate(result.models)
-        for name, value in zip(result.features, model.featureImportances.toArray(), strict=True)
+        for name, value in zip(
+            result.chosen[k], model.featureImportances.toArray(), strict=True
+        )
     ]
     return spark.createDataFrame(rows, "fold int, feature string, importance double")
 

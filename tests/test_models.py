@@ -39,6 +39,17 @@ def test_training_finds_the_planted_signal(trained):
     assert trained.oof.count() == 600
 
 
+def test_each_fold_selects_its_own_features(spark, planted):
+    config = scoring.TrainConfig(
+        folds=2, n_features=1, method="mutual_info", learner_a=PARAMS, learner_b=PARAMS, blend_steps=4
+    )
+    doubled = planted.withColumn("x3", F.when(F.col("SK_ID_CURR") % 2 == 0, F.col("x1")).otherwise(0.1))
+    bundle = scoring.train(doubled, config).bundle
+    assert len(bundle.chosen_a) == 2 and set(sum(bundle.chosen_a, [])) == set(bundle.features)
+    out = bundle.score(doubled, reasons=True)
+    assert out.count() == 600 and out.where(F.col("predicted_pd").isNull()).count() == 0
+
+
 def test_bundle_survives_storage(spark, planted, trained, tmp_path):
     path = str(tmp_path / "bundle")
     trained.bundle.save(path)
