@@ -70,14 +70,13 @@ def profile_children(df: DataFrame, profile: Profile, key: str = KEY) -> DataFra
 
 
 def add_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:
-    if not ratios:
-        return df
-    return df.withColumns(
-        {
-            name: guarded_ratio(F.coalesce(F.col(a), F.lit(0)), F.col(b))
-            for name, (a, b) in ratios.items()
-        }
-    )
+    """Guarded ratios of two measures; a missing count in the numerator counts as zero."""
+    texts = [
+        f"CASE WHEN `{b}` = 0 THEN 0D ELSE"
+        f" try_divide(CAST(coalesce(`{a}`, 0) AS DOUBLE), CAST(`{b}` AS DOUBLE)) END AS `{name}`"
+        for name, (a, b) in ratios.items()
+    ]
+    return df.selectExpr("*", *texts)
 
 
 def _zero(name: str) -> Column:

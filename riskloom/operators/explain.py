@@ -138,11 +138,14 @@ def tree_contributions(
     features: Sequence[str],
     models: Sequence[Model],
     chosen: Sequence[Sequence[str]] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(key, base_value, contributions) in log-odds, averaged over the models.
+    """(key, carried columns, base_value, contributions) in log-odds, averaged over the
+    models.
 
     ``contributions`` follows the order of ``features``; ``chosen`` names the inputs of
-    each model when a model was fitted on some of them only.
+    each model when a model was fitted on some of them only. ``carry`` passes further
+    columns through, so that they need no join.
     """
     check = [f for f in features if f not in df.columns]
     if check:
@@ -165,18 +168,17 @@ def tree_contributions(
                 b, c = attribute_paths(x, trees)
                 base, total = base + b, total + c
             scale = MARGIN_TO_LOG_ODDS / len(nodes.value)
-            yield pd.DataFrame(
-                {
-                    key: batch[key],
-                    "base_value": base * scale,
-                    "contributions": list(total * scale),
-                }
-            )
-
-    filled = df.selectExpr(f"`{key}`", *[filled_sql(c) for c in names])
-    kind = dict(df.dtypes)[key]
+            out = batch[kept].copy()
+            out["base_value"] = base * scale
+            out["contributions"] = list(total * scale)
+            yield out
+
+    kept = [key, *carry]
+    filled = df.selectExpr(*[f"`{c}`" for c in kept], *[filled_sql(c) for c in names])
+    kinds = dict(df.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept)
     return filled.mapInPandas(
-        explain, f"`{key}` {kind}, base_value double, contributions array<double>"
+        explain, f"{schema}, base_value double, contributions array<double>"
     )
 
 

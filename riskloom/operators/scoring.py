@@ -11,7 +11,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import flag, nan_to_null, sentinel_to_null
@@ -93,7 +93,7 @@ class Bundle:
             rows = self.encoder.transform(rows)
         return align(rows, [self.key, *self.features])
 
-    def probabilities(self, matrix: DataFrame) -> DataFrame:
+    def probabilities(self, matrix: DataFrame, keep_features: bool = False) -> DataFrame:
         """Blended, uncalibrated score ``p``: mean per learner group, then the blend."""
         filled = matrix.selectExpr(f"`{self.key}`", *[filled_sql(c) for c in self.features])
         rows = VectorAssembler(inputCols=self.features, outputCol="features").transform(filled)
@@ -117,7 +117,8 @@ class Bundle:
             score = ensemble.blend(a, b, self.weight)
         else:
             score = a if a is not None else b
-        return rows.select(self.key, score.alias("p"))
+        kept = self.features if keep_features else []
+        return rows.select(self.key, *kept, score.alias("p"))
 
     def score(
         self,
@@ -130,34 +131,35 @@ class Bundle:
         unrounded probability."""
         limit = self.threshold if threshold is None else threshold
         matrix = self.matrix(df, engineer)
-        scored = self.probabilities(matrix)
+        scored = self.probabilities(matrix, keep_features=reasons)
         if self.calibrator is not None:
             scored = self.calibrator.transform(scored, "p", "pd")
         else:
             scored = scored.withColumn("pd", F.col("p"))
-        out = scored.select(
-            self.key,
+        columns = [
+            F.col(self.key),
             F.round("pd", 6).alias("predicted_pd"),
             flag(F.col("pd") >= limit).alias("decision"),
-        )
-        if not reasons:
-            return out
-        why = self.explain(matrix).select(self.key, "top_reasons")
-        return out.join(why, self.key, "left")
+        ]
+        if reasons:
+            scored = self.contributions(scored, carry=["pd"])
+            columns.append(self._reasons())
+        return scored.select(*columns)
+
+    def contributions(self, matrix: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+        models = [*self.models_a, *self.models_b]
+        chosen = [*self.chosen_a, *self.chosen_b]
+        return tree_contributions(matrix, self.key, self.features, models, chosen, carry)
+
+    def _reasons(self) -> Column:
+        pairs = named_contributions(F.col("contributions"), self.features)
+        return top_reasons(pairs, digits=6).alias("top_reasons")
 
     def explain(self, matrix: DataFrame) -> DataFrame:
         """Calibrated score, log-odds, base and the top reasons of every row."""
         check_feature_order([c for c in matrix.columns if c != self.key], self.features)
-        parts = tree_contributions(
-            matrix,
-            self.key,
-            self.features,
-            [*self.models_a, *self.models_b],
-            [*self.chosen_a, *self.chosen_b],
-        )
-        scored = explained_scores(parts, self.key, self.calibrator)
-        pairs = named_contributions(F.col("contributions"), self.features)
-        return scored.withColumn("top_reasons", top_reasons(pairs, digits=6))
+        scored = explained_scores(self.contributions(matrix), self.key, self.calibrator)
+        return scored.select("*", self._reasons())
 
     # -- storage ------------------------------------------------------------------
 
