@@ -45,6 +45,36 @@ def csv_table_scan(spark: SparkSession, sf: str) -> DataFrame:
     return tables.load_table(spark, "bureau", path=path)
 
 
+@query(
+    "credit_table_sizes",
+    """
+SELECT 'application_train' AS name, CAST(count(*) AS BIGINT) AS n_rows FROM customer
+UNION ALL SELECT 'application_test', count(*) FROM customer
+UNION ALL SELECT 'bureau', count(*) FROM orders
+UNION ALL SELECT 'bureau_balance', count(*) FROM lineitem
+UNION ALL SELECT 'previous_application', count(*) FROM orders
+UNION ALL SELECT 'installments_payments', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT 'pos_cash_balance', count(*) FROM events
+UNION ALL SELECT 'credit_card_balance', count(*) FROM events""",
+)
+def credit_table_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight tables written as CSV files under their own names and loaded back."""
+    directory = scratch_path(spark, "raw")
+    sources = {
+        "application_train": spark_view(spark, sf, "application"),
+        "application_test": spark_view(spark, sf, "application").drop("TARGET"),
+        **credit_tables(spark, sf),
+    }
+    for name, rows in sources.items():
+        sinks.write_scores(rows, f"{directory}/{tables.TABLES[name].file}")
+    out = None
+    for name, rows in tables.load_tables(spark, directory).items():
+        part = rows.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "n_rows")
+        out = part if out is None else out.unionByName(part)
+    assert out is not None
+    return out
+
+
 @query(
     "loan_bridge_scan",
     "SELECT o_custkey AS SK_ID_CURR, o_orderkey AS SK_ID_BUREAU FROM orders",

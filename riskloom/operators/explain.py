@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import sigmoid
-from riskloom.functions.naming import feature_label
+from riskloom.functions.naming import capitalize_first, feature_label
 from riskloom.operators.training import filled_sql
 from riskloom.plans.lineage import scratch_path
 from riskloom.plans.shape import tall
@@ -259,11 +259,10 @@ def explanation_rows(reasons: DataFrame, key: str) -> DataFrame:
 
 def reason_text(reasons: DataFrame, key: str) -> DataFrame:
     """(key, text): numbered reasons in one string, for a letter or a reply."""
-    label = feature_label(F.col("feature"))
-    words = F.concat(F.upper(F.left(label, F.lit(1))), F.lower(F.expr("substring(_l, 2)")))
+    words = capitalize_first(feature_label(F.col("feature")))
     way = F.when(F.col("contribution") > 0, "Increases risk").otherwise("Decreases risk")
     line = F.concat(F.col("rank").cast("string"), F.lit(". "), words, F.lit(" - "), way)
-    lines = reasons.withColumn("_l", label).withColumn("_line", line)
+    lines = reasons.withColumn("_line", line)
     ordered = F.array_sort(F.collect_list(F.struct("rank", "_line")))
     return lines.groupBy(key).agg(
         F.array_join(F.transform(ordered, lambda r: r["_line"]), "; ").alias("reasons")

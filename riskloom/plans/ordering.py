@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 8_192
+MAX_BUCKETS = 32_768
 SAMPLE_PER_BUCKET = 1_000
 GRID_STEP = 1_000
 
