@@ -397,7 +397,7 @@ SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY abs(contribu
   feature, round(contribution, 6) AS contribution FROM k QUALIFY rank <= 3""",
 )
 def linear_reasons(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(explain.reasons_from_long(_linear(spark, sf), "vec_id", 3))
+    return rounded(explain.reason_rows(_linear(spark, sf), "vec_id", 3))
 
 
 @query(
@@ -406,7 +406,8 @@ def linear_reasons(spark: SparkSession, sf: str) -> DataFrame:
     + " SELECT feature, round(avg(abs(contribution)), 6) AS importance FROM k GROUP BY feature",
 )
 def global_contribution_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(explain.global_importance(_linear(spark, sf)))
+    rows = explain.contribution_rows(_linear(spark, sf), "vec_id")
+    return rounded(explain.global_importance(rows))
 
 
 @query(
@@ -418,8 +419,10 @@ SELECT vec_id, round(raw, 6) AS raw_score,
 )
 def linked_linear_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Log-odds to probability first, calibration second."""
-    packed = _linear(spark, sf).groupBy("vec_id").agg(
-        F.collect_list("contribution").alias("contributions"), F.lit(-2.0).alias("base_value")
+    packed = _linear(spark, sf).select(
+        "vec_id",
+        F.col("pairs.contribution").alias("contributions"),
+        F.lit(-2.0).alias("base_value"),
     )
     calibrator = calibration.SigmoidCalibrator(1.2, -0.1)
     return explain.explained_scores(packed, "vec_id", calibrator).select("vec_id", "raw_score", "pd")
@@ -437,13 +440,12 @@ l AS (SELECT *, CASE feature WHEN 'AMT_CREDIT' THEN 'loan amount' WHEN 'DAYS_BIR
 )
 
 
-def _credit_reasons(spark: SparkSession, sf: str) -> DataFrame:
+def _credit_pairs(spark: SparkSession, sf: str) -> DataFrame:
     app = spark_view(spark, sf, "application")
     weights = {"AMT_CREDIT": 1e-5, "DAYS_BIRTH": 1e-4, "CNT_CHILDREN": 0.3}
     row = app.agg(*[F.avg(c).alias(c) for c in weights]).first()
     assert row is not None
-    parts = explain.linear_contributions(app, "SK_ID_CURR", weights, row.asDict())
-    return explain.reasons_from_long(parts, "SK_ID_CURR", 2)
+    return explain.linear_contributions(app, "SK_ID_CURR", weights, row.asDict())
 
 
 @query(
@@ -454,7 +456,8 @@ SELECT SK_ID_CURR, rank, factor, CASE WHEN contribution > 0 THEN 'increases risk
   round(abs(contribution), 5) AS impact FROM l""",
 )
 def structured_explanations(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.explanation_rows(_credit_reasons(spark, sf), "SK_ID_CURR")
+    reasons = explain.reason_rows(_credit_pairs(spark, sf), "SK_ID_CURR", 2)
+    return explain.explanation_rows(reasons, "SK_ID_CURR")
 
 
 @query(
@@ -465,7 +468,7 @@ SELECT SK_ID_CURR, string_agg(CAST(rank AS VARCHAR) || '. ' || upper(factor[1])
   CASE WHEN contribution > 0 THEN 'Increases risk' ELSE 'Decreases risk' END, '; ' ORDER BY rank) AS reasons FROM l GROUP BY 1""",
 )
 def reason_letters(spark: SparkSession, sf: str) -> DataFrame:
-    return explain.reason_text(_credit_reasons(spark, sf), "SK_ID_CURR")
+    return explain.reason_text(_credit_pairs(spark, sf), "SK_ID_CURR", 2)
 
 
 # -- streams ------------------------------------------------------------------------------

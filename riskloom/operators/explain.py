@@ -21,7 +21,6 @@ from riskloom.functions.columns import sigmoid
 from riskloom.functions.naming import capitalize_first, feature_label
 from riskloom.operators.training import filled_sql
 from riskloom.plans.lineage import scratch_path
-from riskloom.plans.shape import tall
 
 TOP_REASONS = 5
 # Spark's boosted trees turn a margin m into 1 / (1 + exp(-2 m)).
@@ -44,13 +43,25 @@ def check_feature_order(columns: Sequence[str], expected: Sequence[str]) -> None
 def linear_contributions(
     df: DataFrame, key: str, coefficients: dict[str, float], means: dict[str, float]
 ) -> DataFrame:
-    """(key, feature, contribution) with contribution = coefficient * (value - mean)."""
-    parts = {
-        c: F.col(c).cast("double") * w - F.lit(float(means[c] * w))
-        for c, w in coefficients.items()
-    }
-    wide = df.select(key, *[e.alias(c) for c, e in parts.items()])
-    return tall(wide, list(coefficients), [key], "feature", "contribution")
+    """(key, pairs) with contribution = coefficient * (value - mean) per feature.
+
+    The pairs stay one array per row, so reasons and scores need no shuffle.
+    """
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("feature"),
+                (F.col(c).cast("double") * w - F.lit(float(means[c] * w))).alias("contribution"),
+            )
+            for c, w in coefficients.items()
+        ]
+    )
+    return df.select(key, pairs.alias("pairs"))
+
+
+def contribution_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, feature, contribution): the pairs as a tall table."""
+    return df.select(key, F.inline("pairs"))
 
 
 # -- tree ensembles --------------------------------------------------------------------
@@ -226,10 +237,10 @@ def top_reasons(pairs: Column, n: int = TOP_REASONS, digits: int | None = None)
     return F.transform(F.slice(F.array_sort(keyed), 1, n), shown)
 
 
-def reasons_from_long(df: DataFrame, key: str, n: int = TOP_REASONS) -> DataFrame:
-    """(key, rank, feature, contribution) from a tall table of contributions."""
-    packed = df.groupBy(key).agg(F.collect_list(F.struct("feature", "contribution")).alias("_p"))
-    return packed.select(key, F.posexplode(top_reasons(F.col("_p"), n)).alias("_i", "_r")).select(
+def reason_rows(df: DataFrame, key: str, n: int = TOP_REASONS) -> DataFrame:
+    """(key, rank, feature, contribution) of the top reasons of every row."""
+    top = F.posexplode(top_reasons(F.col("pairs"), n)).alias("_i", "_r")
+    return df.select(key, top).select(
         key, (F.col("_i") + 1).alias("rank"), "_r.feature", "_r.contribution"
     )
 
@@ -257,13 +268,13 @@ def explanation_rows(reasons: DataFrame, key: str) -> DataFrame:
     )
 
 
-def reason_text(reasons: DataFrame, key: str) -> DataFrame:
-    """(key, text): numbered reasons in one string, for a letter or a reply."""
-    words = capitalize_first(feature_label(F.col("feature")))
-    way = F.when(F.col("contribution") > 0, "Increases risk").otherwise("Decreases risk")
-    line = F.concat(F.col("rank").cast("string"), F.lit(". "), words, F.lit(" - "), way)
-    lines = reasons.withColumn("_line", line)
-    ordered = F.array_sort(F.collect_list(F.struct("rank", "_line")))
-    return lines.groupBy(key).agg(
-        F.array_join(F.transform(ordered, lambda r: r["_line"]), "; ").alias("reasons")
-    )
+def reason_text(df: DataFrame, key: str, n: int = TOP_REASONS) -> DataFrame:
+    """(key, reasons): numbered reasons in one string, for a letter or a reply."""
+
+    def line(reason: Column, i: Column) -> Column:
+        words = capitalize_first(feature_label(reason["feature"]))
+        way = F.when(reason["contribution"] > 0, "Increases risk").otherwise("Decreases risk")
+        return F.concat((i + 1).cast("string"), F.lit(". "), words, F.lit(" - "), way)
+
+    lines = F.transform(top_reasons(F.col("pairs"), n), line)
+    return df.select(key, F.array_join(lines, "; ").alias("reasons"))

@@ -145,11 +145,13 @@ def test_log_delta(spark):
 
 
 def test_linear_reasons_ties_by_name(spark):
-    df = spark.createDataFrame(
-        [(1, "b", 0.5), (1, "a", -0.5), (1, "c", 0.1)], "id long, feature string, contribution double"
-    )
-    out = explain.reasons_from_long(df, "id", 2).orderBy("rank").collect()
-    assert [(r["feature"], r["rank"]) for r in out] == [("a", 1), ("b", 2)]
+    df = spark.createDataFrame([(1, 3.0, 1.0, 0.1)], "id long, b double, a double, c double")
+    means = {"b": 2.5, "a": 1.5, "c": 0.0}
+    pairs = explain.linear_contributions(df, "id", {"b": 1.0, "a": 1.0, "c": 1.0}, means)
+    out = explain.reason_rows(pairs, "id", 2).orderBy("rank").collect()
+    assert [(r["feature"], r["rank"], r["contribution"]) for r in out] == [("a", 1, -0.5), ("b", 2, 0.5)]
+    text = explain.reason_text(pairs, "id", 1).first()["reasons"]
+    assert text == "1. A - Decreases risk"
 
 
 def test_stream_scoring_equals_batch(spark, planted, trained, tmp_path):
