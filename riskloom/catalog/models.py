@@ -215,16 +215,47 @@ def calibration_by_split(spark: SparkSession, sf: str) -> DataFrame:
     return calibration.calibrate_with_split(rows, "id").brier_table()
 
 
-@query("sigmoid_calibration")
+@query(
+    "sigmoid_calibration",
+    # Newton steps of the two-parameter logistic likelihood
+    SCORED.replace("WITH ", "WITH RECURSIVE ", 1)
+    + """, steps AS (
+  SELECT 0 AS i, 0e0 AS a, 0e0 AS b
+  UNION ALL
+  SELECT i + 1, max(a) + (sum(w) * sum(p * r) - sum(w * p) * sum(r)) / (sum(w) * sum(w * p * p) - sum(w * p) * sum(w * p)),
+    max(b) + (sum(w * p * p) * sum(r) - sum(w * p) * sum(p * r)) / (sum(w) * sum(w * p * p) - sum(w * p) * sum(w * p))
+  FROM (SELECT i, a, b, score_b AS p, label - 1 / (1 + exp(-(a * score_b + b))) AS r,
+      1 / (1 + exp(-(a * score_b + b))) * (1 - 1 / (1 + exp(-(a * score_b + b)))) AS w
+    FROM steps, scored WHERE i < 30)
+  GROUP BY i)
+SELECT id, round(score_b, 4) AS p, round(1 / (1 + exp(-(a * score_b + b))), 4) AS calibrated
+FROM scored, (SELECT a, b FROM steps WHERE i = 30)""",
+)
 def sigmoid_calibration(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark_view(spark, sf, "scored").select("id", "label", F.col("score_b").alias("p"))
-    return calibration.fit_sigmoid(rows).transform(rows, "p", "calibrated")
+    out = calibration.fit_sigmoid(rows).transform(rows, "p", "calibrated")
+    return rounded(out.drop("label"), 4)
 
 
-@query("isotonic_calibration")
+@query(
+    "isotonic_calibration",
+    # max-min formula of the monotone fit, then interpolation between neighbouring knots
+    SCORED
+    + """, g AS (
+  SELECT floor(score_b * 1e6 + 0.5) / 1e6 AS x, sum(label) AS s, count(*) AS n FROM scored GROUP BY 1),
+o AS (SELECT row_number() OVER (ORDER BY x) AS i, x, s, n, sum(s) OVER (ORDER BY x) AS cs, sum(n) OVER (ORDER BY x) AS cn FROM g),
+m AS (SELECT a.i AS j, b.i AS k, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS v FROM o a JOIN o b ON a.i <= b.i),
+f AS (SELECT j, k, min(v) OVER (PARTITION BY j ORDER BY k DESC ROWS UNBOUNDED PRECEDING) AS v FROM m),
+knots AS (SELECT o.x, max(f.v) AS y FROM f JOIN o ON o.i = f.k GROUP BY o.x),
+ends AS (SELECT x AS x0, y AS y0, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM knots),
+hit AS (SELECT id, score_b AS p, x0, y0, x1, y1 FROM scored ASOF LEFT JOIN ends ON score_b >= x0)
+SELECT id, round(p, 6) AS p, round(CASE WHEN x0 IS NULL THEN (SELECT arg_min(y, x) FROM knots) WHEN x1 IS NULL THEN y0
+  ELSE y0 + (y1 - y0) * (p - x0) / (x1 - x0) END, 6) AS calibrated FROM hit""",
+)
 def isotonic_calibration(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark_view(spark, sf, "scored").select("id", "label", F.col("score_b").alias("p"))
-    return calibration.fit_isotonic(rows).transform(rows, "p", "calibrated")
+    out = calibration.fit_isotonic(rows).transform(rows, "p", "calibrated")
+    return rounded(out.drop("label"))
 
 
 # -- learners: a planted label on the embedding columns ----------------------------------
@@ -352,7 +383,10 @@ def batch_scoring(spark: SparkSession, sf: str) -> DataFrame:
 # -- explanations -----------------------------------------------------------------------
 
 
-@query("tree_contribution_check")
+@query(
+    "tree_contribution_check",
+    "SELECT CAST(count(*) AS BIGINT) AS n, TRUE AS sums_to_score FROM embeddings",
+)
 def tree_contribution_check(spark: SparkSession, sf: str) -> DataFrame:
     """Largest gap between base + contributions and the model's own log-odds."""
     prepared = _prepared(spark, sf, 2)
