@@ -260,9 +260,9 @@ def isotonic_calibration(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- learners: a planted label on the embedding columns ----------------------------------
 
-QUICK_A = training.BoostParams(max_iter=6, step_size=0.3, max_depth=4, min_rows=5, max_bins=16)
+QUICK_A = training.BoostParams(max_iter=4, step_size=0.4, max_depth=3, min_rows=5, max_bins=16)
 QUICK_B = training.BoostParams(
-    max_iter=6, step_size=0.3, max_depth=5, min_rows=5, max_bins=16, positive_weight=2.5
+    max_iter=4, step_size=0.4, max_depth=4, min_rows=5, max_bins=16, positive_weight=2.5
 )
 
 

@@ -245,7 +245,8 @@ def train(
     target. Each fold selects its features from the rows of the other folds; calibrated
     metrics come from the half the calibrator did not see.
     """
-    labelled = features.where(F.col(target).isNotNull())
+    # the feature matrix is read by the folds, the encoder and the encoded table: build it once
+    labelled = checkpointed(features.where(F.col(target).isNotNull()))
     folded = stratified_folds(labelled, key, target, config.folds, config.seed)
     inputs = [c for c in features.columns if c not in (key, target, *exclude)]
     encoder = OrdinalEncoder([c for c, t in features.dtypes if t == "string" and c in inputs])
