@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontaminate, secret_scan
+from riskloom.llm import bpe, decontaminate, minhash, secret_scan
 from riskloom.llm.common import read
 
 QUERIES = {}
@@ -50,3 +50,29 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+def vocabulary() -> str:
+    """Where the public vocabulary lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    rows = bpe.encode(read(spark, sf_dir, "documents"), vocabulary())
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components over 3-word shingles at 0.85 similarity."""
+    rows = minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
