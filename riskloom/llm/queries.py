@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, decontaminate, minhash, secret_scan
-from riskloom.llm.common import read
+from riskloom.llm import bpe, decontaminate, langid, minhash, quality, secret_scan, toxicity
+from riskloom.llm.common import fold, read
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,44 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over 3-word shingles at 0.85 similarity."""
     rows = minhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
     return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by its nearest labelled examples."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    index = toxicity.train(docs, read(spark, sf_dir, "labels"), usable=~held_out)
+    score = F.col("toxicity.score")
+    return toxicity.scored(docs, index).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"),
+        F.array_join(F.slice("toxicity.evidence", 1, 5).cast("array<string>"), ",").alias("evidence"),
+    )
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from its lines."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.train(docs, read(spark, sf_dir, "labels"), usable=~held_out)
+    return quality.scored(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, family first."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = langid.train(docs, usable=~held_out)
+    return langid.predicted(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score"
+    )
