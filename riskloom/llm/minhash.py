@@ -9,8 +9,9 @@ candidates.
 Documents with equal sets are one class from the start. In each bucket every class is
 paired with one hub (a star), which bounds the pairs by the bucket's size, and pairs are
 confirmed on the full sets. A star alone can miss links between two members, so buckets
-whose members still lie in several components go on: more stars with other hubs while
-many pairs are open, then all open pairs between different components. Pairs inside one
+whose members still lie in several components go on: a second star with another hub, then
+the pairs between different components, all of them in small buckets and those that share
+one of their rarest shingles (an exact condition) in large ones. Pairs inside one
 component cannot change the result and are never looked at.
 
 Rows without words link with nothing. Rows with a null id take part; they cannot name a
@@ -33,11 +34,10 @@ from pyspark.sql import types as T
 from riskloom.llm.common import stored, texts
 from riskloom.llm.components import components
 
-BINS_LOG2 = 7
-ROWS = 4
+BINS_LOG2 = 8
+ROWS = 6
 NO_ID = 2**63 - 1
-STAR_ROUNDS = 6
-OPEN_PAIRS = 4
+SMALL_BUCKET = 12
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,13 +113,18 @@ def signature(members: np.ndarray, bins_log2: int = BINS_LOG2) -> np.ndarray:
 
 
 def band_hashes(values: np.ndarray, rows: int) -> np.ndarray:
-    table = values.reshape(-1, rows)
+    table = values[: len(values) // rows * rows].reshape(-1, rows)
     total = np.arange(len(table), dtype=np.uint64) + np.uint64(1)
     for i in range(rows):
         total = _mix(total * _BASE + table[:, i])
     return total.view(np.int64)
 
 
+def _class_of(members: np.ndarray) -> list[int]:
+    """128 bits that equal sets share."""
+    return np.frombuffer(hashlib.md5(members.tobytes()).digest(), np.int64).tolist()
+
+
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, one, two, bands = [], [], [], []
@@ -127,9 +132,8 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int, rows: int) -> Itera
             members = shingle_set(text, shingle)
             sizes.append(len(members))
             if len(members):
-                digest = np.frombuffer(hashlib.md5(members.tobytes()).digest(), np.int64)
-                one.append(int(digest[0]))
-                two.append(int(digest[1]))
+                for column, value in zip((one, two), _class_of(members)):
+                    column.append(value)
                 bands.append(band_hashes(signature(members), rows))
             else:
                 one.append(None)
@@ -168,6 +172,72 @@ def _confirmed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) ->
         yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
 
+def _class_texts(base: DataFrame, wanted: DataFrame, order, shingle: int) -> DataFrame:
+    """(c, text): one text for each wanted class."""
+    wanted = stored(wanted, "wanted")
+    ids = wanted.select(F.when(F.col("c.id") != NO_ID, F.col("c.id")).alias("wanted_id")).distinct()
+    found = base.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [_class_of(shingle_set(t, shingle)) for t in batch.column(1).to_pylist()]
+            yield pa.record_batch(
+                [*batch.columns, *(pa.array([p[i] for p in pairs], pa.int64()) for i in range(2))],
+                ["doc_id", "text", "c1", "c2"],
+            )
+
+    return stored(
+        found.mapInArrow(digests, "doc_id long, text string, c1 long, c2 long")
+        .select(F.struct(order.alias("id"), "c1", "c2").alias("c"), "text")
+        .join(wanted, "c", "left_semi")
+        .dropDuplicates(["c"]),
+        "texts",
+    )
+
+
+def _prefix_pairs(members: DataFrame, whole: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (x, y) of different roots that can still be linked, by rarest shingles.
+
+    Of ``n`` shingles in one fixed order, linked sets share one of their first
+    ``n - ceil(n * percent / 100) + 1``. With the rarest first, these are mostly a text's
+    own, so a large bucket gives few pairs although none is left out.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle).view(np.int64) for t in batch.column(2).to_pylist()]
+            at = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            for part in np.array_split(np.arange(len(at)), len(at) // 100_000 + 1):
+                flat = np.concatenate(sets)[part] if len(part) else np.empty(0, np.int64)
+                rows = pa.array(at[part])
+                yield pa.record_batch(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(flat)], ["c", "root", "s"]
+                )
+
+    kind = T.StructType([*members.select("c", "root").schema.fields, T.StructField("s", T.LongType())])
+    tokens = stored(
+        members.join(whole, "c").select("c", "root", "text").mapInArrow(spread, kind), "shingles"
+    )
+    counts = stored(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "rarity")
+    ordered = tokens.join(counts, "s").groupBy("c", "root").agg(
+        F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all")
+    )
+    n = F.size("all")
+    first = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    prefix = stored(
+        ordered.select("c", "root", n.alias("n"), F.explode(F.slice("all", F.lit(1), first)).alias("t"))
+        .select("c", "root", "n", F.col("t.s").alias("s")),
+        "prefixes",
+    )
+    across = (
+        prefix.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    )
+    left = stored(prefix.join(stored(across.select("s"), "across"), "s"), "prefixes")
+    right = left.select("s", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    near = 100 * F.least("n", "ny") >= percent * F.greatest("n", "ny")
+    return left.join(right, "s").where((F.col("root") < F.col("ry")) & near).select(F.col("c").alias("x"), "y").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -227,83 +297,58 @@ def near_duplicates(
             .select(F.col("c").alias("x"), F.col("h.c").alias("y"))
         )
 
-    needed_type = T.StructType([*shared.select(F.col("c").alias("x"), F.col("c").alias("y")).schema.fields])
+    pair_type = T.StructType([*shared.select(F.col("c").alias("x"), F.col("c").alias("y")).schema.fields])
+    whole = _class_texts(base, shared.select("c").distinct(), order, shingle)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Links among the pairs, each confirmed on the two full sets."""
-        pairs = stored(pairs.distinct(), "pairs")
-        wanted = pairs.select(F.col("x").alias("c")).unionByName(pairs.select(F.col("y").alias("c"))).distinct()
-        ids = wanted.select(
-            F.when(F.col("c.id") != NO_ID, F.col("c.id")).alias("doc_id"), F.col("c")
-        )
-        found = base.join(ids.select("doc_id").distinct(), F.expr("true") & base["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-
-        def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                one, two = [], []
-                for text in batch.column(1).to_pylist():
-                    members = shingle_set(text, shingle)
-                    digest = np.frombuffer(hashlib.md5(members.tobytes()).digest(), np.int64)
-                    one.append(int(digest[0]))
-                    two.append(int(digest[1]))
-                yield pa.record_batch(
-                    [*batch.columns, pa.array(one, pa.int64()), pa.array(two, pa.int64())],
-                    ["doc_id", "text", "c1", "c2"],
-                )
-
-        whole = stored(
-            found.mapInArrow(digests, "doc_id long, text string, c1 long, c2 long")
-            .select(F.struct(order.alias("id"), "c1", "c2").alias("c"), "text")
-            .join(wanted, "c", "left_semi")
-            .dropDuplicates(["c"]),
-            "wanted",
-        )
         both = (
-            pairs.join(whole.select(F.col("c").alias("x"), F.col("text").alias("a")), "x")
+            pairs.distinct()
+            .join(whole.select(F.col("c").alias("x"), F.col("text").alias("a")), "x")
             .join(whole.select(F.col("c").alias("y"), F.col("text").alias("b")), "y")
             .select("x", "y", "a", "b")
         )
-        return stored(both.mapInArrow(lambda b: _confirmed(b, shingle, percent), needed_type), "links")
+        return stored(both.mapInArrow(lambda b: _confirmed(b, shingle, percent), pair_type), "links")
+
+    def label(links: DataFrame) -> DataFrame:
+        edges = links.select(F.col("x").alias("u"), F.col("y").alias("v"))
+        return stored(components(edges).select(F.col("node").alias("c"), "root"), "roots")
+
+    def still_open(roots: DataFrame) -> DataFrame:
+        """Members of buckets that reach over several components, with the bucket's size."""
+        rows = shared.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
+        rows = stored(rows, "labelled")
+        sizes = (
+            rows.groupBy("band")
+            .agg(
+                F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m")
+            )
+            .where("low != high")
+        )
+        return stored(rows.join(stored(sizes.select("band", "m"), "sizes"), "band"), "open")
 
     links = confirm(star(shared.withColumn("root", F.col("c")), 0))
-    for step in range(STAR_ROUNDS):
-        roots = stored(components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))), "roots")
-        labelled = shared.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").withColumn(
-            "root", F.coalesce("root", "c")
+    roots = label(links)
+    again = still_open(roots)
+    if not again.isEmpty():
+        links = stored(links.unionByName(confirm(star(again, 1))), "links")
+        roots = label(links)
+        again = still_open(roots)
+        small = again.where(F.col("m") <= SMALL_BUCKET)
+        other = small.select("band", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+        few = (
+            small.join(other, "band")
+            .where((F.col("root") < F.col("ry")) & fits("n", "ny"))
+            .select(F.col("c").alias("x"), "y")
         )
-        labelled = stored(labelled, "labelled")
-        parts = labelled.groupBy("band", "root").agg(F.count(F.lit(1)).alias("m"))
-        open_buckets = stored(
-            parts.groupBy("band")
-            .agg(
-                F.count(F.lit(1)).alias("roots"),
-                ((F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m"))) / 2).alias("pairs"),
-            )
-            .where("roots > 1")
-            .select("band", "pairs"),
-            "open",
+        members = again.where(F.col("m") > SMALL_BUCKET).select("c", "root").distinct()
+        links = stored(
+            links.unionByName(confirm(few.unionByName(_prefix_pairs(members, whole, shingle, percent)))),
+            "links",
         )
-        many = open_buckets.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
-        if not many:
-            break
-        open_rows = labelled.join(open_buckets.select("band"), "band")
-        last = step == STAR_ROUNDS - 1 or many <= OPEN_PAIRS * labelled.count()
-        if last:
-            other = open_rows.select(
-                "band", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry")
-            )
-            more = open_rows.join(other, "band").where(
-                (F.col("root") < F.col("ry")) & fits("n", "ny")
-            )
-            more = more.select(F.col("c").alias("x"), "y")
-        else:
-            more = star(open_rows, step + 1)
-        links = stored(links.unionByName(confirm(more)), "links")
-        if last:
-            roots = stored(components(links.select(F.col("x").alias("u"), F.col("y").alias("v"))), "roots")
-            break
+        roots = label(links)
     special = (
-        classes.join(roots.select(F.col("node").alias("c"), "root"), "c", "left")
+        classes.join(roots, "c", "left")
         .where("copies > 1 OR root IS NOT NULL")
         .select(
             F.col("c.c1").alias("c1"), F.col("c.c2").alias("c2"), F.coalesce("root.id", "c.id").alias("to")
