@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import stored, texts
+from riskloom.llm.common import row_key, stored, texts
 from riskloom.llm.components import components
 
 BINS_LOG2 = 8
@@ -141,13 +141,14 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int, rows: int) -> Itera
                 bands.append(None)
         yield pa.record_batch(
             [
+                batch.column(2),
                 batch.column(0),
                 pa.array(sizes, pa.int64()),
                 pa.array(one, pa.int64()),
                 pa.array(two, pa.int64()),
                 pa.array(bands, pa.list_(pa.int64())),
             ],
-            ["doc_id", "n", "c1", "c2", "bands"],
+            ["doc_id", "key", "n", "c1", "c2", "bands"],
         )
 
 
@@ -247,23 +248,25 @@ def near_duplicates(
     percent: int = 80,
     rows: int = ROWS,
 ) -> DataFrame:
-    """One row per document: (doc_id, key, n_shingles, component_id, kept, sole).
+    """One row per document: (doc_id, key, n_shingles, component_id, kept, group).
 
     ``component_id`` is the smallest id reachable by links of at least ``percent``
-    hundredths Jaccard similarity, ``kept`` says it is the row's own. ``sole`` is false
-    where several rows carry the kept id of their class, so one has to be chosen.
+    hundredths Jaccard similarity, ``kept`` says it is the row's own. ``group`` names the
+    component also where ids are null, and is null for a text without words.
     """
     base = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    keyed = base.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text", "doc_id")
     kind = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
+            keyed.schema["key"],
             T.StructField("n", T.LongType()),
             T.StructField("c1", T.LongType()),
             T.StructField("c2", T.LongType()),
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
     )
-    signed = stored(base.mapInArrow(lambda b: _signed(b, shingle, rows), kind), "signed")
+    signed = stored(keyed.mapInArrow(lambda b: _signed(b, shingle, rows), kind), "signed")
     order = F.coalesce("doc_id", F.lit(NO_ID))
     classes = stored(
         signed.where("n > 0")
@@ -351,19 +354,51 @@ def near_duplicates(
         classes.join(roots, "c", "left")
         .where("copies > 1 OR root IS NOT NULL")
         .select(
-            F.col("c.c1").alias("c1"), F.col("c.c2").alias("c2"), F.coalesce("root.id", "c.id").alias("to")
+            F.col("c.c1").alias("c1"), F.col("c.c2").alias("c2"), F.coalesce("root", "c").alias("root")
         )
     )
-    special = stored(special, "components")
-    joined = signed.select("doc_id", "n", "c1", "c2").join(special, ["c1", "c2"], "left")
-    own = F.when(F.col("to") == NO_ID, F.lit(None)).when(F.col("to").isNotNull(), F.col("to"))
-    component = F.when(F.col("to").isNull(), F.col("doc_id")).otherwise(own)
+    joined = signed.join(stored(special, "components"), ["c1", "c2"], "left")
+    own = F.when(F.col("n") > 0, F.struct(order.alias("id"), "c1", "c2"))
+    found = F.when(F.col("root.id") == NO_ID, F.lit(None)).otherwise(F.col("root.id"))
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(found)
     return joined.select(
         "doc_id",
+        "key",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
-        F.col("to").isNull().alias("sole"),
-        "c1",
-        "c2",
+        F.coalesce("root", own).alias("group"),
     )
+
+
+def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents with one row left of every group: that of the smallest id.
+
+    Rows without words all stay. Of rows with the same id in one group, and of repeated
+    rows, one stays.
+    """
+    rows = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).where(F.col("group").isNotNull())
+    order = F.coalesce("doc_id", F.lit(NO_ID))
+    keys = stored(
+        rows.groupBy("key").agg(
+            F.first("group").alias("group"), F.min(order).alias("id"), F.count(F.lit(1)).alias("times")
+        ),
+        "keys",
+    )
+    firsts = keys.groupBy("group").agg(
+        F.min(F.struct("id", "key")).alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    firsts = stored(firsts.where("n > 1").select("group", "first"), "firsts")
+    flagged = (
+        keys.join(firsts, "group", "left")
+        .select("key", "times", (F.col("first.key") != F.col("key")).alias("drop"))
+        .where("drop OR times > 1")
+        .select(F.col("key").alias("__key"), F.coalesce("drop", F.lit(False)).alias("__drop"))
+    )
+    flagged = stored(flagged, "flagged")
+    key = row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
+    left = docs.withColumn("__key", key).join(flagged, "__key", "left")
+    single = left.where(F.col("__drop").isNull())
+    if not flagged.where("NOT __drop").isEmpty():
+        single = single.unionByName(left.where(~F.col("__drop")).dropDuplicates(["__key"]))
+    return single.select(docs.columns)
