@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import bpe, decontaminate, langid, minhash, quality, secret_scan, toxicity
+from riskloom.llm import (
+    bpe,
+    decontaminate,
+    embedding_dedup,
+    langid,
+    minhash,
+    quality,
+    secret_scan,
+    toxicity,
+)
 from riskloom.llm.common import fold, read
 
 QUERIES = {}
@@ -117,3 +126,9 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score"
     )
+
+
+@query
+def op9_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings at cosine 0.9."""
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
