@@ -47,7 +47,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2(bpe.decoded(F.col("ids"), vocabulary()), 256).alias("decoded_sha256"),
     )
 
 

@@ -1,8 +1,7 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split at white space. Each distinct word of the corpus is encoded once, and its
-decoded pieces come from a join of its ids with the vocabulary. The ids then return to
-their positions: the most frequent words (at most ``head`` of them, cut at a frequency so
+Texts are split at white space. Each distinct word of the corpus is encoded once. The ids
+then return to their positions: the most frequent words (at most ``head`` of them, cut at a frequency so
 that ties fall out together) go to the tasks as a broadcast of bounded size, so no hot
 word is ever shuffled; all rarer words go through a shuffle join on the word. Between
 the two, a document is a short column of word numbers, not its text.
@@ -10,6 +9,8 @@ the two, a document is a short column of word numbers, not its text.
 Splitting first is exact for a tokenizer whose normaliser and pre-tokenizer never join
 characters across white space and drop the white space itself.
 
+Decoding joins every id with its piece of the vocabulary.
+
 A null text is an empty one: no ids, an empty decoded text. Rows may repeat or lack an
 id; each row keeps its own result.
 """
@@ -23,14 +24,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import stored, texts
 
-HEAD_WORDS = 200_000
-WORDS_HELD = 200_000
+HEAD_WORDS = 400_000
+WORDS_HELD = 1_000_000
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 CONTROLS = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space as well
 
@@ -71,12 +72,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_table(rows: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids, pieces): every distinct word of ``rows.text``, encoded once.
-
-    The count, the encoding, the id-to-piece join and the regrouping all use the one
-    partitioning by word. The vocabulary is broadcast; its file bounds its size.
-    """
-    spark = rows.sparkSession
+    """(word, n, ids): every distinct word of ``rows.text``, encoded once."""
 
     @F.pandas_udf("array<int>")
     def encoded(words):
@@ -85,33 +81,34 @@ def word_table(rows: DataFrame, path: str) -> DataFrame:
         done = tokenizer(path).encode_batch(list(words), add_special_tokens=False)
         return pd.Series([e.ids for e in done], dtype=object)
 
-    vocab = tokenizer(path).get_vocab(with_added_tokens=True)
-    pieces = spark.createDataFrame(
-        pa.table({"id": pa.array(vocab.values(), pa.int32()), "piece": pa.array(vocab.keys(), pa.string())}).to_pandas(),
-        "id int, piece string",
-    )
     table = (
         rows.select("text")
         .mapInArrow(_counted, "word string, n long")
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
         .withColumn("ids", encoded("word"))
-        .select("word", "n", "ids", F.posexplode_outer("ids").alias("pos", "id"))
-        .join(F.broadcast(pieces), "id", "left")
-        .groupBy("word")
-        .agg(
-            F.first("n").alias("n"),
-            F.first("ids").alias("ids"),
-            F.sort_array(F.collect_list(F.struct("pos", "piece"))).alias("at"),
-        )
     )
-    return stored(table.select("word", "n", "ids", F.array_join("at.piece", " ").alias("pieces")), "words")
+    return stored(table, "words")
+
+
+def decoded(ids: Column, path: str) -> Column:
+    """The pieces of an id array joined by a space, as a tokenizer without decoder does.
+
+    The join of ids with pieces is a lookup in the vocabulary, which every task gets as
+    one literal array; the vocabulary file bounds its size.
+    """
+    vocab = tokenizer(path).get_vocab(with_added_tokens=True)
+    pieces = [""] * (max(vocab.values(), default=-1) + 1)
+    for piece, number in vocab.items():
+        pieces[number] = piece
+    table = F.split(F.lit("\0".join(pieces)), "\0")
+    return F.array_join(F.transform(ids, lambda i: F.get(table, i)), " ")
 
 
-def frequency_cut(table: DataFrame, head: int) -> float:
+def frequency_cut(table: DataFrame, head: int) -> int | None:
     """The lowest band of 8 * log2(count) above which at most ``head`` words lie."""
     band = F.floor(F.log2("n") * 8)
-    left, cut = head, float("inf")
+    left, cut = head, None
     counts = table.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("words")).collect()
     for row in sorted(counts, key=lambda r: -r.band):
         left -= row.words
@@ -122,15 +119,57 @@ def frequency_cut(table: DataFrame, head: int) -> float:
 
 
 class Head:
-    """The frequent words in a task: numbers, ids and decoded pieces."""
+    """The frequent words in a task: numbers by falling frequency, and ids laid end to end."""
 
     def __init__(self, packed: bytes):
-        rows = pa.ipc.open_stream(packed).read_all()
-        self.words = rows["word"].to_pylist()
-        self.number = {w: i for i, w in enumerate(self.words)}
-        self.ids = [np.asarray(x, np.int32) for x in rows["ids"].to_pylist()]
-        self.pieces = rows["pieces"].to_pylist()
-        self.size = len(self.words)
+        rows = pa.ipc.open_stream(packed).read_all().combine_chunks()
+        words = rows["word"].to_pylist()
+        self.number = {w: i for i, w in enumerate(words)}
+        self.size = len(words)
+        lengths = np.fromiter((len(x) for x in rows["ids"].to_pylist()), np.int64, self.size)
+        self.flat = np.concatenate([c.flatten().to_numpy() for c in rows["ids"].chunks] or [np.empty(0)]).astype(np.int32)
+        self.length = np.concatenate([lengths, [0]])
+        self.start = np.concatenate([np.cumsum(lengths) - lengths, [0]])
+
+
+DIRECT = 128
+
+
+def pack_numbers(n: np.ndarray) -> bytes:
+    """Word numbers in three parts: a byte each, then 12 bits more for those over ``DIRECT``."""
+    rest = n[n >= DIRECT] - DIRECT
+    first = n.astype(np.uint8)
+    first[n >= DIRECT] = DIRECT + (rest >> 12)
+    return np.uint32(len(n)).tobytes() + first.tobytes() + (rest & 255).astype(np.uint8).tobytes() + (rest >> 8 & 15).astype(np.uint8).tobytes()
+
+
+def unpack_numbers(raw: bytes) -> np.ndarray:
+    size = int(np.frombuffer(raw, np.uint32, 1)[0])
+    first = np.frombuffer(raw, np.uint8, size, 4).astype(np.int64)
+    more = first >= DIRECT
+    k = int(more.sum())
+    low = np.frombuffer(raw, np.uint8, k, 4 + size).astype(np.int64)
+    high = np.frombuffer(raw, np.uint8, k, 4 + size + k).astype(np.int64)
+    first[more] = DIRECT + ((first[more] - DIRECT) << 12) + (high << 8) + low
+    return first
+
+
+def laid_out(numbers: np.ndarray, known: Head, tail: list) -> np.ndarray:
+    """The ids of a document: frequent words by number, the others from ``tail``."""
+    lengths = known.length[numbers]
+    if len(tail) != int((numbers == known.size).sum()):
+        raise ValueError("a word without ids")
+    for t in tail:
+        lengths[t["pos"]] = len(t["ids"])
+    stop = np.cumsum(lengths)
+    out = np.empty(int(stop[-1]) if len(stop) else 0, np.int32)
+    own = np.flatnonzero(numbers < known.size)
+    size = lengths[own]
+    within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(stop[own] - size, size) + within] = known.flat[np.repeat(known.start[numbers[own]], size) + within]
+    for t in tail:
+        out[stop[t["pos"]] - len(t["ids"]) : stop[t["pos"]]] = t["ids"]
+    return out
 
 
 _HELD: dict[int, Head] = {}
@@ -163,7 +202,9 @@ def encode(
     text_col: str = "text",
     head: int = HEAD_WORDS,
 ) -> DataFrame:
-    """One row per document: (doc_id, ids array<int>, decoded string)."""
+    """One row per document: (doc_id, ids array<int>); see ``decoded`` for the way back."""
+    if head > (256 - DIRECT) << 12:
+        raise ValueError("head holds too many words")
     spark = docs.sparkSession
     rows = texts(docs, id_col, text_col)
     keyed = rows.select(
@@ -175,8 +216,8 @@ def encode(
     table = word_table(rows, path)
     cut = frequency_cut(table, head)
     band = F.floor(F.log2("n") * 8)
-    frequent = table.where(band >= cut) if cut != float("inf") else table.limit(0)
-    arrow = frequent.orderBy(F.desc("n"), "word").select("word", "ids", "pieces").toArrow()
+    frequent = table.where(band >= cut) if cut is not None else table.limit(0)
+    arrow = frequent.orderBy(F.desc("n"), "word").select("word", "ids").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, arrow.schema) as writer:
         writer.write_table(arrow)
@@ -204,8 +245,8 @@ def encode(
             bodies = []
             for text in batch.column(3).to_pylist():
                 words = split_words(text)
-                n = np.fromiter((known.number.get(w, known.size) for w in words), "<u4", len(words))
-                bodies.append(pack(n.view(np.uint8).reshape(-1, 4).T.tobytes()))
+                n = np.fromiter((known.number.get(w, known.size) for w in words), np.int64, len(words))
+                bodies.append(pack(pack_numbers(n)))
             yield pa.record_batch(
                 [*batch.columns[:3], pa.array(bodies, pa.binary())], ["doc_id", "a", "b", "body"]
             )
@@ -216,23 +257,10 @@ def encode(
         unpack = zstandard.ZstdDecompressor().decompress
         known = _head(shared)
         for batch in batches:
-            ids, texts_ = [], []
-            for body, tail in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                raw = np.frombuffer(unpack(body), np.uint8)
-                numbers = np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").ravel().tolist()
-                found = {t["pos"]: t for t in tail or ()}
-                at = [known.ids[n] if n < known.size else found[i]["ids"] for i, n in enumerate(numbers)]
-                ids.append(np.concatenate(at).astype(np.int32) if at else np.empty(0, np.int32))
-                texts_.append(
-                    " ".join(
-                        p
-                        for p in (
-                            known.pieces[n] if n < known.size else found[i]["pieces"]
-                            for i, n in enumerate(numbers)
-                        )
-                        if p
-                    )
-                )
+            ids = [
+                laid_out(unpack_numbers(unpack(body)), known, tail or [])
+                for body, tail in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
@@ -240,18 +268,17 @@ def encode(
                 [
                     batch.column(0),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
-                    pa.array(texts_, pa.string()),
                 ],
-                ["doc_id", "ids", "decoded"],
+                ["doc_id", "ids"],
             )
 
     id_type = docs.schema[id_col].dataType
     tails = (
         keyed.select("a", "b", "text")
         .mapInArrow(rare, "a long, b int, pos int, word string")
-        .join(table.select("word", "ids", "pieces"), "word")
+        .join((table if cut is None else table.where(band < cut)).select("word", "ids"), "word")
         .groupBy("a", "b")
-        .agg(F.collect_set(F.struct("pos", "ids", "pieces")).alias("tail"))
+        .agg(F.collect_set(F.struct("pos", "ids")).alias("tail"))
     )
     body_type = T.StructType(
         [
@@ -265,7 +292,6 @@ def encode(
         [
             T.StructField("doc_id", id_type),
             T.StructField("ids", T.ArrayType(T.IntegerType())),
-            T.StructField("decoded", T.StringType()),
         ]
     )
     return (
