@@ -11,6 +11,7 @@ from riskloom.llm import (
     embedding_dedup,
     langid,
     minhash,
+    pii,
     quality,
     secret_scan,
     toxicity,
@@ -132,3 +133,19 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all embeddings at cosine 0.9."""
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and further personal data of every document."""
+    rows = pii.scan(read(spark, sf_dir, "documents"))
+
+    def n(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return rows.select(
+        "doc_id",
+        *[n(kind) for kind in pii.BASE],
+        F.sha2(pii.span_list(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.span_list(F.col("spans")).alias("spans"),
+    )
