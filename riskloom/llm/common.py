@@ -42,3 +42,33 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null ids give null."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
+def _slot(h: Column, slots_log2: int) -> Column:
+    return F.shiftrightunsigned(h, 64 - slots_log2).cast("int")
+
+
+def _bit(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(63)).cast("int")
+
+
+def bit_set(hashes: DataFrame, slots_log2: int = 16) -> Column:
+    """A literal array of ``2**slots_log2`` longs with one bit set per hash ``h``.
+
+    Its size is fixed whatever the number of hashes; more hashes only let more others pass.
+    """
+    rows = (
+        hashes.select(_slot(F.col("h"), slots_log2).alias("slot"), _bit(F.col("h")).alias("bit"))
+        .groupBy("slot")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+        .collect()
+    )
+    packed = ["0"] * (1 << slots_log2)
+    for row in rows:
+        packed[row.slot] = str(row.bits)
+    return F.split(F.lit(",".join(packed)), ",").cast("array<bigint>")
+
+
+def might_hold(h: Column, bits: Column, slots_log2: int = 16) -> Column:
+    """False only for hashes that are not in the bit set."""
+    return F.getbit(F.get(bits, _slot(h, slots_log2)), _bit(h)) == 1

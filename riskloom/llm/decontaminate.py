@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, let, row_key, stored
+from riskloom.llm.common import LOWER, UPPER, bit_set, let, might_hold, row_key, stored
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -74,28 +74,6 @@ def benchmark_windows(items: DataFrame, id_col: str, text_col: str, window: int)
     )
 
 
-def _slot(h: Column, slots_log2: int) -> Column:
-    return F.shiftrightunsigned(h, 64 - slots_log2).cast("int")
-
-
-def _bit(h: Column) -> Column:
-    return h.bitwiseAND(F.lit(63)).cast("int")
-
-
-def bit_set(hashes: DataFrame, slots_log2: int) -> Column:
-    """A literal array of ``2**slots_log2`` longs with one bit set per hash."""
-    rows = (
-        hashes.select(_slot(F.col("h"), slots_log2).alias("slot"), _bit(F.col("h")).alias("bit"))
-        .groupBy("slot")
-        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-        .collect()
-    )
-    packed = ["0"] * (1 << slots_log2)
-    for row in rows:
-        packed[row.slot] = str(row.bits)
-    return F.split(F.lit(",".join(packed)), ",").cast("array<bigint>")
-
-
 def scan(
     docs: DataFrame,
     items: DataFrame,
@@ -131,8 +109,7 @@ def scan(
 
     def hits(tokens: Column, length: int) -> Column:
         def test(h, at):
-            word = F.get(present, _slot(h, slots_log2))
-            found = F.getbit(word, _bit(h)) == 1
+            found = might_hold(h, present, slots_log2)
             return F.when(found, F.struct(at.alias("at"), h.alias("h")))
 
         marked = F.filter(

@@ -14,6 +14,7 @@ from riskloom.llm import (
     pii,
     quality,
     secret_scan,
+    suffix_dedup,
     toxicity,
 )
 from riskloom.llm.common import fold, read
@@ -149,3 +150,19 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_list(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
         pii.span_list(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its 400-byte repeats."""
+    rows = suffix_dedup.without_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda total, s: total + (s["stop"] - s["start"])
+    )
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
