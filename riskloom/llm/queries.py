@@ -18,9 +18,10 @@ from riskloom.llm import (
     toxicity,
 )
 from riskloom.llm.common import fold, read
+from riskloom.llm.oracles import ORACLES  # noqa: F401
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def query(fn):

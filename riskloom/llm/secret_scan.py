@@ -23,13 +23,17 @@ from riskloom.llm.common import let, row_key, stored
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern`` finds a span; ``group`` is the secret inside it, of ``least`` characters."""
+    """``pattern`` finds a span; ``group`` is the secret inside it, of ``least`` characters.
+
+    ``needs`` are patterns of which the secret must match every one.
+    """
 
     name: str
     pattern: str
     group: int = 0
     least: int = 0
     base: bool = False
+    needs: tuple[str, ...] = ()
 
 
 KINDS = (
@@ -46,11 +50,7 @@ KINDS = (
     Kind("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Kind("prefixed", r"\b(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})"),
-    Kind(
-        "opaque",
-        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,60}[0-9])(?=[a-z0-9+/_-]{0,60}[A-Z])"
-        r"(?=[A-Z0-9+/_-]{0,60}[a-z])[A-Za-z0-9+/_-]{32,}={0,2}",
-    ),
+    Kind("opaque", r"[A-Za-z0-9+/_-]{32,}={0,2}", needs=("[0-9]", "[A-Z]", "[a-z]")),
 )
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|1234567|abcdef"
 
@@ -59,6 +59,12 @@ def _spans_of(text: Column, rank: int, kind: Kind) -> Column:
     """Spans of one kind: the pieces between matches give the code point offsets."""
     pattern = F.lit(kind.pattern)
 
+    def wanted(span: Column) -> Column:
+        good = F.length(span["value"]) >= kind.least
+        for need in kind.needs:
+            good = good & span["value"].rlike(need)
+        return good
+
     def located(found: Column) -> Column:
         value = F.regexp_extract_all(text, pattern, F.lit(kind.group)) if kind.group else found
         rows = F.arrays_zip(
@@ -88,7 +94,7 @@ def _spans_of(text: Column, rank: int, kind: Kind) -> Column:
             lambda acc: acc["out"],
         )
         return F.transform(
-            F.filter(walked, lambda s: F.length(s["value"]) >= kind.least),
+            F.filter(walked, wanted),
             lambda s: F.struct(
                 s["start"].alias("start"),
                 F.lit(rank).alias("rank"),
