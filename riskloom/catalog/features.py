@@ -136,22 +136,25 @@ def report_json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "narrowed_types",
     """
-SELECT CAST(c_custkey AS BIGINT) AS SK_ID_CURR, CAST(c_nationkey AS BIGINT) AS nation,
-  c_acctbal < 0 AS overdrawn FROM customer""",
+WITH b AS (
+  SELECT 'SK_ID_CURR' AS feature, min(c_custkey) AS lo, max(c_custkey) AS hi FROM customer
+  UNION ALL SELECT 'nation', min(c_nationkey), max(c_nationkey) FROM customer
+  UNION ALL SELECT 'cents', min(CAST(round(c_acctbal * 100) AS BIGINT)), max(CAST(round(c_acctbal * 100) AS BIGINT)) FROM customer)
+SELECT feature, CASE WHEN lo > -128 AND hi < 127 THEN 'tinyint' WHEN lo > -32768 AND hi < 32767 THEN 'smallint'
+  WHEN lo > -2147483648 AND hi < 2147483647 THEN 'int' ELSE 'bigint' END AS type FROM b
+UNION ALL SELECT 'overdrawn', 'tinyint' UNION ALL SELECT 'balance', 'float' UNION ALL SELECT 'segment', 'string'""",
 )
 def narrowed_types(spark: SparkSession, sf: str) -> DataFrame:
-    """Narrow by observed range; the casts back keep the column types fixed for a reader."""
+    """The types chosen by the observed range of every column."""
     rows = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("SK_ID_CURR"),
         F.col("c_nationkey").alias("nation"),
+        F.round(F.col("c_acctbal") * 100).cast("long").alias("cents"),
         (F.col("c_acctbal") < 0).alias("overdrawn"),
+        F.col("c_acctbal").cast("double").alias("balance"),
+        F.col("c_mktsegment").alias("segment"),
     )
-    narrow = sinks.narrow(rows)
-    return narrow.select(
-        F.col("SK_ID_CURR").cast("long"),
-        F.col("nation").cast("long"),
-        (F.col("overdrawn") == 1).alias("overdrawn"),
-    )
+    return spark.createDataFrame(sinks.narrow(rows).dtypes, "feature string, type string")
 
 
 # -- row features -----------------------------------------------------------------

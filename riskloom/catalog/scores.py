@@ -309,12 +309,18 @@ kp AS (
 SELECT 'second half' AS batch_label, feature, feature = 'shifted' AS is_score, round(psi, 5) AS psi,
   round(ks, 5) AS ks, round(p, 5) AS p_value,
   CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.20 THEN 'moderate' ELSE 'major' END AS status,
-  CASE WHEN psi > 0.20 THEN 'ALERT' WHEN feature = 'shifted' AND psi > 0.10 THEN 'WARN' END AS alert
-FROM psi JOIN kp USING (feature)""",
+  CASE WHEN psi > 0.20 THEN 'ALERT' WHEN feature = 'shifted' AND psi > 0.10 THEN 'WARN' END AS alert,
+  ct AS n_samples
+FROM psi JOIN kp USING (feature) JOIN sizes USING (feature)
+UNION ALL SELECT 'second half', 'lost', FALSE, NULL, NULL, NULL, 'no values', 'ALERT', 0
+UNION ALL SELECT 'second half', 'absent', FALSE, NULL, NULL, NULL, 'no values', 'ALERT', 0""",
 )
 def monitor_batch_check(spark: SparkSession, sf: str) -> DataFrame:
     ref, cur = event_halves(spark, sf)
-    return drift.check_batch(ref, cur, ["value", "squared", "few"], "shifted", "second half")
+    ref = ref.withColumns({"lost": F.col("value"), "absent": F.col("value")})
+    cur = cur.withColumn("lost", F.lit(None).cast("double"))
+    watched = ["value", "squared", "few", "lost", "absent"]
+    return drift.check_batch(ref, cur, watched, "shifted", "second half")
 
 
 @query(
@@ -371,12 +377,13 @@ def daily_psi_against_profile(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "fairness_by_attribute",
     SCORED
-    + """, m AS (SELECT s.id, score_a AS p, label AS y, nullif(s.lang, 'fr') AS lang, s.source FROM scored s),
+    + """, m AS (SELECT s.id, score_a AS p, label AS y, nullif(s.lang, 'fr') AS lang, s.source FROM scored s), m0 AS (SELECT id FROM scored),
 t AS (SELECT 'lang' AS attribute, lang AS grp, p, y FROM m UNION ALL SELECT 'source', source, p, y FROM m),
 o AS (SELECT avg(p) AS overall FROM m)
 SELECT attribute, grp, CAST(count(*) AS BIGINT) AS count, round(avg(p), 6) AS mean_pred,
   round(avg(y), 6) AS mean_target, round(max(overall), 6) AS overall_mean_pred,
-  round(avg(p) - max(overall), 6) AS disparity
+  round(avg(p) - max(overall), 6) AS disparity,
+  (SELECT count(*) <> count(DISTINCT id) FROM m0) AS row_count_mismatch
 FROM t, o WHERE grp IS NOT NULL GROUP BY attribute, grp""",
 )
 def fairness_by_attribute(spark: SparkSession, sf: str) -> DataFrame:

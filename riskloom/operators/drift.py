@@ -296,14 +296,24 @@ def check_batch(
     n_bins: int = 10,
 ) -> DataFrame:
     """Drift of a batch against the training data: one row per watched feature and
-    one for the score, with PSI, KS, p-value, band and alert text."""
-    present = [f for f in features if f in batch.columns]
-    both = side_by_side(reference, batch, [score, *present], None)
+    one for the score, with PSI, KS, p-value, band, alert text and the batch's known values.
+
+    A feature that the batch lacks, or that has no known value in it, is an ALERT.
+    """
+    watched = [score, *[f for f in features if f != score]]
+    present = [f for f in watched if f in batch.columns]
+    both = side_by_side(reference, batch, present, None)
     counts = bin_counts(both, known_edges(feature_summary(both, n_bins)), n_bins)
     p = kolmogorov_p(F.col("ks"), F.col("ref_total"), F.col("cur_total"))
-    out = counts.withColumns({"psi": F.expr(PSI_SHARES_SQL), "p_value": p})
+    seen = counts.withColumns({"psi": F.expr(PSI_SHARES_SQL), "p_value": p})
+    # one row per watched feature
+    names = batch.sparkSession.createDataFrame([(f,) for f in watched], "feature string")
+    out = names.join(seen, "feature", "left").withColumn(
+        "n_samples", F.coalesce("cur_total", F.lit(0)).cast("long")
+    )
     is_score = F.col("feature") == score
-    alert = F.when(F.col("psi") > PSI_ALERT, "ALERT").when(
+    lost = F.col("n_samples") == 0
+    alert = F.when(lost | (F.col("psi") > PSI_ALERT), "ALERT").when(
         is_score & (F.col("psi") > PSI_WARN), "WARN"
     )
     return out.select(
@@ -312,9 +322,10 @@ def check_batch(
         is_score.alias("is_score"),
         F.round("psi", 5).alias("psi"),
         F.round("ks", 5).alias("ks"),
-        F.round("p_value", 5).alias("p_value"),
-        psi_label(F.col("psi")).alias("status"),
+        F.when(~lost, F.round("p_value", 5)).alias("p_value"),
+        F.when(lost, F.lit("no values")).otherwise(psi_label(F.col("psi"))).alias("status"),
         alert.alias("alert"),
+        "n_samples",
     )
 
 

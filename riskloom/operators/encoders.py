@@ -1,8 +1,8 @@
 """Category encoders: fit on training rows, map stored as a tall table.
 
 Fitted maps are Spark tables (one row per column and category), never a driver
-dictionary, so a column with many categories stays distributed; the lookup
-broadcasts only a map whose size was checked.
+dictionary, so a column with many categories stays distributed. They are kept as
+Parquet, whose known size lets Spark choose between broadcast and shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import string_columns
 from riskloom.plans.joins import lookup_join
-from riskloom.plans.lineage import checkpointed
+from riskloom.plans.lineage import checkpointed, stored
 from riskloom.plans.shape import summarise, tall
 
 # Codes of unseen and missing categories, smoothing defaults.
@@ -96,7 +96,9 @@ class OrdinalEncoder:
             return OrdinalModel([], empty)
         seen = tall(df, columns, (), "feature", "category", "string")
         distinct = seen.where(F.col("category").isNotNull()).distinct()
-        return OrdinalModel(columns, ranks_in_order(distinct, "feature", "category"))
+        return OrdinalModel(
+            columns, stored(ranks_in_order(distinct, "feature", "category"), "encoding")
+        )
 
 
 def bayes_mean(n: Column, total: Column, prior: Column, m: float) -> Column:
@@ -165,7 +167,7 @@ class TargetEncoder:
         prior = float(row[0]) if row and row[0] is not None else 0.0
         sums = _category_sums(df, columns, target, ())
         value = self.encoded(F.col("n"), F.col("total"), F.lit(prior))
-        mapping = checkpointed(sums.select("feature", "category", value.alias("encoded")))
+        mapping = stored(sums.select("feature", "category", value.alias("encoded")), "encoding")
         return TargetModel(columns, mapping, prior, self.handle_unknown, self.noise)
 
     def fold_safe(self, df: DataFrame, target: str, fold: str = "fold") -> DataFrame:
@@ -196,13 +198,14 @@ class TargetEncoder:
             (F.sum("n").over(whole) - F.col("n")).alias("n"),
             (F.sum("total").over(whole) - F.col("total")).alias("total"),
         ).join(F.broadcast(priors), fold)
-        mapping = checkpointed(
+        mapping = stored(
             others.select(
                 "feature",
                 "category",
                 fold,
                 self.encoded(F.col("n"), F.col("total"), F.col("_prior")).alias("encoded"),
-            )
+            ),
+            "encoding",
         )
         out = df.join(F.broadcast(priors), fold, "left")
         for c in columns:

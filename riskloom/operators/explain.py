@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from itertools import zip_longest
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,10 @@ MARGIN_TO_LOG_ODDS = 2.0
 
 
 def check_feature_order(columns: Sequence[str], expected: Sequence[str]) -> None:
-    """Raise when the incoming columns are not the training columns in order."""
-    if list(columns) != list(expected):
-        odd = sorted(set(columns) ^ set(expected))
-        raise ValueError(
-            f"Feature order mismatch: expected {len(expected)} columns, got {len(columns)}."
-            f" Symmetric difference: {odd}"
-        )
+    """Raise at the first place where the columns leave the order the model was trained on."""
+    for place, (mine, known) in enumerate(zip_longest(columns, expected)):
+        if mine != known:
+            raise ValueError(f"feature {place} is {mine!r}, the model was trained on {known!r}")
 
 
 # -- linear scores ---------------------------------------------------------------------

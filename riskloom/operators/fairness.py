@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.columns import band_right_closed
 from riskloom.operators.metrics import auc
+from riskloom.plans.joins import checked_left_join
 from riskloom.plans.shape import tall
 
 # Age bands (low, high] of the audit and its minimum group sizes.
@@ -51,12 +52,19 @@ def fairness_report(
     key: str = "SK_ID_CURR",
     score: str = "predicted_pd",
     target: str = "TARGET",
+    checked: bool = False,
 ) -> DataFrame:
     """Per attribute and group: count, mean score, disparity to all rows, mean target.
 
     Rows whose attribute is missing count in the overall mean but form no group.
+    ``row_count_mismatch`` is true where demographics repeat a key and the join made rows.
+    ``checked=True`` raises instead.
     """
-    merged = with_demographics(predictions, demographics, attributes, key)
+    if checked:
+        known = [a for a in attributes if a in demographics.columns]
+        merged = checked_left_join(predictions, demographics.select(key, *known), key)
+    else:
+        merged = with_demographics(predictions, demographics, attributes, key)
     known = [a for a in attributes if a in merged.columns]
     measures = [score] + ([target] if target in merged.columns else [])
     overall = merged.agg(F.avg(score)).scalar()
@@ -66,8 +74,13 @@ def fairness_report(
         F.avg(score).alias("mean_pred"),
         *[F.avg(F.col(t).cast("double")).alias("mean_target") for t in measures[1:]],
     )
+    mismatch = row_count_mismatch(predictions, demographics, key).select("row_count_mismatch")
     return out.withColumns(
-        {"overall_mean_pred": overall, "disparity": F.col("mean_pred") - overall}
+        {
+            "overall_mean_pred": overall,
+            "disparity": F.col("mean_pred") - overall,
+            "row_count_mismatch": mismatch.scalar(),
+        }
     )
 
 

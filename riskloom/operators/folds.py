@@ -10,23 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HASH_BUCKETS = 4_096
+ROWS_PER_INTERVAL = 100_000
 # Fixed value: share of rows kept aside when no size is given.
 TEST_SHARE = 0.5
 
 
-def _hash_bucket(order: Column) -> Column:
+def _hash_bucket(order: Column, intervals: int) -> Column:
     """Interval number of a 64-bit hash, in hash order."""
-    width = 2.0**64 / HASH_BUCKETS
+    width = 2.0**64 / intervals
     return F.floor((order.cast("double") + 2.0**63) / width).cast("int")
 
 
 def rank_in_class(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
-    """Add ``_rank`` (0-based, per label) and ``_size`` in the order of a seeded hash."""
+    """Add ``_rank`` (0-based, per label) and ``_size`` in the order of a seeded hash.
+
+    The rows are counted first, so an interval holds about ``ROWS_PER_INTERVAL`` of them.
+    """
     rows = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
-    rows = rows.withColumns({"_b": _hash_bucket(F.col("_h")), "_g": F.struct(label)})
+    intervals = df.count() // ROWS_PER_INTERVAL + 1
+    rows = rows.withColumns({"_b": _hash_bucket(F.col("_h"), intervals), "_g": F.struct(label)})
     counts = rows.groupBy("_g", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    # at most HASH_BUCKETS rows per class
+    # a row per interval of a class
     whole = Window.partitionBy("_g")
     offsets = counts.select(
         "_g",

@@ -8,10 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 50_000
-# A key holding at least this share of the rows is joined on its own.
-HOT_SHARE = 1 / 1_000
-
 
 def _same(on: Sequence[str], prefix: str) -> Column:
     return reduce(
@@ -19,61 +15,16 @@ def _same(on: Sequence[str], prefix: str) -> Column:
     )
 
 
-def size_checked_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """A broadcastable copy when the table has at most ``max_rows`` rows, else None."""
-    head = small.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
-        return None
-    return F.broadcast(small.sparkSession.createDataFrame(head, small.schema))
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
-    """Keys holding at least ``share`` of the rows (so at most 1 / share of them)."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") >= F.lit(share) * df.count()).drop("_n").toArrow()
-    if hot.num_rows == 0:
-        return None
-    return df.sparkSession.createDataFrame(hot, df.select(*on).schema)
-
-
-def lookup_join(
-    df: DataFrame, table: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join to a table holding each key once; keys compare null-safe.
 
-    A small table is broadcast after its size was checked. Beyond that the rows of hot
-    keys meet a broadcast of just those keys, at most 1 / HOT_SHARE rows, and only the
-    other rows shuffle, so no key fills a task.
+    One plain join for tables of any size and for streams: Spark broadcasts the table
+    where its bytes allow and adaptive execution splits hot keys.
     """
     renamed = table.select(
         *[F.col(k).alias(f"_r_{k}") for k in on], *[c for c in table.columns if c not in on]
     )
-    drop = [f"_r_{k}" for k in on]
-
-    small = size_checked_broadcast(renamed, max_rows)
-    if small is not None:
-        return df.join(small, _same(on, "_r_"), "left").drop(*drop)
-
-    hot = hot_keys(df, on)
-    if hot is None:
-        return df.join(renamed, _same(on, "_r_"), "left").drop(*drop)
-    marks = F.broadcast(hot.select([F.col(k).alias(f"_h_{k}") for k in on]))
-    hot_table = F.broadcast(
-        renamed.join(
-            F.broadcast(hot.select([F.col(k).alias(f"_h__r_{k}") for k in on])),
-            reduce(
-                lambda a, b: a & b,
-                [F.col(f"_r_{k}").eqNullSafe(F.col(f"_h__r_{k}")) for k in on],
-            ),
-            "left_semi",
-        )
-    )
-    hot_rows = df.join(marks, _same(on, "_h_"), "left_semi")
-    cold_rows = df.join(marks, _same(on, "_h_"), "left_anti")
-    joined = hot_rows.join(hot_table, _same(on, "_r_"), "left").unionByName(
-        cold_rows.join(renamed, _same(on, "_r_"), "left")
-    )
-    return joined.drop(*drop)
+    return df.join(renamed, _same(on, "_r_"), "left").drop(*[f"_r_{k}" for k in on])
 
 
 def checked_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -90,8 +41,7 @@ def checked_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
         )
         before, after = sizes.first() or (0, 0)
         raise ValueError(
-            f"Join on {key} changed the row count: {before} -> {after}. "
-            "The right side holds duplicate keys."
+            f"{key} is not unique on the joined side: {before} -> {after} rows"
         )
     return lookup_join(left, right, [key])
 

@@ -19,30 +19,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 32_768
 SAMPLE_PER_BUCKET = 1_000
 GRID_STEP = 1_000
 
 
-def _bucketizer(df: DataFrame, value: str) -> Bucketizer | None:
-    """Value cuts of about equal depth, or None when one bucket is small enough.
+def _bucketizer(df: DataFrame, value: str) -> Bucketizer:
+    """Value cuts into buckets of about ``ROWS_PER_BUCKET`` rows, as many as the rows ask for.
 
     The cuts only balance the buckets, any cuts give the same totals; so they come
     from a sample, as Spark's own range partitioning does.
     """
     rows = df.count()
-    wanted = min(MAX_BUCKETS, rows // ROWS_PER_BUCKET)
-    if wanted < 2:
-        return None
-    known = df.select(F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
-    share = min(1.0, wanted * SAMPLE_PER_BUCKET / rows)
-    sampled = known.sample(share, seed=7) if share < 1.0 else known
-    probabilities = [i / wanted for i in range(1, wanted)]
-    cuts = sorted(set(sampled.approxQuantile(value, probabilities, 1.0 / (4 * wanted))))
-    if not cuts:
-        return None
+    wanted = rows // ROWS_PER_BUCKET
+    cuts: list[float] = []
+    if wanted > 1:
+        known = df.select(F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull())
+        sampled = known.sample(min(1.0, wanted * SAMPLE_PER_BUCKET / rows), seed=7)
+        probabilities = [i / wanted for i in range(1, wanted)]
+        cuts = sorted(set(sampled.approxQuantile(value, probabilities, 1.0 / (4 * wanted))))
+    # Bucketizer wants three splits at least
+    splits = [float("-inf"), *(cuts or [0.0]), float("inf")]
     return Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol=value, outputCol="_bucket"
+        splits=splits, inputCol=value, outputCol="_bucket", handleInvalid="keep"
     )
 
 
@@ -72,20 +70,11 @@ def running_totals(
     are then plain intervals and no pass over the data is needed to cut them.
     """
     counted = value_counts(df, keys, value, sums)
-    bucketizer = None if grid else _bucketizer(df, value)
     if grid:
         cut = counted.withColumn("_bucket", F.floor(F.col(value) / F.lit(GRID_STEP)).cast("int"))
-    elif bucketizer is not None:
-        cut = bucketizer.transform(counted).withColumn("_bucket", F.col("_bucket").cast("int"))
     else:
-        ordered = Window.partitionBy(*keys).orderBy(value)
-        earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-        whole = Window.partitionBy(*keys)
-        return counted.select(
-            "*",
-            *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"before_{s}") for s in sums],
-            *[F.sum(s).over(whole).alias(f"total_{s}") for s in sums],
-        )
+        cut = _bucketizer(df, value).transform(counted)
+        cut = cut.withColumn("_bucket", F.col("_bucket").cast("int"))
 
     # the keys as one struct: equal also where a key is NULL, and the windows inside the
     # buckets and the join to the offsets then share one partitioning
@@ -96,7 +85,7 @@ def running_totals(
         "*", *[F.coalesce(F.sum(s).over(inside), F.lit(0)).alias(f"_in_{s}") for s in sums]
     )
     per_bucket = cut.groupBy("_g", "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    # at most MAX_BUCKETS rows (or the grid's intervals) per key
+    # a row per bucket of a key (or interval of the grid)
     whole = Window.partitionBy("_g")
     across = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.columns import nan_to_null, sentinel_to_null
@@ -80,42 +81,97 @@ TABLES: dict[str, TableSpec] = {
 }
 
 
-def _csv_schema(
-    spark: SparkSession, path: str, ddl: str, sample_extra: float | None
-) -> T.StructType:
-    """Full schema in header order: CSV columns are matched by position, not by name."""
-    declared = {f.name: f.dataType for f in T.StructType.fromDDL(ddl).fields}
-    reader = spark.read.option("header", True)
-    header = reader.csv(path).columns
-    extra: dict[str, T.DataType] = {}
-    if sample_extra and set(header) - set(declared):
-        sampled = reader.option("inferSchema", True).option("samplingRatio", sample_extra)
-        extra = {f.name: f.dataType for f in sampled.csv(path).schema.fields}
-    return T.StructType(
-        [T.StructField(c, declared.get(c) or extra.get(c) or T.StringType()) for c in header]
+# The spellings of a missing value in a text column.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _known(name: str) -> Column:
+    """The text of a column, NULL where it spells a missing value."""
+    return F.when(~F.col(f"`{name}`").isin(*MISSING), F.col(f"`{name}`"))
+
+
+def _whole(text: Column) -> Column:
+    """A whole number, also when written with a decimal point; NULL for anything else."""
+    exact = text.try_cast("decimal(38,10)")
+    return F.when(exact == F.floor(exact), exact).try_cast("bigint")
+
+
+def _typed(name: str, kind: T.DataType) -> Column:
+    """The text as ``kind``; a value that does not fit stops the job and is named."""
+    text = _known(name)
+    if isinstance(kind, T.StringType):
+        return text.alias(name)
+    if isinstance(kind, WHOLE):
+        value = _whole(text).try_cast(kind)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        value = F.when(text.rlike(NUMBER), F.trim(text).try_cast(kind))
+    else:
+        value = text.try_cast(kind)
+    problem = F.concat(F.lit(f"{name} does not hold {kind.simpleString()}: "), text)
+    return (
+        F.when(text.isNull(), F.lit(None).cast(kind))
+        .when(value.isNull(), F.raise_error(problem).cast(kind))
+        .otherwise(value)
+        .alias(name)
     )
 
 
-def scan(
-    spark: SparkSession,
-    path: str,
-    fmt: str = "auto",
-    ddl: str | None = None,
-    sample_extra: float | None = None,
-) -> DataFrame:
+def _inferred(rows: DataFrame, names: list[str]) -> dict[str, T.DataType]:
+    """Types of text columns from all their values, in one aggregate."""
+    if not names:
+        return {}
+    aggs = []
+    for i, name in enumerate(names):
+        text = _known(name)
+        aggs += [
+            F.count(text).alias(f"n{i}"),
+            F.count_if(text.rlike(NUMBER)).alias(f"number{i}"),
+            F.count(_whole(text)).alias(f"whole{i}"),
+            F.count_if(text.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"flag{i}"),
+        ]
+    counts = rows.agg(*aggs).first()
+    out: dict[str, T.DataType] = {}
+    for i, name in enumerate(names):
+        known = counts[f"n{i}"]
+        if known and counts[f"flag{i}"] == known:
+            out[name] = T.BooleanType()
+        elif known and counts[f"whole{i}"] == known:
+            out[name] = T.LongType()
+        elif counts[f"number{i}"] == known:
+            out[name] = T.DoubleType()
+        else:
+            out[name] = T.StringType()
+    return out
+
+
+def _read_csv(spark: SparkSession, path: str, ddl: str | None) -> DataFrame:
+    """Every CSV column with its declared type, the others with a type all values fit.
+
+    Columns are matched by name. Nothing is dropped on the way: missing spellings become
+    NULL, a whole number may be written 3.0, and any other misfit fails the job.
+    """
+    rows = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    declared = {f.name: f.dataType for f in T.StructType.fromDDL(ddl).fields} if ddl else {}
+    kinds = declared | _inferred(rows, [c for c in rows.columns if c not in declared])
+    return rows.select([_typed(c, kinds[c]) for c in rows.columns])
+
+
+def scan(spark: SparkSession, path: str, fmt: str = "auto", ddl: str | None = None) -> DataFrame:
     """Read one table; ``auto`` takes Parquet for ``.parquet``/``.pq`` paths, else CSV.
 
-    With a schema, CSV files are read without an inference pass. Columns the schema
-    does not name stay strings, or get types inferred from a ``sample_extra`` share.
+    CSV columns that the schema does not name are typed by one pass over all rows, so
+    keep a table as Parquet after its first load.
     """
     if fmt not in ("auto", "parquet", "csv"):
         raise ValueError(f"Unknown table format: {fmt}")
     if fmt == "parquet" or (fmt == "auto" and path.rstrip("/").endswith((".parquet", ".pq"))):
         return spark.read.parquet(path)
-    reader = spark.read.option("header", True)
-    if ddl is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(_csv_schema(spark, path, ddl, sample_extra)).csv(path)
+    return _read_csv(spark, path, ddl)
 
 
 def clean(df: DataFrame, spec: TableSpec | None = None) -> DataFrame:

@@ -132,13 +132,12 @@ def test_checked_join(spark):
     assert checked_left_join(left, unrelated, "k").count() == 3
 
 
-def test_lookup_join_with_hot_key_equals_broadcast(spark):
+def test_lookup_join_with_hot_key_and_nulls(spark):
     rows = [("hot", i) for i in range(300)] + [("cold", -1), (None, -2)]
     df = spark.createDataFrame(rows, "k string, i int")
     small = spark.createDataFrame([("hot", 1.0), ("other", 2.0)], "k string, v double")
-    one = sorted(map(tuple, lookup_join(df, small, ["k"]).collect()), key=str)
-    two = sorted(map(tuple, lookup_join(df, small, ["k"], max_rows=1).collect()), key=str)
-    assert one == two and len(one) == 302
+    got = [tuple(r) for r in lookup_join(df, small, ["k"]).collect()]
+    assert sorted(got, key=str) == sorted([(k, i, 1.0 if k == "hot" else None) for k, i in rows], key=str)
 
 
 def test_parents_without_children(spark):
@@ -180,9 +179,23 @@ def test_csv_scan_matches_header_by_name(spark, tmp_path):
     rows = df.orderBy("SK_ID_CURR").collect()
     assert [r["SK_ID_BUREAU"] for r in rows] == [10, 11]
     assert [r["DAYS_CREDIT_ENDDATE"] for r in rows] == [None, 12.0]
-    assert rows[1]["CREDIT_ACTIVE"] is None and rows[0]["EXTRA"] == "7"
-    sampled = tables.scan(spark, str(path), ddl=BUREAU, sample_extra=1.0)
-    assert dict(sampled.dtypes)["EXTRA"] == "int"
+    assert rows[1]["CREDIT_ACTIVE"] is None and rows[0]["EXTRA"] == 7
+
+
+def test_csv_scan_types_and_misfits(spark, tmp_path):
+    path = tmp_path / "bureau.csv"
+    lines = [f"{i},1.0,{i},NA,True,x{i}" for i in range(400)] + ["12.75,3.0,NA,,False,NA"]
+    path.write_text("a,CREDIT_DAY_OVERDUE,b,empty,flag,name\n" + "\n".join(lines))
+    df = tables.scan(spark, str(path), ddl=BUREAU)
+    assert df.dtypes == [
+        ("a", "double"), ("CREDIT_DAY_OVERDUE", "int"), ("b", "bigint"), ("empty", "double"),
+        ("flag", "boolean"), ("name", "string"),
+    ]
+    assert df.where("a = 12.75 AND CREDIT_DAY_OVERDUE = 3 AND b IS NULL AND name IS NULL").count() == 1
+    assert df.count() == 401 and df.where("a IS NULL").count() == 0
+    path.write_text("CREDIT_DAY_OVERDUE\n1\n2.5\n")
+    with pytest.raises(Exception, match="CREDIT_DAY_OVERDUE does not hold int: 2.5"):
+        tables.scan(spark, str(path), ddl=BUREAU).collect()
 
 
 def test_null_group_sum_is_zero(spark):
