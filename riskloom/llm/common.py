@@ -27,11 +27,15 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the shared folder and read back: survives lost executors."""
+def stored(df: DataFrame, purpose: str, compact: bool = False) -> DataFrame:
+    """The rows written to the shared folder and read back: survives lost executors.
+
+    ``compact`` writes at most two files for each core, for tables written in loops.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, purpose)
-    df.write.parquet(path)
+    written = df.coalesce(2 * spark.sparkContext.defaultParallelism) if compact else df
+    written.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,9 +1,9 @@
 """Connected components of an edge table by alternating large and small stars.
 
 Each round keeps the components and flattens the trees towards their smallest node, so
-a logarithmic number of rounds is enough. Minima are grouped (one partial row per task
+a logarithmic number of rounds is enough; they end when all trees are flat. Minima are grouped (one partial row per task
 and node, however hot the node), written to the shared folder and joined back, so the
-join can split a hot node. Nothing is collected but two numbers a round.
+join can split a hot node. Nothing is collected but one number a round.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import stored
 
 
-def _print(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
-    ).first()
-    return row.n, row.h
+def _flat(edges: DataFrame) -> bool:
+    """True if every node has one edge downwards at most and none that is pointed at has."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("hit"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("hit")))
+    nodes = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("hit").alias("hit"))
+    return nodes.agg(F.count_if(F.expr("down > 1 OR down = 1 AND hit = 1"))).first()[0] == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,26 +31,22 @@ def components(edges: DataFrame) -> DataFrame:
     current = stored(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         "edges",
+        compact=True,
     )
-    before = _print(current)
-    while before[0]:
+    while not _flat(current):
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "minima")
-        large = stored(
-            both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u != v").distinct(),
-            "large",
-        )
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima")
+        low = stored(
+            both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "minima", compact=True
+        )
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.where("u != v"), "large", compact=True)
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "minima", compact=True)
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         current = stored(
             small.unionByName(low.select("u", F.col("m").alias("v"))).where("u != v").distinct(),
             "edges",
+            compact=True,
         )
-        after = _print(current)
-        if after == before:
-            break
-        before = after
     roots = current.select(F.col("v").alias("node")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root"))

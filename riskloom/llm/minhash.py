@@ -175,7 +175,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) ->
 
 def _class_texts(base: DataFrame, wanted: DataFrame, order, shingle: int) -> DataFrame:
     """(c, text): one text for each wanted class."""
-    wanted = stored(wanted, "wanted")
+    wanted = stored(wanted, "wanted", compact=True)
     ids = wanted.select(F.when(F.col("c.id") != NO_ID, F.col("c.id")).alias("wanted_id")).distinct()
     found = base.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
 
@@ -201,7 +201,8 @@ def _prefix_pairs(members: DataFrame, whole: DataFrame, shingle: int, percent: i
 
     Of ``n`` shingles in one fixed order, linked sets share one of their first
     ``n - ceil(n * percent / 100) + 1``. With the rarest first, these are mostly a text's
-    own, so a large bucket gives few pairs although none is left out.
+    own, so a large bucket gives few pairs although none is left out; the place of the
+    first common shingle bounds the overlap and drops most of the others.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,24 +220,30 @@ def _prefix_pairs(members: DataFrame, whole: DataFrame, shingle: int, percent: i
     tokens = stored(
         members.join(whole, "c").select("c", "root", "text").mapInArrow(spread, kind), "shingles"
     )
-    counts = stored(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "rarity")
+    counts = stored(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "rarity", compact=True)
     ordered = tokens.join(counts, "s").groupBy("c", "root").agg(
         F.sort_array(F.collect_list(F.struct("df", "s"))).alias("all")
     )
     n = F.size("all")
     first = (n - F.ceil(n * percent / 100) + 1).cast("int")
     prefix = stored(
-        ordered.select("c", "root", n.alias("n"), F.explode(F.slice("all", F.lit(1), first)).alias("t"))
-        .select("c", "root", "n", F.col("t.s").alias("s")),
+        ordered.select("c", "root", n.alias("n"), F.posexplode(F.slice("all", F.lit(1), first)))
+        .select("c", "root", "n", F.col("pos").alias("i"), F.col("col.s").alias("s")),
         "prefixes",
     )
     across = (
         prefix.groupBy("s").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     )
-    left = stored(prefix.join(stored(across.select("s"), "across"), "s"), "prefixes")
-    right = left.select("s", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"))
+    left = stored(prefix.join(stored(across.select("s"), "across", compact=True), "s"), "prefixes")
+    right = left.select(
+        "s", F.col("c").alias("y"), F.col("n").alias("ny"), F.col("root").alias("ry"), F.col("i").alias("iy")
+    )
     near = 100 * F.least("n", "ny") >= percent * F.greatest("n", "ny")
-    return left.join(right, "s").where((F.col("root") < F.col("ry")) & near).select(F.col("c").alias("x"), "y").distinct()
+    # at the first shingle in common, what follows in the shorter rest bounds the overlap
+    needed = F.col("n") + F.col("ny")
+    enough = (100 + percent) * F.least(F.col("n") - F.col("i"), F.col("ny") - F.col("iy")) >= percent * needed
+    pairs = left.join(right, "s").where((F.col("root") < F.col("ry")) & near & enough)
+    return pairs.select(F.col("c").alias("x"), "y").distinct()
 
 
 def near_duplicates(
@@ -292,7 +299,7 @@ def near_duplicates(
         rank = F.xxhash64("c", F.lit(salt)) if salt else F.lit(0).cast("long")
         hub = stored(
             open_rows.groupBy("band").agg(F.min(F.struct(rank.alias("r"), "c", "n", "root")).alias("h")),
-            "hubs",
+            "hubs", compact=True
         )
         return (
             open_rows.join(hub, "band")
@@ -311,16 +318,15 @@ def near_duplicates(
             .join(whole.select(F.col("c").alias("y"), F.col("text").alias("b")), "y")
             .select("x", "y", "a", "b")
         )
-        return stored(both.mapInArrow(lambda b: _confirmed(b, shingle, percent), pair_type), "links")
+        return stored(both.mapInArrow(lambda b: _confirmed(b, shingle, percent), pair_type), "links", compact=True)
 
     def label(links: DataFrame) -> DataFrame:
         edges = links.select(F.col("x").alias("u"), F.col("y").alias("v"))
-        return stored(components(edges).select(F.col("node").alias("c"), "root"), "roots")
+        return stored(components(edges).select(F.col("node").alias("c"), "root"), "roots", compact=True)
 
     def still_open(roots: DataFrame) -> DataFrame:
         """Members of buckets that reach over several components, with the bucket's size."""
         rows = shared.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
-        rows = stored(rows, "labelled")
         sizes = (
             rows.groupBy("band")
             .agg(
@@ -328,13 +334,13 @@ def near_duplicates(
             )
             .where("low != high")
         )
-        return stored(rows.join(stored(sizes.select("band", "m"), "sizes"), "band"), "open")
+        return stored(rows.join(stored(sizes.select("band", "m"), "sizes", compact=True), "band"), "open", compact=True)
 
     links = confirm(star(shared.withColumn("root", F.col("c")), 0))
     roots = label(links)
     again = still_open(roots)
     if not again.isEmpty():
-        links = stored(links.unionByName(confirm(star(again, 1))), "links")
+        links = stored(links.unionByName(confirm(star(again, 1))), "links", compact=True)
         roots = label(links)
         again = still_open(roots)
         small = again.where(F.col("m") <= SMALL_BUCKET)
@@ -347,7 +353,7 @@ def near_duplicates(
         members = again.where(F.col("m") > SMALL_BUCKET).select("c", "root").distinct()
         links = stored(
             links.unionByName(confirm(few.unionByName(_prefix_pairs(members, whole, shingle, percent)))),
-            "links",
+            "links", compact=True
         )
         roots = label(links)
     special = (
@@ -357,7 +363,7 @@ def near_duplicates(
             F.col("c.c1").alias("c1"), F.col("c.c2").alias("c2"), F.coalesce("root", "c").alias("root")
         )
     )
-    joined = signed.join(stored(special, "components"), ["c1", "c2"], "left")
+    joined = signed.join(stored(special, "components", compact=True), ["c1", "c2"], "left")
     own = F.when(F.col("n") > 0, F.struct(order.alias("id"), "c1", "c2"))
     found = F.when(F.col("root.id") == NO_ID, F.lit(None)).otherwise(F.col("root.id"))
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(found)
@@ -383,19 +389,19 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         rows.groupBy("key").agg(
             F.first("group").alias("group"), F.min(order).alias("id"), F.count(F.lit(1)).alias("times")
         ),
-        "keys",
+        "keys", compact=True
     )
     firsts = keys.groupBy("group").agg(
         F.min(F.struct("id", "key")).alias("first"), F.count(F.lit(1)).alias("n")
     )
-    firsts = stored(firsts.where("n > 1").select("group", "first"), "firsts")
+    firsts = stored(firsts.where("n > 1").select("group", "first"), "firsts", compact=True)
     flagged = (
         keys.join(firsts, "group", "left")
         .select("key", "times", (F.col("first.key") != F.col("key")).alias("drop"))
         .where("drop OR times > 1")
         .select(F.col("key").alias("__key"), F.coalesce("drop", F.lit(False)).alias("__drop"))
     )
-    flagged = stored(flagged, "flagged")
+    flagged = stored(flagged, "flagged", compact=True)
     key = row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
     left = docs.withColumn("__key", key).join(flagged, "__key", "left")
     single = left.where(F.col("__drop").isNull())
