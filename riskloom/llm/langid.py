@@ -216,7 +216,6 @@ def train(
 def predicted(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
     """The documents with a struct column ``language`` of (lang_pred, score)."""
 
-    @F.pandas_udf("lang_pred string, score double")
     def language(text):
         import pandas as pd
 
@@ -228,4 +227,6 @@ def predicted(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataF
                 lang[rows], score[rows] = predict(model, scaled(np.stack([histogram(many[i]) for i in rows])))
         return pd.DataFrame({"lang_pred": lang, "score": score})
 
-    return docs.withColumn("language", language(F.col(text_col)))
+    # not deterministic to the planner: run once, however many parts of it are asked for
+    once = F.pandas_udf(language, "lang_pred string, score double").asNondeterministic()
+    return docs.withColumn("language", once(F.col(text_col)))

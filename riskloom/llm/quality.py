@@ -297,10 +297,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 def scored(docs: DataFrame, model: Field, *, text_col: str = "text", name: str = "score") -> DataFrame:
     """The documents with their quality score as one more column."""
 
-    @F.pandas_udf("double")
     def score(text):
         import pandas as pd
 
         return pd.Series(score_texts(model, text.fillna("").tolist()))
 
-    return docs.withColumn(name, score(F.col(text_col)))
+    # not deterministic to the planner: run once, however often the score is asked for
+    once = F.pandas_udf(score, "double").asNondeterministic()
+    return docs.withColumn(name, once(F.col(text_col)))

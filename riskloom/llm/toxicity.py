@@ -136,10 +136,10 @@ class Index:
         for b in np.argsort(-bounds, kind="stable"):
             if bounds[b] <= 0 or len(rows) >= self.k and bounds[b] < floor - 1e-9:
                 break
-            total = np.zeros(BLOCK)
-            for t, v, start, stop in zip(at, value, self.offsets[at, b], self.offsets[at, b + 1]):
-                if stop > start:
-                    total[self.row[start:stop] - b * BLOCK] += v * self.weight[start:stop]
+            start, size = self.offsets[at, b], self.offsets[at, b + 1] - self.offsets[at, b]
+            place = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
+            part = np.repeat(value, size) * self.weight[place]
+            total = np.bincount(self.row[place] - b * BLOCK, part, BLOCK)
             if 0 <= skip - b * BLOCK < BLOCK:
                 total[skip - b * BLOCK] = 0
             hit = np.flatnonzero(total > 1e-12)
@@ -285,11 +285,13 @@ def scored(docs: DataFrame, index: Index, *, text_col: str = "text") -> DataFram
     """The documents with a struct column ``toxicity`` of (score, evidence ids)."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf("score double, evidence array<long>")
     def toxicity(text):
         import pandas as pd
 
-        found = [shared.value.score(t) for t in text.fillna("")]
+        index = shared.value
+        found = [index.score(t) for t in text.fillna("")]
         return pd.DataFrame({"score": [f[0] for f in found], "evidence": [f[1] for f in found]})
 
-    return docs.withColumn("toxicity", toxicity(F.col(text_col)))
+    # not deterministic to the planner: run once, however many parts of it are asked for
+    once = F.pandas_udf(toxicity, "score double, evidence array<long>").asNondeterministic()
+    return docs.withColumn("toxicity", once(F.col(text_col)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import random
 import re
 from collections import Counter
@@ -165,9 +164,8 @@ def near_texts(rng):
     return rows
 
 
-@pytest.mark.parametrize("small", [12, 1])
-def test_near_duplicates(spark, monkeypatch, small):
-    monkeypatch.setattr(minhash, "SMALL_BUCKET", small)
+def test_near_duplicates(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SMALL_BUCKET", 3)
     rows = near_texts(random.Random(5)) + ODD
     sets = [shingles(t, 3) for _, t in rows]
     pairs = [
@@ -192,7 +190,6 @@ def test_near_duplicates(spark, monkeypatch, small):
     words = {r for r, s in zip(label, sets) if s}
     assert sum(kept.values()) == len(words) + sum(not s for s in sets)
     assert kept[5] == 1 and kept[1] == kept[2] == kept[3] == 1
-    assert minhash.one_of_each(docs.limit(0)).count() == 0
 
 
 def test_densified_signatures_agree_as_often_as_sets():
@@ -229,9 +226,9 @@ def test_contamination(spark):
                     found |= {str(x) for x in grams[tuple(w[p : p + n])] if x is not None}
         want.append((repr(i), len(w), len(hit), sorted(found)))
     docs, bench = documents(spark, rows), spark.createDataFrame(items, "item_id long, text string")
-    for slots in (4, 16):
-        got = decontaminate.scan(docs, bench, slots_log2=slots).collect()
-        assert sorted((repr(r.doc_id), r.n_words, r.n_hit, sorted(r["items"])) for r in got) == sorted(want)
+    # a tiny bit set lets many windows pass to the word-by-word check
+    got = decontaminate.scan(docs, bench, slots_log2=4).collect()
+    assert sorted((repr(r.doc_id), r.n_words, r.n_hit, sorted(r["items"])) for r in got) == sorted(want)
     clean = decontaminate.drop_contaminated(docs, bench)
     assert clean.columns == docs.columns
     assert sorted(repr(r.doc_id) for r in clean.collect()) == sorted(
@@ -246,7 +243,7 @@ BPE_TEXTS = [
 ]
 
 
-@pytest.mark.parametrize("head", [0, 3, 1000])
+@pytest.mark.parametrize("head", [0, 3])
 def test_bpe(spark, head):
     rows = ODD + [(10 + i, t) for i, t in enumerate(BPE_TEXTS)]
     tok = bpe.tokenizer(VOCABULARY)
@@ -265,8 +262,8 @@ def test_word_numbers_pack():
     assert len(bpe.unpack_numbers(bpe.pack_numbers(n[:0]))) == 0
 
 
-@pytest.mark.parametrize("dims", [6, 1100])
-def test_embedding_links(spark, dims):
+@pytest.mark.parametrize(("dims", "tile"), [(6, 16), (1100, 4096)])
+def test_embedding_links(spark, dims, tile):
     rng = np.random.default_rng(dims)
     centres = rng.normal(size=(6, dims))
     vectors = [(centres[i % 6] + rng.normal(size=dims) * 0.33).tolist() for i in range(70)]
@@ -288,9 +285,8 @@ def test_embedding_links(spark, dims):
         low[r] = min(low.get(r, 2**63), rows[k][0] if rows[k][0] is not None else 2**63)
     want = sorted((repr(i), degree[k], repr(low[label[k]])) for k, (i, _) in enumerate(rows))
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("label", F.lit(1))
-    for tile in (16, 4096):
-        got = embedding_dedup.near_duplicates(table, tile=tile).collect()
-        assert sorted((repr(r.vec_id), r.n_links, repr(r.component_id)) for r in got) == want
+    got = embedding_dedup.near_duplicates(table, tile=tile).collect()
+    assert sorted((repr(r.vec_id), r.n_links, repr(r.component_id)) for r in got) == want
 
 
 def luhn(x):
@@ -424,5 +420,11 @@ def test_language(spark):
     assert langid.predicted(docs.limit(1), one).first().language.lang_pred == "de"
 
 
-def test_digest_of_nothing():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_empty_tables(spark):
+    docs = documents(spark, [])
+    assert secret_scan.scan(docs).count() == 0
+    assert suffix_dedup.without_repeats(docs).count() == 0
+    assert minhash.one_of_each(docs).count() == 0
+    assert bpe.encode(docs, VOCABULARY).count() == 0
+    vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert embedding_dedup.near_duplicates(vectors).count() == 0
