@@ -34,17 +34,23 @@ def equal_blend(scores: Sequence[Column]) -> Column:
     return total(list(scores)) / float(len(scores))
 
 
+def _distinct_scores(df: DataFrame, label: str, keys: Sequence[str]) -> DataFrame:
+    """Positives and negatives per distinct scores: one pass over the rows for any search."""
+    y = F.col(label) == 1
+    known = df.where(F.col(label).isNotNull())
+    return known.groupBy(*keys).agg(F.sum(flag(y)).alias("pos"), F.sum(flag(~y)).alias("neg"))
+
+
 def _candidate_counts(
-    df: DataFrame, label: str, score: Column, keys: Sequence[str], digits: int
+    rows: DataFrame, score: Column, keys: Sequence[str], digits: int
 ) -> DataFrame:
     """Positives and negatives per (keys, score on the grid).
 
-    Rows are repeated once per candidate inside a task and summed there, so what is
-    shuffled depends on the grid and the number of candidates, not on the rows.
+    Distinct scores are repeated once per candidate inside a task and summed there, so
+    what is shuffled depends on the grid and the number of candidates, not on the rows.
     """
-    y = F.col(label) == 1
-    return df.groupBy(*keys, grid_point(score, digits).alias("_score")).agg(
-        F.sum(flag(y)).alias("pos"), F.sum(flag(~y)).alias("neg")
+    return rows.groupBy(*keys, grid_point(score, digits).alias("_score")).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
 
 
@@ -70,9 +76,9 @@ def blend_weight_by_fold(
     goes to the smaller weight. Scores are compared on a grid of ``digits`` decimals.
     """
     grid = F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("w")
-    rows = df.select(label, fold, a, b).where(F.col(label).isNotNull()).select("*", grid)
+    rows = _distinct_scores(df, label, [fold, a, b]).select("*", grid)
     mixed = blend(F.col(a), F.col(b), F.col("w") / float(steps))
-    counts = checkpointed(_candidate_counts(rows, label, mixed, ["w", fold], digits))
+    counts = checkpointed(_candidate_counts(rows, mixed, ["w", fold], digits))
     folds = [r[fold] for r in counts.select(fold).distinct().collect()]
     # a row of fold k counts in the training part of every other fold
     others = F.array_except(F.array(*[F.lit(k) for k in folds]), F.array(F.col(fold)))
@@ -127,12 +133,12 @@ def simplex_search(
             for i, w in enumerate(candidates)
         ]
     )
-    rows = df.where(F.col(label).isNotNull()).select(label, *scores, F.inline(options))
+    rows = _distinct_scores(df, label, scores).select("*", F.inline(options))
     mixed = weighted(
         [F.col(s) for s in scores], [F.get("weights", F.lit(i)) for i in range(len(scores))]
     )
     areas = _grid_auc(
-        _candidate_counts(rows, label, mixed, ["candidate"], digits), ["candidate"]
+        _candidate_counts(rows, mixed, ["candidate"], digits), ["candidate"]
     )
     spark = df.sparkSession
     table = spark.createDataFrame(
