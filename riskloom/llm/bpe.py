@@ -4,7 +4,8 @@ Texts are split at white space. Each distinct word of the corpus is encoded once
 then return to their positions: the most frequent words (at most ``head`` of them, cut at a frequency so
 that ties fall out together) go to the tasks as a broadcast of bounded size, so no hot
 word is ever shuffled; all rarer words go through a shuffle join on the word. Between
-the two, a document is a short column of word numbers, not its text.
+the two, a document is a short column of word numbers, not its text. Both meet by the
+document's key, sorted by position.
 
 Splitting first is exact for a tokenizer whose normaliser and pre-tokenizer never join
 characters across white space and drop the white space itself.
@@ -24,15 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from riskloom.llm.common import stored, texts
 
 HEAD_WORDS = 400_000
 WORDS_HELD = 1_000_000
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+CLOSING = ".,!?;:"
 CONTROLS = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space as well
 
 
@@ -48,9 +52,33 @@ def tokenizer(path: str):
 
 
 def split_words(text: str) -> list[str]:
+    """Parts of a text whose ids, one after the other, are the ids of the text.
+
+    Texts of Latin-1 characters are lower-cased, which the tokenizer would do next, and
+    closing punctuation leaves a word of letters, where the tokenizer parts them anyway.
+    Any other text, and one that may hold special tokens, is only cut at white space.
+    """
     if any(c in text for c in CONTROLS):
         return [w for w in SPACE.split(text) if w]
-    return text.split()
+    if "<|" in text or not _latin(text):
+        return text.split()
+    out = []
+    for word in text.lower().split():
+        if not word.isalpha():
+            core = word.rstrip(CLOSING)
+            if core != word and core.isalpha():
+                out.append(core)
+                word = word[len(core) :]
+        out.append(word)
+    return out
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,14 +100,14 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_table(rows: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids): every distinct word of ``rows.text``, encoded once."""
+    """(word, n, ids): every distinct word of ``rows.text``, encoded once; ids are packed."""
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def encoded(words):
         import pandas as pd
 
         done = tokenizer(path).encode_batch(list(words), add_special_tokens=False)
-        return pd.Series([e.ids for e in done], dtype=object)
+        return pd.Series([np.array(e.ids, "<u4").tobytes() for e in done], dtype=object)
 
     table = (
         rows.select("text")
@@ -126,8 +154,9 @@ class Head:
         words = rows["word"].to_pylist()
         self.number = {w: i for i, w in enumerate(words)}
         self.size = len(words)
-        lengths = np.fromiter((len(x) for x in rows["ids"].to_pylist()), np.int64, self.size)
-        self.flat = np.concatenate([c.flatten().to_numpy() for c in rows["ids"].chunks] or [np.empty(0)]).astype(np.int32)
+        ids = rows["ids"].to_pylist()
+        lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, self.size)
+        self.flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
         self.length = np.concatenate([lengths, [0]])
         self.start = np.concatenate([np.cumsum(lengths) - lengths, [0]])
 
@@ -154,24 +183,31 @@ def unpack_numbers(raw: bytes) -> np.ndarray:
     return first
 
 
-def laid_out(numbers: np.ndarray, known: Head, tail: list) -> np.ndarray:
-    """The ids of a document: frequent words by number, the others from ``tail``."""
+def laid_out(numbers: np.ndarray, known: Head, tail: dict[int, bytes]) -> np.ndarray:
+    """The ids of a document: frequent words by number, the others from ``tail`` by position."""
     lengths = known.length[numbers]
     if len(tail) != int((numbers == known.size).sum()):
         raise ValueError("a word without ids")
-    for t in tail:
-        lengths[t["pos"]] = len(t["ids"])
+    for at, ids in tail.items():
+        lengths[at] = len(ids) // 4
     stop = np.cumsum(lengths)
     out = np.empty(int(stop[-1]) if len(stop) else 0, np.int32)
     own = np.flatnonzero(numbers < known.size)
     size = lengths[own]
     within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
     out[np.repeat(stop[own] - size, size) + within] = known.flat[np.repeat(known.start[numbers[own]], size) + within]
-    for t in tail:
-        out[stop[t["pos"]] - len(t["ids"]) : stop[t["pos"]]] = t["ids"]
+    for at, ids in tail.items():
+        out[stop[at] - len(ids) // 4 : stop[at]] = np.frombuffer(ids, "<u4")
     return out
 
 
+def example_bodies(counts: np.ndarray, many: int = 1500, words: int = 500) -> list[bytes]:
+    """Bodies of made-up documents with the words' frequencies, to prepare the compressor."""
+    share = counts / max(counts.sum(), 1)
+    draws = np.random.default_rng(7).choice(len(counts), (many, words), p=share) if len(counts) else []
+    return [pack_numbers(d) for d in draws]
+
+
 _HELD: dict[int, Head] = {}
 
 
@@ -217,11 +253,13 @@ def encode(
     cut = frequency_cut(table, head)
     band = F.floor(F.log2("n") * 8)
     frequent = table.where(band >= cut) if cut is not None else table.limit(0)
-    arrow = frequent.orderBy(F.desc("n"), "word").select("word", "ids").toArrow()
+    arrow = frequent.orderBy(F.desc("n"), "word").toArrow()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, arrow.schema) as writer:
         writer.write_table(arrow)
     shared = _Shared(spark, sink.getvalue().to_pybytes())
+    examples = example_bodies(np.asarray(arrow["n"].to_pylist(), float))
+    trained = zstandard.train_dictionary(1 << 15, examples).as_bytes() if len(arrow) > 1000 else b""
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = _head(shared).number
@@ -237,9 +275,7 @@ def encode(
             yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds)], ["a", "b", "pos", "word"])
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(trained)).compress
         known = _head(shared)
         for batch in batches:
             bodies = []
@@ -247,56 +283,72 @@ def encode(
                 words = split_words(text)
                 n = np.fromiter((known.number.get(w, known.size) for w in words), np.int64, len(words))
                 bodies.append(pack(pack_numbers(n)))
+            whole = pa.array(np.full(batch.num_rows, -1, np.int32))
             yield pa.record_batch(
-                [*batch.columns[:3], pa.array(bodies, pa.binary())], ["doc_id", "a", "b", "body"]
+                [*batch.columns[:3], whole, pa.array(bodies, pa.binary())], ["doc_id", "a", "b", "pos", "data"]
             )
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        unpack = zstandard.ZstdDecompressor().decompress
+        """Rows sorted by key and position: the bodies of a key, then its rare words."""
+        unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(trained)).decompress
         known = _head(shared)
+        key, bodies, tail, out = None, [], {}, []
+
+        def finish() -> None:
+            for doc_id, body in bodies:
+                out.append((doc_id, laid_out(unpack_numbers(unpack(body)), known, tail)))
+
+        def written() -> pa.RecordBatch:
+            sizes = np.cumsum([0, *(len(ids) for _, ids in out)]).astype(np.int32)
+            flat = np.concatenate([ids for _, ids in out])
+            rows = pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat, pa.int32()))
+            return pa.record_batch([pa.array([d for d, _ in out], id_arrow), rows], ["doc_id", "ids"])
+
         for batch in batches:
-            ids = [
-                laid_out(unpack_numbers(unpack(body)), known, tail or [])
-                for body, tail in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
-                ],
-                ["doc_id", "ids"],
-            )
+            for doc_id, a, b, pos, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (a, b) != key:
+                    finish()
+                    key, bodies, tail = (a, b), [], {}
+                if pos < 0:
+                    bodies.append((doc_id, data))
+                else:
+                    tail[pos] = data
+            if out:
+                yield written()
+                out.clear()
+        finish()
+        if out:
+            yield written()
 
     id_type = docs.schema[id_col].dataType
-    tails = (
-        keyed.select("a", "b", "text")
-        .mapInArrow(rare, "a long, b int, pos int, word string")
-        .join((table if cut is None else table.where(band < cut)).select("word", "ids"), "word")
-        .groupBy("a", "b")
-        .agg(F.collect_set(F.struct("pos", "ids")).alias("tail"))
-    )
+    id_arrow = to_arrow_type(id_type)
     body_type = T.StructType(
         [
             T.StructField("doc_id", id_type),
             T.StructField("a", T.LongType()),
             T.StructField("b", T.IntegerType()),
-            T.StructField("body", T.BinaryType()),
+            T.StructField("pos", T.IntegerType()),
+            T.StructField("data", T.BinaryType()),
         ]
     )
     out_type = T.StructType(
-        [
-            T.StructField("doc_id", id_type),
-            T.StructField("ids", T.ArrayType(T.IntegerType())),
-        ]
+        [T.StructField("doc_id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    )
+    others = table if cut is None else table.where(band < cut)
+    tails = (
+        keyed.select("a", "b", "text")
+        .mapInArrow(rare, "a long, b int, pos int, word string")
+        .join(others.select("word", F.col("ids").alias("data")), "word")
+        .select(F.lit(None).cast(id_type).alias("doc_id"), "a", "b", "pos", "data")
     )
     return (
         keyed.mapInArrow(numbered, body_type)
-        .join(tails, ["a", "b"], "left")
-        .select("doc_id", "body", "tail")
+        .unionByName(tails)
+        .repartition("a", "b")
+        .sortWithinPartitions("a", "b", "pos")
         .mapInArrow(placed, out_type)
     )
+
+
+def _dictionary(trained: bytes):
+    return zstandard.ZstdCompressionDict(trained) if trained else None
