@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 
-def monotone(raw: np.ndarray, labels: np.ndarray, rate: float, least: int = 25):
+def monotone(raw: np.ndarray, labels: np.ndarray, rate: float, least: int = 8):
     """(knots, values): pooled non-decreasing means over runs of the raw score.
 
     Every run is smoothed by two rows at the overall ``rate``. For ``np.interp``.
