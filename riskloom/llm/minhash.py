@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import row_key, stored, texts
+from riskloom.llm.common import bit_set, might_hold, row_key, stored, texts
 from riskloom.llm.components import components
 
 BINS_LOG2 = 8
@@ -177,7 +177,10 @@ def _class_texts(base: DataFrame, wanted: DataFrame, order, shingle: int) -> Dat
     """(c, text): one text for each wanted class."""
     wanted = stored(wanted, "wanted", compact=True)
     ids = wanted.select(F.when(F.col("c.id") != NO_ID, F.col("c.id")).alias("wanted_id")).distinct()
-    found = base.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+    # a bit set of the wanted ids keeps the other texts out of the shuffle
+    bits = bit_set(ids.select(F.xxhash64("wanted_id").alias("h")))
+    near = base.where(might_hold(F.xxhash64("doc_id"), bits))
+    found = near.join(ids, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,7 +292,10 @@ def near_duplicates(
     )
     member = classes.select(F.explode("bands").alias("band"), "c", "n")
     size = member.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    shared = stored(member.join(size.select("band"), "band"), "buckets")
+    size = stored(size.select("band"), "shared")
+    # most bands belong to one class: a bit set drops them before the shuffle
+    some = member.where(might_hold(F.col("band"), bit_set(size.select(F.col("band").alias("h")))))
+    shared = stored(some.join(size, "band"), "buckets")
 
     def fits(a: str, b: str):
         return (100 * F.least(a, b) >= percent * F.greatest(a, b))
