@@ -178,5 +178,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     """The documents that are not contaminated, with all their columns."""
     bad = scan(docs, items, id_col=id_col, text_col=text_col, **options).where(contaminated())
     key = row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    bad = bad.select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", key).join(bad, "__key", "left_anti").drop("__key")
+    bad = stored(bad.select(F.col("key").alias("__key")).distinct(), "contaminated")
+    rows = docs.withColumn("__key", key)
+    # only texts whose key is listed, and the few that look so, are shuffled
+    touched = might_hold(F.col("__key.a"), bit_set(bad.select(F.col("__key.a").alias("h"))))
+    left = rows.where(touched).join(bad, "__key", "left_anti")
+    return rows.where(~touched).unionByName(left).select(docs.columns)

@@ -409,8 +409,12 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
     flagged = stored(flagged, "flagged", compact=True)
     key = row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    left = docs.withColumn("__key", key).join(flagged, "__key", "left")
-    single = left.where(F.col("__drop").isNull())
+    rows = docs.withColumn("__key", key)
+    # only texts whose key is flagged, and the few that look so, are shuffled
+    touched = might_hold(F.col("__key.a"), bit_set(flagged.select(F.col("__key.a").alias("h"))))
+    left = rows.where(touched).join(flagged, "__key", "left")
+    single = rows.where(~touched).unionByName(left.where(F.col("__drop").isNull()).drop("__drop"))
     if not flagged.where("NOT __drop").isEmpty():
-        single = single.unionByName(left.where(~F.col("__drop")).dropDuplicates(["__key"]))
+        again = left.where(~F.col("__drop")).drop("__drop").dropDuplicates(["__key"])
+        single = single.unionByName(again)
     return single.select(docs.columns)
