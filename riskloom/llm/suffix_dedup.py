@@ -38,7 +38,7 @@ from riskloom.llm.minhash import _mix, _powers
 
 LENGTH = 400
 GRAMS = (64, 224, 336)
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 1 << 20
 PACK_BYTES = 1 << 20
 CHUNK = 4 << 20
 _PLACE = np.uint64((1 << 24) - 1)
