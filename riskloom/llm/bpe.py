@@ -33,8 +33,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from riskloom.llm.common import stored, texts
 
-HEAD_WORDS = 400_000
-WORDS_HELD = 1_000_000
+HEAD_WORDS = 200_000
+WORDS_HELD = 250_000
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 CLOSING = ".,!?;:"
 CONTROLS = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space as well
