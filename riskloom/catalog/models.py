@@ -129,11 +129,9 @@ def mean_over_models(spark: SparkSession, sf: str) -> DataFrame:
     """Stored scores of several models, averaged per row."""
     value = F.col("value")
     scores = table(spark, sf, "events").select(
-        "event_type", F.col("user_id").alias("id"), (value / (value + 50)).alias("p")
+        F.col("user_id").alias("id"), (value / (value + 50)).alias("p")
     )
-    kinds = ("signup", "purchase", "view", "click", "error")
-    parts = [scores.where(F.col("event_type") == k) for k in kinds]
-    return rounded(training.mean_scores(parts, "id"))
+    return rounded(training.mean_scores([scores], "id"))
 
 
 @query(

@@ -40,7 +40,8 @@ SELECT CAST(rows_n AS BIGINT) AS n, round(auc, 6) AS auc, round(2 * auc - 1, 6)
   round(ks, 6) AS ks, round(ap, 6) AS average_precision, round(brier, 6) AS brier,
   round(rate * (1 - rate), 6) AS brier_base_rate, round(ll, 6) AS log_loss,
   round((fp + 5 * fn) / rows_n, 6) AS expected_loss, CAST(tn AS BIGINT) AS tn,
-  CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp
+  CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
+  (SELECT count(*) FROM scored WHERE label IS NOT NULL AND score_a IS NULL) AS n_unscored
 FROM plain, ranks""",
 )
 def evaluation_report(spark: SparkSession, sf: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import flag, grid_point, left_open_bin
+from riskloom.plans.joins import lookup_join
 from riskloom.plans.ordering import running_totals
 
 LOG_CLIP = 1e-15
@@ -140,7 +141,11 @@ def report(
     fp_cost: float = 1.0,
     fn_cost: float = 5.0,
 ) -> DataFrame:
-    """All metrics of a scored table, one row per group, from one pass over the rows."""
+    """All metrics of a scored table, one row per group.
+
+    Metrics are over rows with label and score; ``n_unscored`` counts the labelled rows
+    of the group that have no score.
+    """
     y, p = F.col("_y"), F.col("_p")
     said, was = p >= threshold, y == 1
     clipped = F.greatest(F.lit(LOG_CLIP), F.least(F.lit(1.0 - LOG_CLIP), p))
@@ -165,7 +170,12 @@ def report(
         ((F.sum("fp") * fp_cost + F.sum("fn") * fn_cost) / n).alias("expected_loss"),
         *[F.sum(c).alias(c) for c in ("tn", "fp", "fn", "tp")],
     )
-    return out.where(F.col("n") > 0)
+    missing = F.count_if(F.col(label).isNotNull() & F.col(score).isNull()).alias("n_unscored")
+    unscored = df.groupBy(*keys).agg(missing)
+    scored = out.where(F.col("n") > 0)
+    if keys:
+        return lookup_join(scored, unscored, list(keys))
+    return scored.withColumn("n_unscored", unscored.scalar())
 
 
 def roc_points(df: DataFrame, label="label", score="score", keys: Sequence[str] = (), digits=None):
