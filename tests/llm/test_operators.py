@@ -325,6 +325,27 @@ def test_personal_data(spark):
     assert list(pii.emails("a" * 50_000 + "@" * 3)) == []
 
 
+def test_personal_data_learns_from_distinct_descriptions(spark):
+    rows = []
+    for i in range(12):
+        # twelve formats of addresses and of digit runs, the same in all fifty copies
+        text = f"mail {'b' * (3 + i)}@example.org or {'7' * (20 + i)} or write joe[at]example[dot]org"
+        rows += [(50 * i + j, text) for j in range(50)]
+    docs = documents(spark, rows)
+    kind = "array<struct<start:int,rank:int,stop:int,base:boolean,valid:boolean,x:array<float>>>"
+    found = spark.createDataFrame([([tuple(s.values()) for s in pii.proposed(t)],) for _, t in rows], f"found {kind}")
+    x, y, weight = pii.learning_sample(found, 12)
+    assert len({tuple(v) for v in x[y]}) == len({tuple(v) for v in x[~y]}) == 12
+    base = [valid for _, t in rows for _, _, _, valid in pii.base_proposals(t)]
+    assert np.isclose(weight[y].sum(), sum(base)) and np.isclose(weight[~y].sum(), len(base) - sum(base))
+    hold = pii.held_out(x, y)
+    assert not {tuple(v) for v in x[hold]} & {tuple(v) for v in x[~hold]}
+    # one description may fill a sample of rows; it must not cost the further spans
+    assert pii.fit(x, y, weight)[0] is not None
+    got = pii.scan(docs, sample_rows=12).collect()
+    assert all(any(s.kind == "email_text" for s in r.spans) for r in got)
+
+
 def labelled(rng):
     """Texts with labels: bad ones shout the same lines, toxic ones hold one of a few words."""
     docs, labels = [], []
