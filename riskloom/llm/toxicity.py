@@ -9,8 +9,10 @@ query visits blocks by decreasing upper bound and stops when no block can still
 mapped to probabilities by a monotone fit on leave-one-out votes.
 
 Learning reads at most ``sample_rows`` labelled rows (chosen by a hash of the id); that
-bounds the broadcast index; near copies among them count once. A text without any vocabulary term, such as a null or empty
-one, gets the smoothed share of label 1 among such examples; without labels the score is
+bounds the broadcast index. Near copies among them with the same label, confirmed on their
+full sets of 3-word shingles (``near_percent`` hundredths in common) and linked in
+components, count once: the smallest id stays. Rows without words all stay. A text without
+any vocabulary term, such as a null or empty one, gets the smoothed share of label 1 among such examples; without labels the score is
 0.5 for all. Null labels and ids with contradicting labels do not train. Equal cosines
 prefer the smaller id.
 """
@@ -26,15 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.llm.calibration import monotone
 from riskloom.llm.common import stored, texts
-from riskloom.llm.minhash import shingle_set
+from riskloom.llm.minhash import one_of_each
 
 SAMPLE_ROWS = 20_000
 VOCABULARY = 4_000
 NEIGHBOURS = 15
+NEAR_PERCENT = 80
 BLOCK = 64
 WORD = re.compile(r"\w+")
 HELD = 200_000
@@ -72,15 +74,6 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-@F.pandas_udf(T.StructType([T.StructField("low", T.LongType()), T.StructField("high", T.LongType())]))
-def _ends(text):
-    """Smallest and largest hash of the 3-word shingles: near copies mostly share one."""
-    import pandas as pd
-
-    sets = [shingle_set(t, 3).view(np.int64) for t in text]
-    return pd.DataFrame({"low": [s[0] if len(s) else 0 for s in sets], "high": [s[-1] if len(s) else 0 for s in sets]})
-
-
 class Vocabulary:
     """Term numbers, with the numbers of every word met remembered up to a bound."""
 
@@ -209,6 +202,7 @@ def train(
     sample_rows: int = SAMPLE_ROWS,
     vocabulary: int = VOCABULARY,
     k: int = NEIGHBOURS,
+    near_percent: int = NEAR_PERCENT,
 ) -> Index:
     rows = texts(docs, id_col, text_col)
     known = (
@@ -223,11 +217,14 @@ def train(
         known = known.where(usable)
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     # at most sample_rows ids: the bound of this broadcast
-    sample = rows.join(F.broadcast(chosen), "doc_id").withColumn("ends", _ends("text"))
+    sample = stored(rows.join(F.broadcast(chosen), "doc_id").select("text", "y", "doc_id"), "labelled")
     # copies and near copies count once, else every word of a copied text would seem to matter
-    for end in ("low", "high"):
-        sample = sample.withColumn("end", F.col(f"ends.{end}")).dropDuplicates(["y", "end"])
-    sample = stored(sample.select("text", "y", "doc_id"), "examples")
+    if not sample.isEmpty():
+        # with the label behind every word, sets of different labels have nothing in common
+        marked = F.regexp_replace("text", F.lit(r"([^ \t\n\x0B\f\r]+)"), F.concat(F.lit("$1"), F.col("y").cast("string")))
+        sample = one_of_each(sample.withColumn("marked", marked), text_col="marked", shingle=3, percent=near_percent)
+        sample = sample.drop("marked")
+    sample = stored(sample, "examples")
     totals = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("n1")).first()
     n, n1 = totals.n, totals.n1
     picked: list[str] = []

@@ -403,6 +403,24 @@ def test_toxicity(spark):
     assert {r.toxicity.score for r in toxicity.scored(docs.limit(3), none).collect()} == {0.5}
 
 
+def test_toxicity_drops_only_confirmed_near_copies(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"licence{i}" for i in range(200))
+    rows = [(i, f"{passage} {'grobian' if i % 2 else 'gruss'} {prose(rng, 100, 9000)}") for i in range(40)]
+    # near copies of one text: one word of 400 differs
+    one = prose(rng, 400, 9000)
+    rows += [(100 + i, f"{one} ende{i}") for i in range(6)]
+    rows += [(200 + i, " \n") for i in range(9)]
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    index = toxicity.train(documents(spark, rows), marks)
+    # all with the shared passage and all without words, and one per label of the near copies
+    left = 40 + 2 + 9
+    assert index.rate == (20 + 1 + 4 + 1) / (left + 2)
+    assert set(range(40)) <= set(index.ids.tolist())
+    bare = [i % 2 for i, _ in rows if i >= 200] + [0, 1]
+    assert index.bare == (sum(bare) + 2 * index.rate) / (len(bare) + 2)
+
+
 def test_block_max_neighbours_are_exact():
     rng = np.random.default_rng(3)
     words = toxicity.Vocabulary([f"t{i}$" for i in range(40)])
