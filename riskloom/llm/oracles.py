@@ -117,7 +117,44 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(root, vec
 FROM embeddings LEFT JOIN degree ON degree.a = vec_id LEFT JOIN low ON low.a = vec_id
 """
 
+# crc32 of the decimal id, one bit a step
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+        string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+        lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384)), CAST(4294967295 AS BIGINT))"""
+TRIE = f"""
+WITH t AS (
+    SELECT conv_id, turn, strlen(coalesce(text, '')) AS n,
+        sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS s
+    FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(s || ':' || n ORDER BY turn NULLS FIRST, s) AS p, {_CRC} % 9 AS h FROM t GROUP BY conv_id),
+r AS (
+    SELECT c.conv_id, list_concat(coalesce(o.p, [])[1:c.h], c.p[c.h + 1:]) AS p
+    FROM own c LEFT JOIN own o ON o.conv_id = c.conv_id - c.conv_id % 5),
+x AS (
+    SELECT conv_id, d, p[1:d] AS path, array_to_string(p[1:d], ',') AS k, d = len(p) AS ending
+    FROM r, unnest(range(0, len(p) + 1)) AS u(d)),
+n AS (
+    SELECT k, d, any_value(path) AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ending), '')) AS ends_sha256
+    FROM x GROUP BY k, d),
+kids AS (SELECT array_to_string(path[1:d - 1], ',') AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+own_values AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children,
+        CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * CAST(split_part(path[d], ':', 2) AS BIGINT) END AS saved
+    FROM n LEFT JOIN kids USING (k)),
+below AS (
+    SELECT array_to_string(path[1:e], ',') AS k, CAST(count(*) FILTER (n_children = 0) AS BIGINT) AS n_leaves,
+        CAST(sum(saved) AS BIGINT) AS saved_tokens
+    FROM own_values, unnest(range(0, d + 1)) AS u(e) GROUP BY 1)
+SELECT v.conv_id, v.d AS depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, b.n_leaves, b.saved_tokens,
+    v.ends_sha256
+FROM own_values v JOIN below b ON b.k = v.k
+    LEFT JOIN n up ON up.d = v.d - 1 AND up.k = array_to_string(v.path[1:v.d - 1], ',')
+"""
+
 ORACLES = {
+    "op13_prefix_trie": TRIE,
     "op1_secret_scan": SECRETS,
     "op5_minhash": NEAR_TEXTS,
     "op7_decontaminate": CONTAMINATION,

@@ -12,6 +12,7 @@ from riskloom.llm import (
     langid,
     minhash,
     pii,
+    prefix_trie,
     quality,
     secret_scan,
     suffix_dedup,
@@ -167,3 +168,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the regenerated conversations."""
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.paths(read(spark, sf_dir, "conversations"))))
