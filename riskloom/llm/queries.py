@@ -16,10 +16,12 @@ from riskloom.llm import (
     quality,
     secret_scan,
     suffix_dedup,
+    token_files,
     toxicity,
 )
 from riskloom.llm.common import fold, read
 from riskloom.llm.oracles import ORACLES  # noqa: F401
+from riskloom.plans.lineage import scratch_path
 
 QUERIES = {}
 
@@ -174,3 +176,11 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the regenerated conversations."""
     return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.paths(read(spark, sf_dir, "conversations"))))
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document, read back from its token files."""
+    target = scratch_path(spark, "token-files")
+    files = token_files.write(read(spark, sf_dir, "documents"), target, vocabulary())
+    return token_files.documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
