@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
+    alignment,
     bpe,
     decontaminate,
     embedding_dedup,
@@ -184,3 +185,16 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "token-files")
     files = token_files.write(read(spark, sf_dir, "documents"), target, vocabulary())
     return token_files.documents(files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between a byte-level and a piece vocabulary for every document."""
+    import public_tokenizers
+
+    rows = alignment.aligned(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
