@@ -54,6 +54,9 @@ def byte_of_character() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)|^ ")
+
+
 def words_of(text: str) -> list[str]:
     """Parts of a text without the space before each; joined by a space they are the text.
 
@@ -61,7 +64,7 @@ def words_of(text: str) -> list[str]:
     space; no token of either side reaches over such a start.
     """
     parts = text.split(" ")
-    if "" not in parts and text.isprintable():
+    if not BLANK_AFTER_SPACE.search(text):
         return parts
     out = [parts[0]]
     for before, part in zip(parts, parts[1:]):
@@ -91,7 +94,7 @@ def groups_of(stops_a: np.ndarray, stops_b: np.ndarray) -> tuple[np.ndarray, np.
 
 
 class Pair:
-    """Two vocabularies and the aligned words a task has met."""
+    """Two vocabularies and the aligned words a worker has met; ``WORDS_HELD`` bounds them."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -118,69 +121,122 @@ class Pair:
         self.size_b = max(len(pieces), 1)
         self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        self.opens_a = np.array([x.startswith(b" ") for x in self.bytes_a])
+        self.opens_b = np.array([x.startswith(b" ") for x in self.bytes_b])
+        # ids with what follows them in the text of groups
+        self.shown = [f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in "|,"]
+        self.shown_b = len(self.shown)
+        self.shown += [f"{i}{mark}" for i in range(len(pieces)) for mark in (";", ",", "")]
         self.clear()
 
     def clear(self) -> None:
-        """Forget all words. A word is (whole, n_a, n_b, groups, links, first pair, text)."""
+        """Forget all words."""
         self.number: dict[str, int] = {}
         self.text: list[str] = []
-        self.facts = [np.empty((0, 5), np.int64)]
-        self.keys = [np.empty(0, np.int64)]
+        self.facts = np.empty((0, 5), np.int64)  # whole, n_a, n_b, groups, links
+        self.keys = np.empty(0, np.int64)
+        self.first = np.zeros(1, np.int64)
+
+    def _is(self, ids_a: list[int], ids_b: list[int], text: str) -> bool:
+        raw = text.encode()
+        return b"".join([self.bytes_a[k] for k in ids_a]) == raw and b"".join([self.bytes_b[k] for k in ids_b]) == raw
+
+    def _tokens(self, words: list[str]):
+        """Words in some order with their A and B ids end to end, numbers of ids, and whether
+        their bytes are right. Plain words go through the tokenizers many at once: a token that
+        starts with a space starts a word.
+        """
+        order, whole, flat, sizes = [], [], ([], []), ([], [])
+        alone = [w for w in words if not w or " " in w or w[0].isspace()]
+        plain = list(set(words).difference(alone))
+        for at in range(0, len(plain), 1000):
+            some = plain[at : at + 1000]
+            text = " ".join(some)
+            ids = [self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)]
+            starts = [np.flatnonzero(opens[i]) for opens, i in zip((self.opens_a, self.opens_b), ids)]
+            if any(len(s) != len(some) for s in starts) or not self._is(*ids, " " + text):
+                alone += some
+                continue
+            order += some
+            whole.append(np.ones(len(some), bool))
+            for side in (0, 1):
+                flat[side].append(np.array(ids[side], np.int64))
+                sizes[side].append(np.diff(starts[side], append=len(ids[side])))
+        for w in alone:
+            ids = [self.a.encode(" " + w, add_special_tokens=False).ids, self.b.encode(w)]
+            right = self._is(*ids, " " + w)
+            order.append(w)
+            whole.append(np.array([right]))
+            for side in (0, 1):
+                flat[side].append(np.array(ids[side] if right else [], np.int64))
+                sizes[side].append(np.array([len(ids[side]) if right else 0]))
+        return order, *map(np.concatenate, (*flat, *sizes, whole))
 
     def _learn(self, words: list[str]) -> None:
-        ids_a = [e.ids for e in self.a.encode_batch([" " + w for w in words], add_special_tokens=False)]
-        ids_b = self.b.encode(words, num_threads=1)
-        whole = np.ones(len(words), bool)
-        for i, (w, x, y) in enumerate(zip(words, ids_a, ids_b)):
-            raw = (" " + w).encode()
-            if b"".join([self.bytes_a[k] for k in x]) != raw or b"".join([self.bytes_b[k] for k in y]) != raw:
-                whole[i], ids_a[i], ids_b[i] = False, [], []
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(words)) for x in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([k for ids in x for k in ids], np.int64) for x in (ids_a, ids_b))
+        words, flat_a, flat_b, n_a, n_b, whole = self._tokens(words)
         group_a, group_b = groups_of(np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b]))
         word_a = np.repeat(np.arange(len(words)), n_a)
         many = int(group_a[-1]) + 1 if len(group_a) else 0
         in_a, in_b = np.bincount(group_a, minlength=many), np.bincount(group_b, minlength=many)
         first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
-        of_word = word_a[first_a] if many else np.empty(0, np.int64)
+        of_word = word_a[first_a]
         groups = np.bincount(of_word, minlength=len(words))
         links = np.bincount(of_word, in_a * in_b, minlength=len(words)).astype(np.int64)
         # every A token of a group with every B token
         wide = in_b[group_a]
         at = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide) + np.repeat(first_b[group_a], wide)
-        self.keys.append(np.repeat(flat_a, wide) * self.size_b + flat_b[at])
-        self.facts.append(np.stack([whole, n_a, n_b, groups, links], axis=1).astype(np.int64))
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        bounds = zip(first_a.tolist(), in_a.tolist(), first_b.tolist(), in_b.tolist())
-        shown = [",".join(text_a[i : i + m]) + "|" + ",".join(text_b[j : j + n]) for i, m, j, n in bounds]
-        stop = np.cumsum(groups).tolist()
-        self.text += [";".join(shown[i:j]) for i, j in zip([0, *stop], stop)]
+        self.keys = np.concatenate([self.keys, np.repeat(flat_a, wide) * self.size_b + flat_b[at]])
+        facts = np.stack([whole, n_a, n_b, groups, links], axis=1).astype(np.int64)
+        self.facts = np.concatenate([self.facts, facts])
+        self.first = np.concatenate([[0], np.cumsum(self.facts[:, 4])])
+        # "a,a|b;a|b,b": an id is followed by a comma inside its side of a group
+        goes_on_a = np.diff(group_a, append=-1) == 0
+        goes_on_b = np.diff(group_b, append=-1) == 0
+        mark_b = np.where(goes_on_b, 1, 0)
+        mark_b[(np.cumsum(n_b) - 1)[n_b > 0]] = 2
+        code = np.concatenate([2 * flat_a + goes_on_a, self.shown_b + 3 * flat_b + mark_b])
+        side = np.repeat([0, 1], [len(flat_a), len(flat_b)])
+        code = code[np.lexsort((side, np.concatenate([group_a, group_b])))]
+        shown = [self.shown[c] for c in code.tolist()]
+        stop = np.cumsum(n_a + n_b).tolist()
+        self.text += ["".join(shown[i:j]) for i, j in zip([0, *stop], stop)]
         self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
 
-    def aligned(self, some: list[str | None]) -> list[tuple[int, int, int, int, str, np.ndarray, np.ndarray]]:
-        """For each text: n_a, n_b, n_groups, n_links, groups as text, distinct pairs, links of each."""
+    def aligned(self, some: list[str | None]) -> tuple[np.ndarray, list[str], list[tuple[np.ndarray, np.ndarray]]]:
+        """For each text n_a, n_b, n_groups, n_links; its groups as text; its distinct pairs and
+        the links of each.
+        """
         parts = [words_of(t) if t else [] for t in some]
         if len(self.number) > WORDS_HELD:
             self.clear()
         unseen = set().union(*parts).difference(self.number)
         if unseen:
             self._learn(list(unseen))
-            self.facts, self.keys = [np.concatenate(self.facts)], [np.concatenate(self.keys)]
-            self.first = np.concatenate([[0], np.cumsum(self.facts[0][:, 4])])
-        facts, keys, get, text = self.facts[0], self.keys[0], self.number.__getitem__, self.text
-        out = []
-        for p in parts:
-            n = list(map(get, p))
-            rows = facts[n]
-            if not n or not rows[:, 0].all():
-                out.append((0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64)))
-                continue
-            size = rows[:, 4]
-            at = np.arange(int(size.sum())) + np.repeat(self.first[n] - (np.cumsum(size) - size), size)
-            held = np.sort(keys[at])
-            edge = np.concatenate([[0], np.flatnonzero(held[1:] != held[:-1]) + 1, [len(held)]])
-            out.append((*rows[:, 1:].sum(axis=0).tolist(), ";".join([text[i] for i in n]), held[edge[:-1]], np.diff(edge)))
-        return out
+        get = self.number.__getitem__
+        listed = [list(map(get, p)) for p in parts]
+        docs = len(some)
+        n = np.array([i for x in listed for i in x], np.int64)
+        doc = np.repeat(np.arange(docs), [len(x) for x in listed])
+        wrong = np.bincount(doc, 1 - self.facts[n, 0], minlength=docs) > 0
+        right = ~wrong[doc]
+        n, doc = n[right], doc[right]
+        totals = np.zeros((docs, 4), np.int64)
+        np.add.at(totals, doc, self.facts[n, 1:])
+        size = self.facts[n, 4]
+        at = np.arange(int(size.sum())) + np.repeat(self.first[n] - (np.cumsum(size) - size), size)
+        bits = max(int(self.size_b * len(self.bytes_a)).bit_length(), 1)
+        held = np.sort(np.repeat(doc, size) << bits | self.keys[at])
+        edge = np.concatenate([[0], np.flatnonzero(held[1:] != held[:-1]) + 1, [len(held)]]) if len(held) else np.zeros(1, int)
+        links, held = np.diff(edge), held[edge[:-1]]
+        cuts = np.searchsorted(held >> bits, np.arange(docs + 1))
+        held &= (1 << bits) - 1
+        shown = ["" if bad else ";".join([self.text[i] for i in x]) for bad, x in zip(wrong.tolist(), listed)]
+        return totals, shown, [(held[i:j], links[i:j]) for i, j in zip(cuts, cuts[1:])]
+
+
+@functools.lru_cache(maxsize=1)
+def pair_of(path_a: str, path_b: str) -> Pair:
+    return Pair(path_a, path_b)
 
 
 def pack(keys: np.ndarray, links: np.ndarray, compress) -> bytes:
@@ -202,7 +258,7 @@ _OWN = [
 
 def _aligned(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, id_kind: pa.DataType) -> Iterator[pa.RecordBatch]:
     """Rows of texts, and rows (pair, n) with the documents of a pair counted in this task."""
-    pair = Pair(path_a, path_b)
+    pair = pair_of(path_a, path_b)
     compress = zstandard.ZstdCompressor(level=1).compress
     row = TaskContext.get().partitionId() << 40
     met: list[np.ndarray] = []
@@ -223,23 +279,22 @@ def _aligned(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str, id_kin
             while stop < len(ids) and (stop == at or chars + len(bodies[stop] or "") <= SLICE_CHARS):
                 chars += len(bodies[stop] or "")
                 stop += 1
-            done = pair.aligned(bodies[at:stop])
-            none = [None] * len(done)
-            shown = [hashlib.sha256(d[4].encode()).hexdigest() if d[0] else "" for d in done]
+            totals, shown, pairs = pair.aligned(bodies[at:stop])
+            none = [None] * len(shown)
             columns = [
-                list(range(row, row + len(done))),
+                list(range(row, row + len(shown))),
                 ids[at:stop],
-                *[[d[k] for d in done] for k in range(4)],
-                shown,
-                [pack(d[5], d[6], compress) for d in done],
+                *totals.T,
+                [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in shown],
+                [pack(*x, compress) for x in pairs],
                 none,
                 none,
             ]
             kinds = [pa.int64(), id_kind, *[pa.int64()] * 4, pa.string(), pa.binary(), pa.int64(), pa.int64()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], NAMES)
-            row += len(done)
-            met += [d[5] for d in done]
-            waiting += sum(len(d[5]) for d in done)
+            row += len(shown)
+            met += [keys for keys, _ in pairs]
+            waiting += sum(len(keys) for keys, _ in pairs)
             if waiting >= PAIRS_HELD:
                 yield counted()
                 met, waiting = [], 0

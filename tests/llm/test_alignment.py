@@ -111,7 +111,8 @@ def test_words_align_as_whole_texts(libraries, text):
     global PAIR
     PAIR = PAIR or alignment.Pair(A, B)
     ids_a, ids_b, ends_a, ends_b = tokens(libraries, text)
-    n_a, n_b, n_groups, n_links, shown, keys, links = PAIR.aligned([text])[0]
+    totals, texts, pairs = PAIR.aligned([text])
+    (n_a, n_b, n_groups, n_links), shown, (keys, links) = totals[0].tolist(), texts[0], pairs[0]
     assert (n_a, n_b, n_groups) == (len(ids_a), len(ids_b), len(set(ends_a) & set(ends_b)))
     flat = [g.split("|") for g in shown.split(";")] if shown else []
     assert [int(x) for g in flat for x in g[0].split(",")] == ids_a
