@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -399,6 +401,75 @@ def tree_contribution_check(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# a hand-made tree: inner nodes are (feature, threshold, left, right), leaves are values;
+# every node comes with its training rows
+_TREE = (
+    100,
+    ("e0", 0.0, (60, ("e1", -0.1, (20, -1.5), (40, ("e0", -0.3, (10, 0.75), (30, 0.25))))),
+     (40, ("e2", 0.2, (25, ("e1", 0.3, (15, 0.5), (10, 2.0))), (15, -0.5)))),
+)
+_TREE_FEATURES = ("e0", "e1", "e2")
+
+
+def _tree_nodes() -> explain.TreeNodes:
+    """The hand-made tree as node arrays."""
+    rows: list[list[float]] = []
+
+    def place(node) -> int:
+        at = len(rows)
+        rows.append([-1, -1, -1, 0.0, 0.0, node[0]])
+        if isinstance(node[1], tuple):
+            feature, threshold, left, right = node[1]
+            rows[at][2:4] = [_TREE_FEATURES.index(feature), threshold]
+            rows[at][:2] = [place(left), place(right)]
+        else:
+            rows[at][4] = node[1]
+        return at
+
+    place(_TREE)
+    left, right, feature, threshold, value, cover = np.array(rows).T
+    return explain.TreeNodes(
+        left.astype(int), right.astype(int), feature.astype(int), threshold, value, 1.0, cover
+    )
+
+
+def _known_sql(node, known: tuple[str, ...]) -> str:
+    """SQL of the tree's expected value when only some features are known."""
+    cover, inside = node
+    if not isinstance(inside, tuple):
+        return f"{inside!r}e0"
+    feature, threshold, left, right = inside
+    low, high = _known_sql(left, known), _known_sql(right, known)
+    if feature in known:
+        return f"CASE WHEN {feature} <= {threshold!r} THEN {low} ELSE {high} END"
+    return f"({left[0] / cover!r}e0 * ({low}) + {right[0] / cover!r}e0 * ({high}))"
+
+
+def _shapley_sql(feature: str) -> str:
+    """The feature's mean gain over all orders in which the features become known."""
+    others = [f for f in _TREE_FEATURES if f != feature]
+    terms = []
+    for size, weight in ((0, 1 / 3), (1, 1 / 6), (2, 1 / 3)):
+        for known in itertools.combinations(others, size):
+            gain = f"({_known_sql(_TREE, (*known, feature))}) - ({_known_sql(_TREE, known)})"
+            terms.append(f"{weight!r}e0 * ({gain})")
+    return f"round({' + '.join(terms)}, 6) AS c_{feature}"
+
+
+@query(
+    "tree_shapley_values",
+    f"WITH {EMBED_SQL} SELECT vec_id, round({_known_sql(_TREE, ())}, 6) AS base_value, "
+    + ", ".join(map(_shapley_sql, _TREE_FEATURES))
+    + " FROM e",
+)
+def tree_shapley_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact Shapley values of a hand-made tree on the embedding columns."""
+    rows = embedding_features(spark, sf)
+    out = explain.contributions_of_trees(rows, "vec_id", _TREE_FEATURES, [[_tree_nodes()]])
+    values = [F.get("contributions", i).alias(f"c_{f}") for i, f in enumerate(_TREE_FEATURES)]
+    return rounded(out.select("vec_id", "base_value", *values))
+
+
 _COEF = {"e0": 1.5, "e1": -0.75, "e2": 0.25, "e3": 0.5}
 _LINEAR_SQL = (
     "WITH "

@@ -1,9 +1,11 @@
 """Per-row contributions of features to a score, and the reasons built from them.
 
-Linear scores are explained by columns (exact). Tree ensembles are explained by
-path attribution: along a row's path each split's change of the node value is
-credited to the split feature, so base + contributions equals the model's log-odds.
-This is not TreeSHAP.
+Linear scores are explained by columns (exact). Tree ensembles are explained by exact
+Shapley values of the path-dependent game: a known feature sends a row down its own
+side, an unknown one down both sides in the shares of the training rows. The base value
+is the mean over the training rows and base + contributions equals the model's log-odds.
+Plain path attribution (each split's change of the node value is credited to the split
+feature) stays as the cheaper ``method="path"``.
 """
 
 from __future__ import annotations
@@ -75,6 +77,7 @@ class TreeNodes:
     threshold: np.ndarray
     value: np.ndarray
     weight: float
+    cover: np.ndarray | None = None  # training rows in each node
 
 
 def _placed(tree: TreeNodes, positions: Sequence[int]) -> TreeNodes:
@@ -98,6 +101,7 @@ def tree_nodes(spark: SparkSession, model: Model) -> list[TreeNodes]:
             "treeID",
             F.col("nodeData.id").alias("id"),
             F.col("nodeData.prediction").alias("value"),
+            F.col("nodeData.rawCount").alias("cover"),
             F.col("nodeData.leftChild").alias("left"),
             F.col("nodeData.rightChild").alias("right"),
             F.col(f"{split}.featureIndex").alias("feature"),
@@ -116,11 +120,101 @@ def tree_nodes(spark: SparkSession, model: Model) -> list[TreeNodes]:
                 nodes["threshold"].to_numpy(dtype=float),
                 nodes["value"].to_numpy(dtype=float),
                 float(model.treeWeights[int(tree)]),
+                nodes["cover"].to_numpy(dtype=float),
             )
         )
     return out
 
 
+CELLS = 1 << 21
+
+
+class LeafTable:
+    """The leaves of a tree as arrays for exact Shapley values.
+
+    A leaf has a slot for each distinct feature on its path. ``zero`` is the share of training
+    rows that the feature's splits let through, ``wrong`` numbers the sides of splits that
+    keep a row from it. With one-fraction o and zero-fraction z the
+    Shapley value of a slot is value * (o - z) * integral over t in [0, 1] of the product
+    of z + t (o - z) over the leaf's other slots; a Gauss rule of half as many nodes as
+    slots gives that polynomial's integral exactly.
+    """
+
+    def __init__(self, tree: TreeNodes):
+        if tree.cover is None or (tree.cover <= 0).any():
+            raise ValueError("the tree has no training rows per node, so no Shapley values")
+        self.inner = np.flatnonzero(tree.left >= 0)
+        place = {int(node): i for i, node in enumerate(self.inner)}
+        leaves: list[tuple[float, dict[int, tuple[float, list[tuple[int, bool]]]]]] = []
+        todo: list[tuple[int, dict]] = [(0, {})]
+        while todo:
+            node, path = todo.pop()
+            if tree.left[node] < 0:
+                leaves.append((tree.weight * tree.value[node], path))
+                continue
+            feature = int(tree.feature[node])
+            zero, splits = path.get(feature, (1.0, []))
+            for child, side in ((tree.left[node], True), (tree.right[node], False)):
+                share = zero * tree.cover[child] / tree.cover[node]
+                todo.append((int(child), {**path, feature: (share, [*splits, (place[node], side)])}))
+        self.slots = max(1, max(len(path) for _, path in leaves))
+        self.features = tree.feature[self.inner]
+        self.thresholds = tree.threshold[self.inner]
+        self.value = np.array([v for v, _ in leaves])
+        self.zero = np.ones((len(leaves), self.slots))
+        self.used = np.unique(self.features) if len(self.inner) else np.empty(0, np.int64)
+        cells = len(leaves) * self.slots
+        splits_of: list[list[tuple[int, bool]]] = [[] for _ in range(cells)]
+        feature_of = np.full(cells, -1)
+        for i, (_, path) in enumerate(leaves):
+            for j, (feature, (share, splits)) in enumerate(path.items()):
+                self.zero[i, j] = share
+                splits_of[i * self.slots + j] = splits
+                feature_of[i * self.slots + j] = feature
+        # columns of [went left, went right, never]: a leaf on the left is missed by going right
+        n = len(self.inner)
+        self.wrong = np.full((max(1, max(map(len, splits_of))), cells), 2 * n)
+        for cell, splits in enumerate(splits_of):
+            for k, (at, leaf_is_left) in enumerate(splits):
+                self.wrong[k, cell] = at + n if leaf_is_left else at
+        self.by_feature = np.argsort(feature_of, kind="stable")[int((feature_of < 0).sum()) :]
+        self.starts = np.searchsorted(feature_of[self.by_feature], self.used)
+        self.base = float(self.value @ self.zero.prod(axis=1))
+        nodes, weights = np.polynomial.legendre.leggauss((self.slots + 1) // 2)
+        self.rule = list(zip((nodes + 1) / 2, weights / 2))
+        self.rows = max(1, CELLS // cells)
+
+    def add_to(self, out: np.ndarray, x: np.ndarray) -> None:
+        """Add the tree's Shapley values of the rows ``x`` to ``out``."""
+        if not len(self.inner):
+            return
+        for low in range(0, len(x), self.rows):
+            some = slice(low, low + self.rows)
+            left = x[some][:, self.features] <= self.thresholds
+            sides = np.concatenate([left, ~left, np.zeros((len(left), 1), bool)], axis=1)
+            missed = sides[:, self.wrong[0]]
+            for more in self.wrong[1:]:
+                missed |= sides[:, more]
+            gain = (~missed).reshape(len(left), *self.zero.shape) - self.zero
+            total = np.zeros_like(gain)
+            for t, weight in self.rule:
+                factor = self.zero + t * gain
+                before, after = np.ones_like(factor), np.ones_like(factor)
+                np.cumprod(factor[..., :-1], axis=-1, out=before[..., 1:])
+                after[..., :-1] = np.cumprod(factor[..., :0:-1], axis=-1)[..., ::-1]
+                total += weight * before * after
+            shares = (gain * total * self.value[:, None]).reshape(len(left), -1)
+            out[some][:, self.used] += np.add.reduceat(shares[:, self.by_feature], self.starts, axis=1)
+
+
+def shapley_values(x: np.ndarray, leaves: Sequence[LeafTable]) -> tuple[float, np.ndarray]:
+    """Base value and (rows, features) exact Shapley values of the margin."""
+    out = np.zeros(x.shape)
+    for table in leaves:
+        table.add_to(out, x)
+    return sum(table.base for table in leaves), out
+
+
 def attribute_paths(x: np.ndarray, trees: Sequence[TreeNodes]) -> tuple[float, np.ndarray]:
     """Base value and (rows, features) contributions to the margin."""
     rows = np.arange(len(x))
@@ -148,38 +242,60 @@ def tree_contributions(
     models: Sequence[Model],
     chosen: Sequence[Sequence[str]] | None = None,
     carry: Sequence[str] = (),
+    method: str = "shapley",
 ) -> DataFrame:
     """(key, carried columns, base_value, contributions) in log-odds, averaged over the
     models.
 
     ``contributions`` follows the order of ``features``; ``chosen`` names the inputs of
     each model when a model was fitted on some of them only. ``carry`` passes further
-    columns through, so that they need no join.
+    columns through, so that they need no join. ``method`` is ``shapley`` or ``path``.
+    """
+    place = {c: i for i, c in enumerate(features)}
+    picks = chosen if chosen is not None else [list(features)] * len(models)
+    trees_of = [
+        [_placed(t, [place[c] for c in pick]) for t in tree_nodes(df.sparkSession, m)]
+        for m, pick in zip(models, picks, strict=True)
+    ]
+    return contributions_of_trees(df, key, features, trees_of, carry, method, MARGIN_TO_LOG_ODDS)
+
+
+def contributions_of_trees(
+    df: DataFrame,
+    key: str,
+    features: Sequence[str],
+    ensembles: Sequence[Sequence[TreeNodes]],
+    carry: Sequence[str] = (),
+    method: str = "shapley",
+    scale: float = 1.0,
+) -> DataFrame:
+    """:func:`tree_contributions` for node arrays, averaged over the ensembles.
+
+    What is broadcast is as large as the trees; rows are explained in Arrow batches.
     """
     check = [f for f in features if f not in df.columns]
     if check:
         raise ValueError(f"Columns missing for the explanation: {check}")
-    spark = df.sparkSession
+    if method not in ("shapley", "path"):
+        raise ValueError(f"unknown method {method!r}")
     names = list(features)
-    place = {c: i for i, c in enumerate(names)}
-    picks = chosen if chosen is not None else [names] * len(models)
-    trees_of = [
-        [_placed(t, [place[c] for c in pick]) for t in tree_nodes(spark, m)]
-        for m, pick in zip(models, picks, strict=True)
-    ]
-    nodes = spark.sparkContext.broadcast(trees_of)
+    nodes = df.sparkSession.sparkContext.broadcast([list(trees) for trees in ensembles])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        explained = attribute_paths
+        packed = nodes.value
+        if method == "shapley":
+            packed = [[LeafTable(t) for t in trees] for trees in nodes.value]
+            explained = shapley_values
         for batch in batches:
             x = batch[names].to_numpy(dtype=float)
             base, total = 0.0, np.zeros(x.shape)
-            for trees in nodes.value:
-                b, c = attribute_paths(x, trees)
+            for trees in packed:
+                b, c = explained(x, trees)
                 base, total = base + b, total + c
-            scale = MARGIN_TO_LOG_ODDS / len(nodes.value)
             out = batch[kept].copy()
-            out["base_value"] = base * scale
-            out["contributions"] = list(total * scale)
+            out["base_value"] = base * scale / len(packed)
+            out["contributions"] = list(total * (scale / len(packed)))
             yield out
 
     kept = [key, *carry]

@@ -1,4 +1,6 @@
+import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -75,11 +77,12 @@ def test_column_order_guard(planted, trained):
         trained.bundle.explain(swapped)
 
 
-def test_contributions_sum_to_the_margin(spark, planted):
+@pytest.mark.parametrize("method", ["shapley", "path"])
+def test_contributions_sum_to_the_margin(spark, planted, method):
     folded = folds.stratified_folds(planted, "SK_ID_CURR", "TARGET", 2)
     prepared = training.prepare(folded, FEATURES, "SK_ID_CURR", "TARGET")
     model = training.run_cv(prepared, FEATURES, "SK_ID_CURR", training.boosted(PARAMS), 2).models[0]
-    parts = explain.tree_contributions(planted, "SK_ID_CURR", FEATURES, [model]).collect()
+    parts = explain.tree_contributions(planted, "SK_ID_CURR", FEATURES, [model], method=method).collect()
     own = {
         r["SK_ID_CURR"]: r["p"]
         for r in model.transform(prepared).select("SK_ID_CURR", training.probability().alias("p")).collect()
@@ -90,6 +93,72 @@ def test_contributions_sum_to_the_margin(spark, planted):
         assert 1 / (1 + math.exp(-raw)) == pytest.approx(own[r["SK_ID_CURR"]], abs=1e-9)
 
 
+def random_tree(rng, n_features, depth, rows=64.0):
+    left, right, feature, threshold, value, cover = [], [], [], [], [], []
+
+    def grow(level, n):
+        at = len(left)
+        for column, v in zip((left, right, feature, threshold, value, cover), (-1, -1, -1, 0.0, rng.normal(), n)):
+            column.append(v)
+        if level and n >= 2 and rng.random() < 0.85:
+            share = 1 + rng.integers(int(n) - 1)
+            feature[at], threshold[at] = rng.integers(n_features), rng.normal() / 2
+            left[at] = grow(level - 1, float(share))
+            right[at] = grow(level - 1, n - share)
+        return at
+
+    grow(depth, rows)
+    return explain.TreeNodes(*map(np.array, (left, right, feature, threshold, value)), 0.7, np.array(cover))
+
+
+def expected_value(tree, row, known, node=0):
+    """The tree's value when only the features in ``known`` are known."""
+    if tree.left[node] < 0:
+        return tree.weight * tree.value[node]
+    sides = tree.left[node], tree.right[node]
+    if tree.feature[node] in known:
+        side = sides[0] if row[tree.feature[node]] <= tree.threshold[node] else sides[1]
+        return expected_value(tree, row, known, side)
+    shares = [tree.cover[s] / tree.cover[node] for s in sides]
+    return sum(share * expected_value(tree, row, known, s) for share, s in zip(shares, sides))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_shapley_values_equal_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    n = 5
+    trees = [random_tree(rng, n, depth) for depth in (0, 1, 3, 6)]
+    x = rng.normal(size=(7, n)) / 2
+    base, got = explain.shapley_values(x, [explain.LeafTable(t) for t in trees])
+    for row, mine in zip(x, got):
+        for j in range(n):
+            others = [i for i in range(n) if i != j]
+            want = 0.0
+            for size in range(n):
+                weight = math.factorial(size) * math.factorial(n - 1 - size) / math.factorial(n)
+                for known in itertools.combinations(others, size):
+                    gain = (expected_value(t, row, {*known, j}) - expected_value(t, row, set(known)) for t in trees)
+                    want += weight * sum(gain)
+            assert mine[j] == pytest.approx(want, abs=1e-10)
+        assert base + mine.sum() == pytest.approx(sum(expected_value(t, row, set(range(n))) for t in trees))
+
+
+def test_shapley_rows_are_cut_into_parts(monkeypatch):
+    rng = np.random.default_rng(1)
+    tree, x = random_tree(rng, 4, 5), rng.normal(size=(33, 4))
+    whole = explain.shapley_values(x, [explain.LeafTable(tree)])[1]
+    monkeypatch.setattr(explain, "CELLS", 1)
+    table = explain.LeafTable(tree)
+    assert table.rows == 1
+    assert np.allclose(explain.shapley_values(x, [table])[1], whole)
+
+
+def test_a_tree_without_rows_per_node_has_no_shapley_values():
+    tree = random_tree(np.random.default_rng(0), 3, 3)
+    with pytest.raises(ValueError, match="no training rows"):
+        explain.LeafTable(replace(tree, cover=np.full(len(tree.left), -1.0)))
+
+
 def test_blend_ends_and_search(spark):
     rows = [(i, float(i % 2), i % 3, (i % 2) * 0.5 + i / 1000, (i * 7 % 11) / 11) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, label double, inner_fold int, a double, b double")
