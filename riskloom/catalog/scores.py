@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from riskloom.catalog.registry import query, table
 from riskloom.catalog.views import spark_view, with_views
-from riskloom.operators import drift, fairness, metrics
+from riskloom.operators import drift, fairness, metrics, profiles
+from riskloom.plans.lineage import stored
 from riskloom.plans.shape import rounded, tall
 
 SCORED = with_views("scored")
@@ -324,6 +325,80 @@ def monitor_batch_check(spark: SparkSession, sf: str) -> DataFrame:
     return drift.check_batch(ref, cur, watched, "shifted", "second half")
 
 
+_HUNDREDTHS = ", ".join(str(i / 100) for i in range(101))
+# KS read at the reference percentiles, and what it can be at most between them
+CUTS_SQL = f""",
+c0 AS (SELECT feature, list_sort(list_distinct(quantile_cont(v, [{_HUNDREDTHS}]))) AS c FROM g WHERE is_ref GROUP BY feature),
+cut AS (SELECT feature, i, c[i] AS x, i = len(c) AS is_last FROM c0, unnest(range(1, len(c) + 1)) AS r(i)),
+below AS (
+  SELECT cut.feature, i, count(*) FILTER (is_ref AND (v < x OR is_last AND v = x)) / any_value(rt) AS fr,
+    count(*) FILTER (NOT is_ref AND (v < x OR is_last AND v = x)) / any_value(ct) AS fc
+  FROM cut JOIN g ON cut.feature = g.feature JOIN sizes ON sizes.feature = g.feature GROUP BY cut.feature, i
+  UNION ALL SELECT feature, 0, 0, 0 FROM sizes UNION ALL SELECT feature, 1000, 1, 1 FROM sizes),
+steps AS (SELECT *, lead(fr) OVER w AS nr, lead(fc) OVER w AS nc FROM below WINDOW w AS (PARTITION BY feature ORDER BY i)),
+kc0 AS (SELECT feature, max(abs(fr - fc)) AS ks, max(greatest(abs(nr - fc), abs(nc - fr))) AS ks_upper FROM steps GROUP BY feature),
+kc AS (
+  SELECT feature, ks, ks_upper, CASE WHEN x < 0.2 THEN 1e0 ELSE greatest(0e0, least(1e0,
+    (SELECT sum(CASE WHEN k % 2 = 1 THEN 2 ELSE -2 END * exp(-2e0 * k * k * x * x)) FROM range(1, 101) AS r(k)))) END AS p
+  FROM (SELECT *, sqrt(rt * ct / (rt + ct)) * ks AS x FROM kc0 JOIN sizes USING (feature)))"""
+
+
+@query(
+    "monitor_stored_profile",
+    HALVES_SQL
+    + TALL_SQL
+    + KNOWN_SQL
+    + CUTS_SQL
+    + """
+SELECT 'second half' AS batch_label, feature, feature = 'shifted' AS is_score, round(psi, 5) AS psi,
+  round(kc.ks, 5) AS ks, round(ks_upper, 5) AS ks_upper, round(kc.p, 5) AS p_value,
+  CASE WHEN psi < 0.10 THEN 'stable' WHEN psi < 0.20 THEN 'moderate' ELSE 'major' END AS status,
+  CASE WHEN psi > 0.20 THEN 'ALERT' WHEN feature = 'shifted' AND psi > 0.10 THEN 'WARN' END AS alert,
+  ct AS n_samples
+FROM psi JOIN kc USING (feature) JOIN sizes USING (feature)
+UNION ALL SELECT 'second half', 'lost', FALSE, NULL, NULL, NULL, NULL, 'no values', 'ALERT', 0
+UNION ALL SELECT 'second half', 'absent', FALSE, NULL, NULL, NULL, NULL, 'no values', 'ALERT', 0""",
+)
+def monitor_stored_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The batch monitor on a profile that was written once; the reference is not read again."""
+    ref, cur = event_halves(spark, sf)
+    ref = ref.withColumns({"lost": F.col("value"), "absent": F.col("value")})
+    cur = cur.withColumn("lost", F.lit(None).cast("double"))
+    watched = ["value", "squared", "few", "lost", "absent"]
+    profile = stored(profiles.freeze(ref, ["shifted", *watched]), "profile")
+    return profiles.check_batch_against(profile, cur, watched, "shifted", "second half")
+
+
+@query(
+    "drift_report_sketched",
+    HALVES_SQL
+    + TALL_SQL
+    + EDGES_SQL
+    + """
+SELECT feature, round(psi, 6) AS psi, round(ks, 6) AS ks, round(rn, 6) AS ref_null_rate,
+  round(cn, 6) AS cur_null_rate, TRUE AS psi_is_near, TRUE AS ks_is_bracketed
+FROM psi JOIN ks USING (feature) JOIN nulls USING (feature)""",
+)
+def drift_report_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """The exact report, and whether the one on sketches stays in its bounds: PSI within 0.01 or a
+    tenth, KS between ``ks`` and ``ks_upper``."""
+    ref, cur = event_halves(spark, sf)
+    exact = drift.drift_report(ref, cur).select("feature", "psi", "ks")
+    names = ("psi", "ks", "ks_upper", "ref_null_rate", "cur_null_rate")
+    near = profiles.drift_report(ref, cur).select("feature", *[F.col(c).alias(f"s_{c}") for c in names])
+    # a row per feature on both sides
+    both = exact.join(F.broadcast(near), "feature")
+    return both.select(
+        "feature",
+        "psi",
+        "ks",
+        F.col("s_ref_null_rate").alias("ref_null_rate"),
+        F.col("s_cur_null_rate").alias("cur_null_rate"),
+        (F.abs(F.col("psi") - F.col("s_psi")) <= F.greatest(F.lit(0.01), F.col("psi") * 0.1)).alias("psi_is_near"),
+        F.col("ks").between(F.col("s_ks") - 1e-6, F.col("s_ks_upper") + 1e-6).alias("ks_is_bracketed"),
+    )
+
+
 @query(
     "ks_test_by_feature",
     HALVES_SQL
