@@ -1,16 +1,18 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Texts are split at white space. Each distinct word of the corpus is encoded once. The ids
-then return to their positions: the most frequent words (at most ``head`` of them, cut at a frequency so
-that ties fall out together) go to the tasks as a broadcast of bounded size, so no hot
-word is ever shuffled; all rarer words go through a shuffle join on the word. Between
-the two, a document is a short column of word numbers, not its text. Both meet by the
-document's key, sorted by position.
+Texts are split at white space. Words that occur twice or more in some task are counted over
+the corpus, encoded once, and the most frequent of them (at most ``head``, cut at a frequency so that ties
+fall out together) go to the tasks as a broadcast of bounded size, so no hot word is ever
+shuffled. All other words are shuffled by word with their places, encoded once each in sorted order, and
+go back to their documents by position. Between the two, a document is a short column of
+word numbers, not its text; both meet by the document's key.
+
+A word outside the head occurs once in a task at most, or is rarer than all of the head.
 
 Splitting first is exact for a tokenizer whose normaliser and pre-tokenizer never join
 characters across white space and drop the white space itself.
 
-Decoding joins every id with its piece of the vocabulary.
+Decoding looks every id up in the vocabulary, a literal array in the row (``decoded``).
 
 A null text is an empty one: no ids, an empty decoded text. Rows may repeat or lack an
 id; each row keeps its own result.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskloom.llm.common import stored, texts
+from riskloom.llm.common import stored, texts, tidy
 
 HEAD_WORDS = 200_000
 WORDS_HELD = 250_000
@@ -60,7 +62,7 @@ def split_words(text: str) -> list[str]:
     """
     if any(c in text for c in CONTROLS):
         return [w for w in SPACE.split(text) if w]
-    if "<|" in text or not _latin(text):
+    if "<|" in text or not is_latin(text):
         return text.split()
     out = []
     for word in text.lower().split():
@@ -73,7 +75,7 @@ def split_words(text: str) -> list[str]:
     return out
 
 
-def _latin(text: str) -> bool:
+def is_latin(text: str) -> bool:
     try:
         text.encode("latin-1")
     except UnicodeEncodeError:
@@ -81,11 +83,14 @@ def _latin(text: str) -> bool:
     return True
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+@tidy
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n) for the words met twice or more; at most ``WORDS_HELD`` are held at a time."""
     held: dict[str, int] = {}
 
     def flush() -> pa.RecordBatch:
-        out = pa.record_batch([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+        often = [w for w, n in held.items() if n > 1]
+        out = pa.record_batch([pa.array(often, pa.string()), pa.array([held[w] for w in often], pa.int64())], ["word", "n"])
         held.clear()
         return out
 
@@ -99,24 +104,67 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def word_table(rows: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids): every distinct word of ``rows.text``, encoded once; ids are packed."""
+@functools.lru_cache(maxsize=2)
+def ends_of_words(path: str) -> np.ndarray:
+    """Which ids are pieces that end a word."""
+    vocab = tokenizer(path).get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocab.values(), default=-1) + 1, bool)
+    for piece, number in vocab.items():
+        ends[number] = piece.endswith("</w>")
+    return ends
+
+
+def encode_words(path: str, words: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct ``words`` in some order, their numbers of ids, and the ids end to end.
+
+    Words of Latin-1 letters go through the tokenizer 500 at once: each is one word to it, so
+    the ids that end a word part them. All others, and any 500 that come back in another
+    number of words, go one by one.
+    """
+    tok, ends = tokenizer(path), ends_of_words(path)
+    order: list[str] = []
+    lengths, flat = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
+    others = [w for w in words if not (w.isalpha() and is_latin(w))]
+    plain = list(set(words).difference(others))
+    for at in range(0, len(plain), 500):
+        some = plain[at : at + 500]
+        ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+        stops = np.flatnonzero(ends[ids]) + 1
+        if len(stops) == len(some) and stops[-1] == len(ids):
+            order += some
+            flat.append(ids)
+            lengths.append(np.diff(stops, prepend=0))
+        else:
+            others += some
+    done = [e.ids for e in tok.encode_batch(others, add_special_tokens=False)]
+    lengths.append(np.fromiter(map(len, done), np.int64, len(done)))
+    flat.append(np.array([i for ids in done for i in ids], np.uint32))
+    return order + others, np.concatenate(lengths), np.concatenate(flat)
+
+
+def packed_ids(path: str, words: list[str]) -> list[bytes]:
+    """The ids of each of the distinct words as little-endian unsigned 32-bit integers."""
+    order, lengths, flat = encode_words(path, words)
+    raw, stop = flat.astype("<u4").tobytes(), (4 * np.cumsum(lengths)).tolist()
+    ids = {w: raw[a:b] for w, a, b in zip(order, [0, *stop], stop)}
+    return [ids[w] for w in words]
+
+
+def word_table(rows: DataFrame, path: str, head: int) -> pa.Table:
+    """(word, n, ids) of at most ``head`` words of ``rows.text``, by falling frequency."""
 
     @F.pandas_udf("binary")
     def encoded(words):
         import pandas as pd
 
-        done = tokenizer(path).encode_batch(list(words), add_special_tokens=False)
-        return pd.Series([np.array(e.ids, "<u4").tobytes() for e in done], dtype=object)
+        return pd.Series(packed_ids(path, list(words)), dtype=object)
 
-    table = (
-        rows.select("text")
-        .mapInArrow(_counted, "word string, n long")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("ids", encoded("word"))
-    )
-    return stored(table, "words")
+    counted = rows.select("text").mapInArrow(_repeated, "word string, n long")
+    table = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    cut = frequency_cut(table, head)
+    frequent = table.where(F.floor(F.log2("n") * 8) >= cut) if cut is not None else table.limit(0)
+    # bounded by ``head``
+    return frequent.withColumn("ids", encoded("word")).orderBy(F.desc("n"), "word").toArrow()
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -151,15 +199,18 @@ class Head:
 
     def __init__(self, packed: bytes):
         rows = pa.ipc.open_stream(packed).read_all().combine_chunks()
-        words = rows["word"].to_pylist()
-        self.number = {w: i for i, w in enumerate(words)}
-        self.size = len(words)
+        self.words = rows["word"]
+        self.size = len(rows)
         ids = rows["ids"].to_pylist()
         lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, self.size)
         self.flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
         self.length = np.concatenate([lengths, [0]])
         self.start = np.concatenate([np.cumsum(lengths) - lengths, [0]])
 
+    @functools.cached_property
+    def number(self) -> dict[str, int]:
+        return {w: i for i, w in enumerate(self.words.to_pylist())}
+
 
 DIRECT = 128
 
@@ -208,28 +259,6 @@ def example_bodies(counts: np.ndarray, many: int = 1500, words: int = 500) -> li
     return [pack_numbers(d) for d in draws]
 
 
-_HELD: dict[int, Head] = {}
-
-
-def _head(shared) -> Head:
-    if shared.id not in _HELD:
-        _HELD.clear()
-        _HELD[shared.id] = Head(shared.value)
-    return _HELD[shared.id]
-
-
-class _Shared:
-    """A broadcast with a number by which a Python worker keeps what it unpacked."""
-
-    def __init__(self, spark: SparkSession, packed: bytes):
-        self.cast = spark.sparkContext.broadcast(packed)
-        self.id = id(self.cast) ^ hash(packed)
-
-    @property
-    def value(self) -> bytes:
-        return self.cast.value
-
-
 def encode(
     docs: DataFrame,
     path: str,
@@ -249,20 +278,17 @@ def encode(
         F.hash("text", "doc_id").alias("b"),
         "text",
     )
-    table = word_table(rows, path)
-    cut = frequency_cut(table, head)
-    band = F.floor(F.log2("n") * 8)
-    frequent = table.where(band >= cut) if cut is not None else table.limit(0)
-    arrow = frequent.orderBy(F.desc("n"), "word").toArrow()
+    arrow = word_table(rows, path, head)
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, arrow.schema) as writer:
         writer.write_table(arrow)
-    shared = _Shared(spark, sink.getvalue().to_pybytes())
+    shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     examples = example_bodies(np.asarray(arrow["n"].to_pylist(), float))
     trained = zstandard.train_dictionary(1 << 15, examples).as_bytes() if len(arrow) > 1000 else b""
 
+    @tidy
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _head(shared).number
+        number = Head(shared.value).number
         for batch in batches:
             a, b, text = (batch.column(i).to_pylist() for i in range(3))
             out = ([], [], [], [])
@@ -274,9 +300,23 @@ def encode(
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
             yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds)], ["a", "b", "pos", "word"])
 
+    @tidy
+    def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by word: the ids in place of the word."""
+        last, last_ids = None, b""
+        for batch in batches:
+            coded = batch.column(3).dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            known = words[:1] == [last]
+            ids = [last_ids] * known + packed_ids(path, words[1:] if known else words)
+            last, last_ids = words[-1] if words else last, ids[-1] if ids else last_ids
+            data = pa.array(ids, pa.binary()).take(coded.indices)
+            yield pa.record_batch([*batch.columns[:3], data], ["a", "b", "pos", "data"])
+
+    @tidy
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(trained)).compress
-        known = _head(shared)
+        known = Head(shared.value)
         for batch in batches:
             bodies = []
             for text in batch.column(3).to_pylist():
@@ -288,10 +328,11 @@ def encode(
                 [*batch.columns[:3], whole, pa.array(bodies, pa.binary())], ["doc_id", "a", "b", "pos", "data"]
             )
 
+    @tidy
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by key and position: the bodies of a key, then its rare words."""
         unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(trained)).decompress
-        known = _head(shared)
+        known = Head(shared.value)
         key, bodies, tail, out = None, [], {}, []
 
         def finish() -> None:
@@ -334,11 +375,12 @@ def encode(
     out_type = T.StructType(
         [T.StructField("doc_id", id_type), T.StructField("ids", T.ArrayType(T.IntegerType()))]
     )
-    others = table if cut is None else table.where(band < cut)
     tails = (
         keyed.select("a", "b", "text")
         .mapInArrow(rare, "a long, b int, pos int, word string")
-        .join(others.select("word", F.col("ids").alias("data")), "word")
+        .repartition("word")
+        .sortWithinPartitions("word")
+        .mapInArrow(spelled, "a long, b int, pos int, data binary")
         .select(F.lit(None).cast(id_type).alias("doc_id"), "a", "b", "pos", "data")
     )
     return (

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +82,22 @@ def bit_set(hashes: DataFrame, slots_log2: int = 16) -> Column:
 def might_hold(h: Column, bits: Column, slots_log2: int = 16) -> Column:
     """False only for hashes that are not in the bit set."""
     return F.getbit(F.get(bits, _slot(h, slots_log2)), _bit(h)) == 1
+
+
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``work`` over batches; at its end the worker, which later tasks use again, gives its
+    free memory back to the system.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import bit_set, might_hold, row_key, stored, texts
+from riskloom.llm.common import bit_set, might_hold, row_key, stored, texts, tidy
 from riskloom.llm.components import components
 
 BINS_LOG2 = 8
@@ -191,7 +191,7 @@ def _class_texts(base: DataFrame, wanted: DataFrame, order, shingle: int) -> Dat
             )
 
     return stored(
-        found.mapInArrow(digests, "doc_id long, text string, c1 long, c2 long")
+        found.mapInArrow(tidy(digests), "doc_id long, text string, c1 long, c2 long")
         .select(F.struct(order.alias("id"), "c1", "c2").alias("c"), "text")
         .join(wanted, "c", "left_semi")
         .dropDuplicates(["c"]),
@@ -221,7 +221,7 @@ def _prefix_pairs(members: DataFrame, whole: DataFrame, shingle: int, percent: i
 
     kind = T.StructType([*members.select("c", "root").schema.fields, T.StructField("s", T.LongType())])
     tokens = stored(
-        members.join(whole, "c").select("c", "root", "text").mapInArrow(spread, kind), "shingles"
+        members.join(whole, "c").select("c", "root", "text").mapInArrow(tidy(spread), kind), "shingles"
     )
     counts = stored(tokens.groupBy("s").agg(F.count(F.lit(1)).alias("df")), "rarity", compact=True)
     ordered = tokens.join(counts, "s").groupBy("c", "root").agg(
@@ -276,7 +276,7 @@ def near_duplicates(
             T.StructField("bands", T.ArrayType(T.LongType())),
         ]
     )
-    signed = stored(keyed.mapInArrow(lambda b: _signed(b, shingle, rows), kind), "signed")
+    signed = stored(keyed.mapInArrow(tidy(lambda b: _signed(b, shingle, rows)), kind), "signed")
     order = F.coalesce("doc_id", F.lit(NO_ID))
     classes = stored(
         signed.where("n > 0")
@@ -324,7 +324,7 @@ def near_duplicates(
             .join(whole.select(F.col("c").alias("y"), F.col("text").alias("b")), "y")
             .select("x", "y", "a", "b")
         )
-        return stored(both.mapInArrow(lambda b: _confirmed(b, shingle, percent), pair_type), "links", compact=True)
+        return stored(both.mapInArrow(tidy(lambda b: _confirmed(b, shingle, percent)), pair_type), "links", compact=True)
 
     def label(links: DataFrame) -> DataFrame:
         edges = links.select(F.col("x").alias("u"), F.col("y").alias("v"))

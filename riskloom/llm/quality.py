@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.calibration import monotone
-from riskloom.llm.common import texts
+from riskloom.llm.common import texts, tidy
 
 SAMPLE_ROWS = 6_000
 BINS = 8
@@ -286,7 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         [T.StructField("doc_id", id_type), T.StructField("y", T.DoubleType()), T.StructField("f", T.BinaryType()), T.StructField("n", T.BinaryType())]
     )
     # at most sample_rows ids: the bound of this broadcast
-    rows = texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(described, kind)
+    rows = texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").mapInArrow(tidy(described), kind)
     # an order that no pattern of the ids can follow: every fourth row calibrates
     found = sorted(rows.collect(), key=lambda r: (zlib.crc32(str(r.doc_id).encode()), r.n, r.f))
     features = [np.frombuffer(r.f, np.float32).reshape(-1, 16) for r in found]

@@ -9,9 +9,9 @@ file holds
     magic, width, first nonterminal, counts | rules (left, right) | expansion lengths | sequence
 
 so that ids ``lo`` to ``hi`` are found by the running expansion lengths and only the symbols
-there are expanded (``ids_between``). The files are rows of a Parquet table: part, seq, n_ids,
-the documents' ids and lengths, and the bytes of the file. Positions in the whole collection
-come from the totals of parts and a running sum inside a part.
+there are expanded (``ids_between``). The files are rows of a Parquet table: part, seq, the ids
+of the part before the file, its own number of ids, the documents' ids and lengths, and the
+bytes of the file. Positions in the whole collection come from the totals of parts.
 
 A null text is an empty one: its document holds the end id alone. Repeated rows are repeated
 documents. An empty table gives no files. Long texts make their shard longer; nothing is cut.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskloom.llm.bpe import CONTROLS, SPACE, tokenizer
+from riskloom.llm.bpe import CONTROLS, SPACE, encode_words, ends_of_words, is_latin
 from riskloom.llm.common import texts
 
 MAGIC = b"RPG1"
@@ -42,9 +42,9 @@ HEADER = struct.Struct("<4sBIIIQ")
 END_ID = 1
 SHARD_IDS = 1 << 20
 LEAST = 4
-ROUNDS = 6
-FALL = 32
-WORDS_HELD = 400_000
+ROUNDS = 5
+FALL = 128
+WORDS_HELD = 1_000_000
 SLICE_CHARS = 8 << 20
 
 
@@ -191,7 +191,7 @@ def cut(some: list[str]) -> pa.ListArray:
     tokens is lower-cased, as the tokenizer does next, and closing punctuation leaves the
     letter or digit before it, where the tokenizer parts them anyway.
     """
-    ready = [t if "<|" in t or not _latin(t) else BEFORE_CLOSING.sub(r"\1 \2", t.lower()) for t in some]
+    ready = [t if "<|" in t or not is_latin(t) else BEFORE_CLOSING.sub(r"\1 \2", t.lower()) for t in some]
     if any(c in t for t in ready for c in CONTROLS):
         # these four are space for the library of arrays, not for the tokenizer
         return pa.array([[p for p in SPACE.split(t) if p] for t in ready], pa.list_(pa.string()))
@@ -203,15 +203,11 @@ def cut(some: list[str]) -> pa.ListArray:
 
 
 class WordIds:
-    """Ids of the parts of texts, each kept once in a task."""
+    """Ids of the parts of texts, each kept once in a worker; ``WORDS_HELD`` bounds them."""
 
     def __init__(self, path: str, end_id: int):
-        self.tok = tokenizer(path)
-        vocab = self.tok.get_vocab(with_added_tokens=True)
-        self.first = max(max(vocab.values(), default=0), end_id) + 1
-        self.ends = np.zeros(self.first, bool)
-        for piece, number in vocab.items():
-            self.ends[number] = piece.endswith("</w>")
+        self.path = path
+        self.first = max(len(ends_of_words(path)), end_id + 1)
         self.end_id = end_id
         self.clear()
 
@@ -221,25 +217,11 @@ class WordIds:
         self.length = [np.array([1], np.int64)]
 
     def _learn(self, words: list[str]) -> None:
-        """Many words of letters go through the tokenizer at once: their last ids end a word."""
-        order: list[str] = []
-        others = [w for w in words if not (w.isalpha() and _latin(w))]
-        plain = list(set(words).difference(others))
-        for at in range(0, len(plain), 500):
-            some = plain[at : at + 500]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) == len(some) and stops[-1] == len(ids):
-                order += some
-                self.flat.append(ids)
-                self.length.append(np.diff(stops, prepend=0))
-            else:
-                others += some
-        done = [e.ids for e in self.tok.encode_batch(others, add_special_tokens=False)]
-        self.length.append(np.fromiter(map(len, done), np.int64, len(done)))
-        self.flat.append(np.array([i for ids in done for i in ids], np.uint32))
+        order, lengths, flat = encode_words(self.path, words)
+        self.length.append(lengths)
+        self.flat.append(flat)
         start = len(self.number) + 1
-        self.number.update(zip(order + others, range(start, start + len(words))))
+        self.number.update(zip(order, range(start, start + len(words))))
 
     def encoded(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts one after the other with their end ids, and their lengths."""
@@ -264,12 +246,9 @@ class WordIds:
         return flat[place], np.diff(total[np.cumsum(size + 1) - 1], prepend=0)
 
 
-def _latin(word: str) -> bool:
-    try:
-        word.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+@functools.lru_cache(maxsize=1)
+def word_ids(path: str, end_id: int) -> WordIds:
+    return WordIds(path, end_id)
 
 
 # --- files ----------------------------------------------------------------------------
@@ -280,6 +259,7 @@ def _file_type(id_type: T.DataType) -> T.StructType:
         [
             T.StructField("part", T.IntegerType()),
             T.StructField("seq", T.IntegerType()),
+            T.StructField("before", T.LongType()),
             T.StructField("n_ids", T.LongType()),
             T.StructField("ids", T.ArrayType(id_type)),
             T.StructField("lengths", T.ArrayType(T.LongType())),
@@ -290,18 +270,18 @@ def _file_type(id_type: T.DataType) -> T.StructType:
 
 def _written(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shard_ids: int, id_kind: pa.DataType):
     part, seq = TaskContext.get().partitionId(), 0
-    words = WordIds(path, end_id)
+    words = word_ids(path, end_id)
     names: list = []
     lengths: list[np.ndarray] = []
     ids: list[np.ndarray] = []
-    held = 0
+    before, held = 0, 0
 
     def closed() -> pa.RecordBatch:
         sizes = np.concatenate(lengths)
-        columns = [[part], [seq], [held], [names], [sizes], [packed(np.concatenate(ids), words.first)]]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(id_kind), pa.list_(pa.int64()), pa.binary()]
+        columns = [[part], [seq], [before], [held], [names], [sizes], [packed(np.concatenate(ids), words.first)]]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(id_kind), pa.list_(pa.int64()), pa.binary()]
         return pa.record_batch(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "seq", "n_ids", "ids", "lengths", "data"]
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "seq", "before", "n_ids", "ids", "lengths", "data"]
         )
 
     for batch in batches:
@@ -326,6 +306,7 @@ def _written(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shard_id
                 done = upto
                 if held >= shard_ids:
                     yield closed()
+                    before += held
                     names, lengths, ids, held, seq = [], [], [], 0, seq + 1
             at = stop
     if names:
@@ -361,13 +342,10 @@ def write(
 def placed(files: DataFrame) -> DataFrame:
     """The files with ``base``: the number of ids in all files before."""
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # a row for each part, as many as the writing job had tasks
+    # a row for each task of the writing job, which bounds what is broadcast
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    bases = files.select("part", "seq", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("own"))
-    bases = bases.join(parts, "part").select("part", "seq", (F.col("own") + F.col("before")).alias("base"))
-    return files.join(bases, ["part", "seq"])
+    parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    return files.join(F.broadcast(parts), "part").withColumn("base", F.col("start") + F.col("before")).drop("start")
 
 
 def documents(files: DataFrame) -> DataFrame:
