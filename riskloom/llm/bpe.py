@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskloom.llm.common import stored, texts, tidy
+from riskloom.llm.common import in_slices, stored, texts, tidy
 
 HEAD_WORDS = 200_000
 WORDS_HELD = 250_000
@@ -94,7 +94,7 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         return out
 
-    for batch in batches:
+    for batch in in_slices(batches):
         for text in batch.column(0).to_pylist():
             for word in split_words(text):
                 held[word] = held.get(word, 0) + 1
@@ -289,7 +289,7 @@ def encode(
     @tidy
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = Head(shared.value).number
-        for batch in batches:
+        for batch in in_slices(batches):
             a, b, text = (batch.column(i).to_pylist() for i in range(3))
             out = ([], [], [], [])
             for ka, kb, t in zip(a, b, text):
@@ -317,7 +317,7 @@ def encode(
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(trained)).compress
         known = Head(shared.value)
-        for batch in batches:
+        for batch in in_slices(batches):
             bodies = []
             for text in batch.column(3).to_pylist():
                 words = split_words(text)
