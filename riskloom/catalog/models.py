@@ -16,12 +16,14 @@ from riskloom.functions.columns import flag
 from riskloom.operators import (
     assemble,
     calibration,
+    category_learner,
     drift,
     ensemble,
     explain,
     folds,
     metrics,
     scoring,
+    stacking,
     training,
 )
 from riskloom.plans.lineage import scratch_path
@@ -331,6 +333,115 @@ def stacked_scores(spark: SparkSession, sf: str) -> DataFrame:
     return ensemble.stack(folded, ["score_a", "score_b"], "id", 3)
 
 
+_STACK_STEPS = 12
+
+
+def _newton_sql(step: int) -> str:
+    """One Newton step of the ridge logistic models, all folds at once. Rows are (1, u, v)
+    scaled; the penalty 1/C = 1 leaves out the intercept."""
+    return f"""
+p{step} AS MATERIALIZED (
+  SELECT m.k, m.b, m.cu, m.cv, x.u, x.v, x.label AS y, 1 / (1 + exp(-(m.b + m.cu * x.u + m.cv * x.v))) AS p
+  FROM m{step - 1} m JOIN x ON x.fold <> m.k),
+s{step} AS MATERIALIZED (
+  SELECT k, b, cu, cv, sum(p * (1 - p)) AS h00, sum(p * (1 - p) * u) AS h01, sum(p * (1 - p) * v) AS h02,
+    sum(p * (1 - p) * u * u) + 1 AS h11, sum(p * (1 - p) * u * v) AS h12, sum(p * (1 - p) * v * v) + 1 AS h22,
+    sum(p - y) AS g0, sum((p - y) * u) + cu AS g1, sum((p - y) * v) + cv AS g2
+  FROM p{step} GROUP BY k, b, cu, cv),
+d{step} AS MATERIALIZED (
+  SELECT *, h11 * h22 - h12 * h12 AS a00, h02 * h12 - h01 * h22 AS a01, h01 * h12 - h02 * h11 AS a02,
+    h00 * h22 - h02 * h02 AS a11, h01 * h02 - h00 * h12 AS a12, h00 * h11 - h01 * h01 AS a22 FROM s{step}),
+m{step} AS MATERIALIZED (
+  SELECT k, b - (a00 * g0 + a01 * g1 + a02 * g2) / (h00 * a00 + h01 * a01 + h02 * a02) AS b,
+    cu - (a01 * g0 + a11 * g1 + a12 * g2) / (h00 * a00 + h01 * a01 + h02 * a02) AS cu,
+    cv - (a02 * g0 + a12 * g1 + a22 * g2) / (h00 * a00 + h01 * a01 + h02 * a02) AS cv FROM d{step})"""
+
+
+@query(
+    "stacked_old_and_new",
+    # the newest quarter of the ids has no label when the stack is fitted
+    SCORED
+    + """, t AS (SELECT id, label, score_a, score_b, id % 4 = 3 AS is_new, id // 4 % 3 AS fold FROM scored),
+w AS (SELECT avg(score_a) AS ma, stddev_samp(score_a) AS sa, avg(score_b) AS mb, stddev_samp(score_b) AS sb FROM t WHERE NOT is_new),
+z AS (SELECT id, label, is_new, fold, (score_a - ma) / sa AS u, (score_b - mb) / sb AS v FROM t, w),
+x AS MATERIALIZED (SELECT * FROM z WHERE NOT is_new),
+m0 AS (SELECT k, 0e0 AS b, 0e0 AS cu, 0e0 AS cv FROM range(3) r(k)),"""
+    + ",".join(map(_newton_sql, range(1, _STACK_STEPS + 1)))
+    + f""",
+q AS (SELECT z.id, z.is_new, 1 / (1 + exp(-(m.b + m.cu * z.u + m.cv * z.v))) AS p
+  FROM z JOIN m{_STACK_STEPS} m ON z.is_new OR m.k = z.fold)
+SELECT id, is_new, round(avg(p), 5) AS p FROM q GROUP BY id, is_new""",
+)
+def stacked_old_and_new(spark: SparkSession, sf: str) -> DataFrame:
+    """A stack fitted on three quarters of the rows: out-of-fold scores there, the mean of
+    the fold models on the others."""
+    rows = spark_view(spark, sf, "scored").select(
+        "id", "label", "score_a", "score_b", (F.col("id") % 4 == 3).alias("is_new"),
+        F.pmod(F.floor(F.col("id") / 4), F.lit(3)).alias("fold"),
+    )
+    model = stacking.fit_stack(rows.where("NOT is_new"), ["score_a", "score_b"], 3)
+    both = model.out_of_fold(model.transform(rows, "fresh"), name="own")
+    p = F.when(F.col("is_new"), F.col("fresh")).otherwise(F.col("own"))
+    return both.select("id", "is_new", F.round(p, 5).alias("p"))
+
+
+_CATEGORIES = ("OCCUPATION_TYPE", "CODE_GENDER")
+_ORDERED = "PARTITION BY k{} ORDER BY h, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
+def _ordered_sql(column: str, name: str) -> str:
+    """Training sums before the row, or of all training rows where the row is held out."""
+    by = f", {column}" if column else ""
+    before, whole = _ORDERED.format(by), f"PARTITION BY k{by}"
+    return ", ".join(
+        f"coalesce(CASE WHEN fold = k THEN sum({v}) OVER ({whole}) ELSE sum({v}) OVER ({before}) END, 0) AS {name}_{a}"
+        for a, v in (("n", "w"), ("s", "w * y"))
+    )
+
+
+@query(
+    "ordered_target_statistics",
+    with_views("application")
+    + """, o AS (SELECT SK_ID_CURR AS id, TARGET AS y, SK_ID_CURR % 3 AS fold, OCCUPATION_TYPE, CODE_GENDER,
+    substr(md5('42|' || CAST(SK_ID_CURR AS VARCHAR)), 1, 15) AS h FROM application),
+c AS (SELECT o.*, k, CASE WHEN fold <> k THEN 1 ELSE 0 END AS w FROM o, range(3) r(k)),
+t AS (SELECT id, CAST(k AS INTEGER) AS model, """
+    + ", ".join(
+        _ordered_sql(column, name)
+        for column, name in (("", "e"), ("OCCUPATION_TYPE", "o"), ("CODE_GENDER", "g"))
+    )
+    + """ FROM c), f AS (SELECT *, (e_s + 5e-1) / (e_n + 1) AS prior FROM t)
+SELECT id AS SK_ID_CURR, model, round((o_s + prior) / (o_n + 1), 6) AS occupation,
+  round((g_s + prior) / (g_n + 1), 6) AS gender FROM f""",
+)
+def ordered_target_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """The code of every row and category column as each of three fold models sees it."""
+    app = folds.key_ordered_folds(spark_view(spark, sf, "application"), "SK_ID_CURR", 3)
+    rows = category_learner.ordered_codes(app, _CATEGORIES, "SK_ID_CURR", "TARGET", 3).rows
+    both = F.arrays_zip(*[F.col(f"{c}_ots") for c in _CATEGORIES])
+    long = rows.select("SK_ID_CURR", F.posexplode(both).alias("model", "code"))
+    return rounded(
+        long.select(
+            "SK_ID_CURR", "model", F.col("code.OCCUPATION_TYPE_ots").alias("occupation"),
+            F.col("code.CODE_GENDER_ots").alias("gender"),
+        )
+    )
+
+
+@query("category_learner_auc")
+def category_learner_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """The third learner at its default settings on raw categories: AUC of each of five folds
+    and of all out-of-fold scores (fold NULL)."""
+    app = spark_view(spark, sf, "application")
+    rows = folds.stratified_folds(app, "SK_ID_CURR", "TARGET", 5)
+    numbers = ["AMT_ANNUITY", "DAYS_BIRTH", "CNT_CHILDREN", "EXT_SOURCE_1", "EXT_SOURCE_3"]
+    cv = category_learner.run_category_cv(
+        rows, _CATEGORIES, numbers, "SK_ID_CURR", "TARGET", training.forest(), 5
+    )
+    overall = metrics.auc(cv.result.oof, score="p").withColumn("fold", F.lit(None).cast("int"))
+    return cv.result.fold_metrics().unionByName(overall)
+
+
 QUICK = scoring.TrainConfig(
     folds=2, n_features=30, learner_a=QUICK_A, learner_b=QUICK_B, blend_steps=20
 )
