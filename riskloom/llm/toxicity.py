@@ -22,7 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,7 @@ NEAR_PERCENT = 80
 BLOCK = 64
 WORD = re.compile(r"\w+")
 HELD = 200_000
+HELD_VECTORS = 50_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -79,22 +80,30 @@ class Vocabulary:
 
     def __init__(self, terms: list[str]):
         self.number = {t: i for i, t in enumerate(terms)}
+        self.met: set[str] = set()
         self.known: dict[str, tuple[int, ...]] = {}
+        self.useful: set[str] = set()
 
     def __reduce__(self):
         return Vocabulary, (list(self.number),)
 
     def counts(self, text: str) -> Counter:
-        found = Counter()
-        for word, n in Counter(WORD.findall(text.lower())).items():
-            numbers = self.known.get(word)
-            if numbers is None:
-                if len(self.known) >= HELD:
-                    self.known.clear()
-                numbers = tuple(self.number[t] for t in terms_of(word) if t in self.number)
+        words = Counter(WORD.findall(text.lower()))
+        distinct = set(words)
+        if len(self.met) >= HELD:
+            self.met.clear()
+            self.known.clear()
+            self.useful.clear()
+        for word in distinct.difference(self.met):
+            numbers = tuple(self.number[t] for t in terms_of(word) if t in self.number)
+            self.met.add(word)
+            if numbers:
                 self.known[word] = numbers
-            for t in numbers:
-                found[t] += n
+                self.useful.add(word)
+        found = Counter()
+        for word in distinct & self.useful:
+            for t in self.known[word]:
+                found[t] += words[word]
         return found
 
 
@@ -115,6 +124,8 @@ class Index:
     bare: float
     knots: np.ndarray | None = None
     values: np.ndarray | None = None
+    # results by vector, as many texts hold the same terms
+    remembered: dict[bytes, tuple[float, list[int]]] = field(default_factory=dict)
 
     def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
         at = np.fromiter(sorted(counts), np.int64, len(counts))
@@ -124,19 +135,27 @@ class Index:
     def nearest(self, at: np.ndarray, value: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the ``k`` nearest examples with a positive cosine."""
         bounds = value @ self.block_max[at]
+        order = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds > 0)]
         rows, scores = np.empty(0, np.int64), np.empty(0)
-        floor = 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(rows) >= self.k and bounds[b] < floor - 1e-9:
+        floor, done, step = 0.0, 0, 1
+        while done < len(order):
+            # twice as many blocks at a time, of those that can still hold a neighbour
+            blocks = order[done : done + step]
+            if len(rows) >= self.k:
+                blocks = blocks[bounds[blocks] >= floor - 1e-9]
+            if not len(blocks):
                 break
-            start, size = self.offsets[at, b], self.offsets[at, b + 1] - self.offsets[at, b]
-            place = np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
-            part = np.repeat(value, size) * self.weight[place]
-            total = np.bincount(self.row[place] - b * BLOCK, part, BLOCK)
-            if 0 <= skip - b * BLOCK < BLOCK:
-                total[skip - b * BLOCK] = 0
+            done, step = done + len(blocks), 2 * step
+            start = self.offsets[np.ix_(at, blocks)]
+            size = self.offsets[np.ix_(at, blocks + 1)] - start
+            each = size.ravel()
+            place = np.arange(int(each.sum())) + np.repeat(start.ravel() - (np.cumsum(each) - each), each)
+            part = np.repeat(value, size.sum(1)) * self.weight[place]
+            total = np.bincount(self.row[place], part, len(self.ids))
+            if skip >= 0:
+                total[skip] = 0
             hit = np.flatnonzero(total > 1e-12)
-            rows, scores = np.concatenate([rows, hit + b * BLOCK]), np.concatenate([scores, total[hit]])
+            rows, scores = np.concatenate([rows, hit]), np.concatenate([scores, total[hit]])
             best = np.lexsort((self.ids[rows], -np.round(scores, 12)))[: self.k]
             rows, scores = rows[best], scores[best]
             floor = scores[-1] if len(scores) >= self.k else 0.0
@@ -150,7 +169,14 @@ class Index:
         at, value = self.vector(self.vocabulary.counts(text))
         if not len(at):
             return self.bare, []
-        rows, scores = self.nearest(at, value)
+        key = at.tobytes() + value.tobytes()
+        if key not in self.remembered:
+            if len(self.remembered) >= HELD_VECTORS:
+                self.remembered.clear()
+            self.remembered[key] = self._voted(*self.nearest(at, value))
+        return self.remembered[key]
+
+    def _voted(self, rows: np.ndarray, scores: np.ndarray) -> tuple[float, list[int]]:
         if not len(rows):
             return self.rate, []
         return float(np.interp(self.vote(rows, scores), self.knots, self.values)), self.ids[rows].tolist()
@@ -182,7 +208,7 @@ def build(vocabulary: Vocabulary, frequency: dict[int, int], documents: int, exa
     draft.block_max = np.zeros((size, blocks))
     np.maximum.at(draft.block_max, (term, draft.row // BLOCK), draft.weight)
     votes = []
-    for i in range(0, len(some), max(1, len(some) // 3000)):
+    for i in range(len(some)):
         rows, scores = draft.nearest(*vectors[i], skip=i)
         if len(rows):
             votes.append((draft.vote(rows, scores), draft.labels[i]))
