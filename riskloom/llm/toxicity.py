@@ -1,7 +1,10 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Terms are words and their beginnings of four to six characters. The vocabulary holds the
-terms whose presence goes with the label (chi-square over the labelled rows); document
+terms whose presence goes with the label: among their rows the odds of label 1 differ from
+the overall odds by ``least_odds`` or more, ``prior_rows`` rows at the overall share
+included, a floor that does not depend on the number of rows; of more than ``vocabulary``
+such terms those with the largest chi-square. Document
 frequencies are counted over all documents. The labelled examples form an inverted index
 in blocks: each term has its postings by block and the largest weight in every block. A
 query visits blocks by decreasing upper bound and stops when no block can still enter its
@@ -37,6 +40,8 @@ SAMPLE_ROWS = 20_000
 VOCABULARY = 4_000
 NEIGHBOURS = 15
 NEAR_PERCENT = 80
+LEAST_ODDS = 2.0
+PRIOR_ROWS = 10.0
 BLOCK = 64
 WORD = re.compile(r"\w+")
 HELD = 200_000
@@ -229,7 +234,10 @@ def train(
     vocabulary: int = VOCABULARY,
     k: int = NEIGHBOURS,
     near_percent: int = NEAR_PERCENT,
+    least_odds: float = LEAST_ODDS,
+    prior_rows: float = PRIOR_ROWS,
 ) -> Index:
+    """The index of the labelled rows that ``usable`` (over doc_id) admits."""
     rows = texts(docs, id_col, text_col)
     known = (
         labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y"))
@@ -258,6 +266,8 @@ def train(
         a, b = F.col("n1"), F.col("n") - F.col("n1")
         gap = (a * (n - n1) - b * n1).cast("double")
         chi = F.lit(float(n)) * gap * gap / (F.col("n") * (n - F.col("n")).cast("double") * float(n1) * float(n - n1))
+        share = float(n1) / n
+        odds = (a + prior_rows * share) / (b + prior_rows * (1 - share)) * ((1 - share) / share)
         counted = (
             sample.select("text", "y")
             .mapInArrow(_count_terms, "term string, n long, n1 long")
@@ -265,7 +275,7 @@ def train(
             .agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
             .where((F.col("n") >= 5) & (F.col("n") < n))
             .withColumn("chi", chi)
-            .where("chi >= 30")
+            .where((odds >= least_odds) | (odds <= 1 / least_odds))
         )
         picked = [r.term for r in counted.orderBy(F.desc("chi"), "term").limit(vocabulary).collect()]
     words = Vocabulary(sorted(picked))

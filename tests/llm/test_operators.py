@@ -421,6 +421,38 @@ def test_toxicity_drops_only_confirmed_near_copies(spark):
     assert index.bare == (sum(bare) + 2 * index.rate) / (len(bare) + 2)
 
 
+def test_toxicity_vocabulary_does_not_depend_on_the_size(spark):
+    def rows(times):
+        out = []
+        for i in range(40 * times):
+            rare = "seltenwort" if i % 20 == 0 else ""
+            out.append((i, f"{'grobian' if i % 4 == 0 else 'gruss'} {rare} {prose(random.Random(i), 30, 500)}"))
+        return out
+
+    for times in (1, 6):
+        some = rows(times)
+        marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in some], "doc_id long, toxic int")
+        index = toxicity.train(documents(spark, some), marks)
+        # few rows or many, the word of the label is a term
+        assert "grobian$" in index.vocabulary.number and "gruss$" in index.vocabulary.number
+        got = toxicity.scored(documents(spark, [(1, "ein grobian"), (2, "ein gruss")]), index)
+        score = {r.doc_id: r.toxicity.score for r in got.collect()}
+        assert score[1] > 0.5 > score[2]
+
+
+def test_toxicity_of_no_documents_and_ties_across_blocks(spark):
+    nothing = documents(spark, [])
+    index = toxicity.train(nothing, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert toxicity.scored(nothing, index).count() == 0
+    # 300 equal examples in five blocks: the smaller ids win
+    words = toxicity.Vocabulary(["a$", "b$"])
+    examples = [(1000 - i, i % 2, {0: 1, 1: 1}) for i in range(300)]
+    index = toxicity.build(words, {0: 300, 1: 300}, 300, sorted(examples), 7)
+    rows, scores = index.nearest(*index.vector(Counter({0: 1})))
+    assert index.ids[rows].tolist() == list(range(701, 708)) and len(set(scores.round(12))) == 1
+    assert index.score("a b a") == index.score("a b a") and len(index.remembered) == 1
+
+
 def test_block_max_neighbours_are_exact():
     rng = np.random.default_rng(3)
     words = toxicity.Vocabulary([f"t{i}$" for i in range(40)])
