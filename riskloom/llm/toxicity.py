@@ -9,7 +9,8 @@ frequencies are counted over all documents. The labelled examples form an invert
 in blocks: each term has its postings by block and the largest weight in every block. A
 query visits blocks by decreasing upper bound and stops when no block can still enter its
 ``k`` nearest, so the neighbours are exact. Votes are weighted by inverse distance and
-mapped to probabilities by a monotone fit on leave-one-out votes.
+mapped to probabilities by a monotone fit on leave-one-out votes of at most
+``calibration_rows`` examples, evenly spread.
 
 Learning reads at most ``sample_rows`` labelled rows (chosen by a hash of the id); that
 bounds the broadcast index. Near copies among them with the same label, confirmed on their
@@ -42,6 +43,7 @@ NEIGHBOURS = 15
 NEAR_PERCENT = 80
 LEAST_ODDS = 2.0
 PRIOR_ROWS = 10.0
+CALIBRATION_ROWS = 3_000
 BLOCK = 64
 WORD = re.compile(r"\w+")
 HELD = 200_000
@@ -187,7 +189,7 @@ class Index:
         return float(np.interp(self.vote(rows, scores), self.knots, self.values)), self.ids[rows].tolist()
 
 
-def build(vocabulary: Vocabulary, frequency: dict[int, int], documents: int, examples: list, k: int) -> Index:
+def build(vocabulary: Vocabulary, frequency: dict[int, int], documents: int, examples: list, k: int, calibration_rows: int = CALIBRATION_ROWS) -> Index:
     """``examples`` are (id, label, {term: count}) rows, ids as integers."""
     size = len(vocabulary.number)
     df = np.array([frequency.get(t, 0) for t in range(size)], float)
@@ -213,7 +215,7 @@ def build(vocabulary: Vocabulary, frequency: dict[int, int], documents: int, exa
     draft.block_max = np.zeros((size, blocks))
     np.maximum.at(draft.block_max, (term, draft.row // BLOCK), draft.weight)
     votes = []
-    for i in range(len(some)):
+    for i in range(0, len(some), max(1, -(-len(some) // calibration_rows))):
         rows, scores = draft.nearest(*vectors[i], skip=i)
         if len(rows):
             votes.append((draft.vote(rows, scores), draft.labels[i]))
@@ -236,6 +238,7 @@ def train(
     near_percent: int = NEAR_PERCENT,
     least_odds: float = LEAST_ODDS,
     prior_rows: float = PRIOR_ROWS,
+    calibration_rows: int = CALIBRATION_ROWS,
 ) -> Index:
     """The index of the labelled rows that ``usable`` (over doc_id) admits."""
     rows = texts(docs, id_col, text_col)
@@ -311,7 +314,7 @@ def train(
         .mapInArrow(described, "id long, y int, t array<long>, c array<long>")
         .collect()
     ]
-    return build(words, frequency, frequency.get(-1, 0), sorted(examples, key=lambda e: (e[0], e[1])), k)
+    return build(words, frequency, frequency.get(-1, 0), sorted(examples, key=lambda e: (e[0], e[1])), k, calibration_rows)
 
 
 def scored(docs: DataFrame, index: Index, *, text_col: str = "text") -> DataFrame:
