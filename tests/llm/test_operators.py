@@ -325,6 +325,78 @@ def test_personal_data(spark):
     assert list(pii.emails("a" * 50_000 + "@" * 3)) == []
 
 
+def proposals_of(spark, rows):
+    kind = pii.T.StructType([pii.T.StructField("found", pii.T.ArrayType(pii.SPAN))])
+    return spark.createDataFrame([([tuple(s.values()) for s in pii.proposed(t)],) for _, t in rows], kind)
+
+
+def private_rows(rng):
+    """Phones, cards and addresses in many surroundings; some numbers only wide kinds can find."""
+    rows = []
+    for i in range(240):
+        phone = f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        number = str(rng.randrange(10**14, 10**15))
+        card = next(number + str(d) for d in range(10) if luhn(number + str(d)))
+        ip = ".".join(str(rng.randrange(100, 256)) for _ in range(4))
+        rows.append((i, f"{prose(rng, rng.randrange(1, 4))} {phone} {prose(rng, 2)}, {ip} {prose(rng, 1)} {card}. end"))
+        rows.append((1000 + i, f"{prose(rng, 2)} {number}{(int(card[-1]) + 1) % 10} {prose(rng, 1)} {ip}.9 then {phone[4:7]}"))
+    run = "+1 (269) 555-3296 4524132264652876"
+    rows += [(5000, f"w1 w2 {run} w3"), (5001, "w1 44.161.181 w2"), (5002, "w1 w2 (988) 555-2485 w3")]
+    return rows
+
+
+def test_personal_data_trees_select_and_refuse_wide_spans(spark):
+    rows = private_rows(random.Random(5))
+    spans = {r.doc_id: r.spans for r in pii.scan(documents(spark, rows)).collect()}
+    at = {i: [(s.kind, t[s.start : s.stop]) for s in spans[i]] for i, t in rows}
+    # no base pattern finds these, as they stand in one failing run
+    assert at[5000] == [("phone_part", "+1 (269) 555-3296"), ("card_part", "4524132264652876")]
+    assert at[5002] == [("phone_local", "(988) 555-2485")]
+    # proposed, but formed as the parts of network addresses
+    assert any(not s["base"] for s in pii.proposed(dict(rows)[5001])) and at[5001] == []
+    for i, t in rows:
+        got = spans[i]
+        assert not any(a.start < b.stop and b.start < a.stop for a in got if not a.base for b in got if b is not a)
+
+
+def test_personal_data_lessons_follow_the_whole_corpus(spark):
+    rng = random.Random(6)
+    rows = private_rows(rng) + [(i, t) for i, t in enumerate(PII_TEXTS)]
+    # the first hundred phones again without their country, which alone says nothing
+    rows += [(9000 + i, f"w {t.split('+1 ')[1][:14]} w") for i, t in private_rows(random.Random(5))[:200:2]]
+    rows += [(9500 + i, f"w +1 {t.split('+1 ')[1][:14]} w") for i, t in private_rows(random.Random(5))[:200:2]]
+    found = [pii.proposed(t) for _, t in rows]
+    agreed = {s["value"] for f in found for s in f if s["base"] and s["valid"]} - {None}
+    want = Counter()
+    for (_, t), f in zip(rows, found):
+        base = [(pii.FAMILY[k], a, b, v) for k, a, b, v in pii.base_proposals(t) if v or b - a >= 7]
+        for s in f:
+            family = pii.FAMILY[pii.KINDS[s["rank"]]]
+            if s["base"]:
+                y = int(s["valid"])
+            else:
+                around = [p for p in base if p[1] <= s["start"] and s["stop"] <= p[2] and p[3]]
+                same = [p for p in base if p[:3] == (family, s["start"], s["stop"]) and not p[3]]
+                y = int(around[0][0] == family) if around else 0 if same else None
+            if y is None and s["value"] in agreed:
+                y = 1
+            if y is not None:
+                want[(tuple(np.float32(s["x"]).tolist()), y)] += 1
+    x, y, weight = pii.learning_sample(proposals_of(spark, rows), 10**6)
+    assert {(tuple(v), int(label)): round(w) for v, label, w in zip(x.tolist(), y, weight)} == want
+    assert any(s["taught"] is None and s["value"] in agreed for f in found for s in f)
+
+
+def test_personal_data_thresholds_by_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        n = int(rng.integers(1, 30))
+        p, y, w = rng.integers(0, 11, n) / 10, rng.integers(0, 2, n), rng.integers(1, 4, n).astype(float)
+        got = pii.threshold(p, y, w, 0.7)
+        good = [t for t in [0.5, *p[p >= 0.5]] if not (p >= t).any() or (w * y)[p >= t].sum() >= 0.7 * w[p >= t].sum() - 1e-9]
+        assert (got == min(good)) if good else got > 1
+
+
 def test_personal_data_learns_from_distinct_descriptions(spark):
     rows = []
     for i in range(12):
@@ -332,8 +404,7 @@ def test_personal_data_learns_from_distinct_descriptions(spark):
         text = f"mail {'b' * (3 + i)}@example.org or {'7' * (20 + i)} or write joe[at]example[dot]org"
         rows += [(50 * i + j, text) for j in range(50)]
     docs = documents(spark, rows)
-    kind = "array<struct<start:int,rank:int,stop:int,base:boolean,valid:boolean,x:array<float>>>"
-    found = spark.createDataFrame([([tuple(s.values()) for s in pii.proposed(t)],) for _, t in rows], f"found {kind}")
+    found = proposals_of(spark, rows)
     x, y, weight = pii.learning_sample(found, 12)
     assert len({tuple(v) for v in x[y]}) == len({tuple(v) for v in x[~y]}) == 12
     base = [valid for _, t in rows for _, _, _, valid in pii.base_proposals(t)]
