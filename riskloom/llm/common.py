@@ -28,6 +28,14 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.struct(F.xxhash64(doc_id, text).alias("a"), F.hash(text, doc_id).alias("b"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` bears it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also inside lambdas."""
     return F.get(F.transform(F.array(value), body), 0)

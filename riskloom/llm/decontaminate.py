@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, bit_set, let, might_hold, row_key, stored
+from riskloom.llm.common import LOWER, UPPER, bit_set, let, might_hold, row_key, stored, unused
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -178,9 +178,10 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     """The documents that are not contaminated, with all their columns."""
     bad = scan(docs, items, id_col=id_col, text_col=text_col, **options).where(contaminated())
     key = row_key(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
-    bad = stored(bad.select(F.col("key").alias("__key")).distinct(), "contaminated")
-    rows = docs.withColumn("__key", key)
+    held = unused(docs, "row_key")
+    bad = stored(bad.select(F.col("key").alias(held)).distinct(), "contaminated")
+    rows = docs.withColumn(held, key)
     # only texts whose key is listed, and the few that look so, are shuffled
-    touched = might_hold(F.col("__key.a"), bit_set(bad.select(F.col("__key.a").alias("h"))))
-    left = rows.where(touched).join(bad, "__key", "left_anti")
+    touched = might_hold(F.col(held)["a"], bit_set(bad.select(F.col(held)["a"].alias("h"))))
+    left = rows.where(touched).join(bad, held, "left_anti")
     return rows.where(~touched).unionByName(left).select(docs.columns)

@@ -214,7 +214,10 @@ def train(
 
 
 def predicted(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """The documents with a struct column ``language`` of (lang_pred, score)."""
+    """The documents with a struct column ``language`` of (lang_pred, score).
+
+    It takes the place of a column of that name.
+    """
 
     def language(text):
         import pandas as pd

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import bit_set, might_hold, row_key, stored, texts, tidy
+from riskloom.llm.common import bit_set, might_hold, row_key, stored, texts, tidy, unused
 from riskloom.llm.components import components
 
 BINS_LOG2 = 8
@@ -262,7 +262,8 @@ def near_duplicates(
 
     ``component_id`` is the smallest id reachable by links of at least ``percent``
     hundredths Jaccard similarity, ``kept`` says it is the row's own. ``group`` names the
-    component also where ids are null, and is null for a text without words.
+    component also where ids are null, and is null for a text without words. Ids are
+    integers, or text that casts to them.
     """
     base = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     keyed = base.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "text", "doc_id")
@@ -401,20 +402,21 @@ def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.min(F.struct("id", "key")).alias("first"), F.count(F.lit(1)).alias("n")
     )
     firsts = stored(firsts.where("n > 1").select("group", "first"), "firsts", compact=True)
+    held, dropped = unused(docs, "row_key"), unused(docs, "row_dropped")
     flagged = (
         keys.join(firsts, "group", "left")
         .select("key", "times", (F.col("first.key") != F.col("key")).alias("drop"))
         .where("drop OR times > 1")
-        .select(F.col("key").alias("__key"), F.coalesce("drop", F.lit(False)).alias("__drop"))
+        .select(F.col("key").alias(held), F.coalesce("drop", F.lit(False)).alias(dropped))
     )
     flagged = stored(flagged, "flagged", compact=True)
     key = row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumn("__key", key)
+    rows = docs.withColumn(held, key)
     # only texts whose key is flagged, and the few that look so, are shuffled
-    touched = might_hold(F.col("__key.a"), bit_set(flagged.select(F.col("__key.a").alias("h"))))
-    left = rows.where(touched).join(flagged, "__key", "left")
-    single = rows.where(~touched).unionByName(left.where(F.col("__drop").isNull()).drop("__drop"))
-    if not flagged.where("NOT __drop").isEmpty():
-        again = left.where(~F.col("__drop")).drop("__drop").dropDuplicates(["__key"])
+    touched = might_hold(F.col(held)["a"], bit_set(flagged.select(F.col(held)["a"].alias("h"))))
+    left = rows.where(touched).join(flagged, held, "left")
+    single = rows.where(~touched).unionByName(left.where(F.col(dropped).isNull()).drop(dropped))
+    if not flagged.where(~F.col(dropped)).isEmpty():
+        again = left.where(~F.col(dropped)).drop(dropped).dropDuplicates([held])
         single = single.unionByName(again)
     return single.select(docs.columns)

@@ -297,7 +297,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def scored(docs: DataFrame, model: Field, *, text_col: str = "text", name: str = "score") -> DataFrame:
-    """The documents with their quality score as one more column."""
+    """The documents with their quality score as column ``name``, in place of one of that name."""
 
     def score(text):
         import pandas as pd

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import let, row_key, stored
+from riskloom.llm.common import let, row_key, stored, unused
 
 
 @dataclass(frozen=True)
@@ -263,18 +263,18 @@ def redact(
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = scan(docs, id_col=id_col, text_col=text_col, **options).where(F.size("spans") > 0)
-    spans = spans.select(F.col("key").alias("__key"), F.col("spans").alias("__spans"))
-    spans = spans.dropDuplicates(["__key"])
+    held, found = unused(docs, "row_key"), unused(docs, "row_spans")
+    spans = spans.select(F.col("key").alias(held), F.col("spans").alias(found)).dropDuplicates([held])
     touched = anything(text)
     clean = docs.where(~touched)
     joined = (
         docs.where(touched)
-        .withColumn("__key", row_key(F.col(id_col), text))
-        .join(spans, "__key", "left")
+        .withColumn(held, row_key(F.col(id_col), text))
+        .join(spans, held, "left")
         .withColumn(
             text_col,
-            F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
-                redacted(text, F.col("__spans"), mark)
+            F.when(F.col(found).isNull(), F.col(text_col)).otherwise(
+                redacted(text, F.col(found), mark)
             ),
         )
         .select(docs.columns)

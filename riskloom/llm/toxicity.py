@@ -318,7 +318,10 @@ def train(
 
 
 def scored(docs: DataFrame, index: Index, *, text_col: str = "text") -> DataFrame:
-    """The documents with a struct column ``toxicity`` of (score, evidence ids)."""
+    """The documents with a struct column ``toxicity`` of (score, evidence ids).
+
+    It takes the place of a column of that name.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def toxicity(text):

@@ -570,3 +570,22 @@ def test_empty_tables(spark):
     assert bpe.encode(docs, VOCABULARY).count() == 0
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(vectors).count() == 0
+
+
+def test_helper_columns_give_way_to_those_of_the_input(spark):
+    item = prose(random.Random(1), 20)
+    texts = [(1, item), (2, "same words in every one of these rows"), (3, "same words in every one of these rows"),
+             (4, "password = hunter2hunter2"), (4, "password = hunter2hunter2"), (5, None), (6, "")]
+    docs = documents(spark, texts)
+    for name in ("row_key", "ROW_DROPPED", "row_spans", "__drop", "__spans", "__key"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    once = minhash.one_of_each(docs)
+    clean = decontaminate.drop_contaminated(docs, spark.createDataFrame([("i", item)], "item_id string, text string"))
+    hidden = secret_scan.redact(docs)
+    assert once.columns == clean.columns == hidden.columns == docs.columns
+    assert sorted(r.doc_id for r in once.collect()) == [1, 2, 4, 5, 6]
+    assert sorted(r.doc_id for r in clean.collect()) == [2, 3, 4, 4, 5, 6]
+    kept = hidden.collect()
+    assert [r.text for r in kept if r.doc_id == 4] == ["[SECRET]"] * 2
+    for r in once.collect() + clean.collect() + kept:
+        assert all(r[c] == f"{c}{r.doc_id}" for c in docs.columns[-6:])
