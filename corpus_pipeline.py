@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import bpe, decontaminate, minhash, quality, secret_scan
-from riskloom.llm.common import fold, read, stored
+from riskloom.llm.common import fold, read, stored, unused
 from riskloom.llm.queries import vocabulary
 
 MARK = "[SECRET]"
@@ -15,8 +15,8 @@ MARK = "[SECRET]"
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches 0.3; the same rows teach as in the query."""
     model = quality.train(docs, read(spark, sf_dir, "labels"), usable=fold(F.col("doc_id"), 5) != 0)
-    rows = quality.scored(docs, model, name="__score")
-    return rows.where(F.col("__score") >= 0.3).select(docs.columns)
+    score = unused(docs, "quality_score")
+    return quality.scored(docs, model, name=score).where(F.col(score) >= 0.3).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
