@@ -100,6 +100,69 @@ def blend_weight_nested(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(ensemble.blend_weight(by_fold))
 
 
+_CELLS_SQL = (
+    SCORED
+    + """, cells AS (
+  SELECT id % 3 AS fold, floor(score_a * 1e3 + 0.5) / 1e3 AS a, floor(score_b * 1e3 + 0.5) / 1e3 AS b,
+    sum(label) AS pos, sum(1 - label) AS neg FROM scored GROUP BY 1, 2, 3),
+x AS (
+  SELECT fold, w, CAST(floor((a * (w / 100e0) + b * (1 - w / 100e0)) * 1e6 + 0.5) AS BIGINT) AS s, pos, neg
+  FROM cells, range(101) AS r(w)),
+parts AS (
+  SELECT 'train' AS part, h.fold, w, s, sum(pos) AS pos, sum(neg) AS neg
+  FROM x JOIN (SELECT DISTINCT fold FROM x) h ON x.fold <> h.fold GROUP BY ALL
+  UNION ALL SELECT 'held', fold, w, s, sum(pos), sum(neg) FROM x GROUP BY ALL),
+ranked AS (SELECT *, sum(neg) OVER (PARTITION BY part, fold, w ORDER BY s) - neg AS before FROM parts),
+areas AS (
+  SELECT part, fold, w, sum(pos * (before + neg / 2e0)) / (sum(pos) * sum(neg)) AS auc
+  FROM ranked GROUP BY part, fold, w)"""
+)
+
+
+@query(
+    "blend_weight_on_cells",
+    _CELLS_SQL
+    + """
+SELECT CAST(t.fold AS INTEGER) AS inner_fold, t.w / 100e0 AS weight, round(t.auc, 6) AS train_auc,
+  round(h.auc, 6) AS held_auc
+FROM areas t JOIN areas h ON h.part = 'held' AND h.fold = t.fold AND h.w = t.w
+WHERE t.part = 'train'
+QUALIFY row_number() OVER (PARTITION BY t.fold ORDER BY t.auc DESC, t.w) = 1""",
+)
+def blend_weight_on_cells(spark: SparkSession, sf: str) -> DataFrame:
+    cells = ensemble.score_cells(_inner(spark, sf), ["score_a", "score_b"], fold="inner_fold")
+    return rounded(ensemble.blend_weight_on_cells(cells, "score_a", "score_b"))
+
+
+WEIGHTS = ensemble.simplex_candidates(3)
+
+
+@query(
+    "simplex_weights_on_cells",
+    SCORED
+    + ", c AS (SELECT * FROM (VALUES "
+    + ", ".join(f"({i}, {a!r}::DOUBLE, {b!r}::DOUBLE, {c!r}::DOUBLE)" for i, (a, b, c) in enumerate(WEIGHTS))
+    + """) v(candidate, wa, wb, wc)),
+cells AS (
+  SELECT floor(score_a * 1e2 + 0.5) / 1e2 AS a, floor(score_b * 1e2 + 0.5) / 1e2 AS b,
+    floor(score_a * score_a * 1e2 + 0.5) / 1e2 AS c, sum(label) AS pos, sum(1 - label) AS neg
+  FROM scored GROUP BY 1, 2, 3),
+r AS (
+  SELECT candidate, CAST(floor((cells.a * wa + cells.b * wb + cells.c * wc) * 1e6 + 0.5) AS BIGINT) AS s,
+    sum(pos) AS pos, sum(neg) AS neg FROM cells, c GROUP BY 1, 2),
+cu AS (SELECT *, sum(neg) OVER (PARTITION BY candidate ORDER BY s) - neg AS before FROM r)
+SELECT candidate, round(sum(pos * (before + neg / 2e0)) / (sum(pos) * sum(neg)), 6) AS auc
+FROM cu GROUP BY candidate""",
+)
+def simplex_weights_on_cells(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark_view(spark, sf, "scored").select(
+        "label", "score_a", "score_b", (F.col("score_a") * F.col("score_a")).alias("score_c")
+    )
+    names = ["score_a", "score_b", "score_c"]
+    cells = ensemble.score_cells(rows, names, digits=2)
+    return rounded(ensemble.simplex_search(rows, names, WEIGHTS, cells=cells).select("candidate", "auc"))
+
+
 SIMPLEX = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0], [0.25, 0.5, 0.25], [0.5, 0.25, 0.25]]
 
 

@@ -19,6 +19,7 @@ from riskloom.plans.ordering import running_totals
 
 GRID_STEPS = 100
 SEARCH_DIGITS = 6
+CELL_DIGITS = 3
 
 
 def weighted(scores: Sequence[Column], weights: Sequence[float | Column]) -> Column:
@@ -41,6 +42,27 @@ def _distinct_scores(df: DataFrame, label: str, keys: Sequence[str]) -> DataFram
     return known.groupBy(*keys).agg(F.sum(flag(y)).alias("pos"), F.sum(flag(~y)).alias("neg"))
 
 
+def score_cells(
+    df: DataFrame,
+    scores: Sequence[str],
+    label: str = "label",
+    fold: str | None = None,
+    digits: int = CELL_DIGITS,
+) -> DataFrame:
+    """Positives and negatives per fold and joint cell of the scores: (fold, scores, pos, neg).
+
+    Each score is put on a grid of ``digits`` decimals, so continuous scores shrink too: at
+    most folds x (10**digits + 1) ** scores rows, whatever the rows of ``df``. Searches over
+    the table never read the rows again. Rows with an unknown score are in no cell.
+    """
+    scale = float(10**digits)
+    on_grid = {c: (grid_point(F.col(c), digits) / F.lit(scale)).alias(c) for c in scores}
+    known = df.dropna(subset=list(scores))
+    keys = [fold] if fold else []
+    rows = known.select(*keys, label, *on_grid.values())
+    return checkpointed(_distinct_scores(rows, label, [*keys, *scores]))
+
+
 def _candidate_counts(
     rows: DataFrame, score: Column, keys: Sequence[str], digits: int
 ) -> DataFrame:
@@ -102,6 +124,65 @@ def blend_weight_by_fold(
     )
 
 
+def blend_weight_on_cells(
+    cells: DataFrame,
+    a: str,
+    b: str,
+    fold: str = "inner_fold",
+    steps: int = GRID_STEPS,
+    digits: int = SEARCH_DIGITS,
+) -> DataFrame:
+    """:func:`blend_weight_by_fold` over :func:`score_cells`.
+
+    The pairs a training part ranks rightly are those of all rows less those with a row of
+    its own fold on either side, so every candidate is ranked once for all folds together
+    and once by fold; no training part is built.
+    """
+    grid = F.explode(F.sequence(F.lit(0), F.lit(steps))).alias("w")
+    mixed = blend(F.col(a), F.col(b), F.col("w") / float(steps))
+    counts = checkpointed(_candidate_counts(cells.select("*", grid), mixed, ["w", fold], digits))
+    sums = {"pos": F.col("pos"), "neg": F.col("neg")}
+
+    def right(pos: str, before: str, neg: str) -> Column:
+        return F.sum(F.col(pos).cast("double") * (F.col(before) + F.col(neg) / F.lit(2.0)))
+
+    every = running_totals(counts, ["w"], "_score", sums, grid=True).select(
+        F.col("w").alias("w_all"),
+        F.col("_score").alias("score_all"),
+        *[F.col(c).alias(f"all_{c}") for c in ("pos", "neg", "before_neg", "total_pos", "total_neg")],
+        (F.col("total_pos") - F.col("before_pos") - F.col("pos")).alias("all_after_pos"),
+    )
+    whole = every.groupBy("w_all").agg(right("all_pos", "all_before_neg", "all_neg").alias("right_all"))
+    own = running_totals(counts, ["w", fold], "_score", sums, grid=True)
+    met = own.join(every, (F.col("w") == F.col("w_all")) & (F.col("_score") == F.col("score_all")))
+    sides = met.groupBy("w", fold).agg(
+        right("pos", "before_neg", "neg").alias("both"),
+        (right("pos", "all_before_neg", "all_neg") + right("neg", "all_after_pos", "all_pos")).alias("either"),
+        *[F.max(c).alias(c) for c in ("total_pos", "total_neg", "all_total_pos", "all_total_neg")],
+    )
+
+    def area(wins: Column, pos: Column, neg: Column) -> Column:
+        # a part without one of the classes has no area
+        return F.try_divide(wins, pos.cast("double") * neg)
+
+    pos, neg = F.col("total_pos"), F.col("total_neg")
+    areas = sides.join(whole, F.col("w") == F.col("w_all")).select(
+        fold,
+        "w",
+        area(
+            F.col("right_all") - F.col("either") + F.col("both"),
+            F.col("all_total_pos") - pos,
+            F.col("all_total_neg") - neg,
+        ).alias("train_auc"),
+        area(F.col("both"), pos, neg).alias("held_auc"),
+    )
+    best = F.max_by(F.struct("w", "train_auc", "held_auc"), F.struct("train_auc", -F.col("w")))
+    picked = areas.groupBy(fold).agg(best.alias("best"))
+    return picked.select(
+        fold, (F.col("best.w") / float(steps)).alias("weight"), "best.train_auc", "best.held_auc"
+    )
+
+
 def blend_weight(by_fold: DataFrame) -> DataFrame:
     """One row: median of the per-fold weights and mean of the held-out AUC."""
     return by_fold.agg(
@@ -125,15 +206,20 @@ def simplex_search(
     candidates: Sequence[Sequence[float]],
     label: str = "label",
     digits: int = SEARCH_DIGITS,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
-    """AUC of every weight vector, best first; a tie goes to the earlier candidate."""
+    """AUC of every weight vector, best first; a tie goes to the earlier candidate.
+
+    ``cells`` from :func:`score_cells` takes the place of the rows of ``df``.
+    """
     options = F.array(
         *[
             F.struct(F.lit(i).alias("candidate"), F.array(*map(F.lit, w)).alias("weights"))
             for i, w in enumerate(candidates)
         ]
     )
-    rows = _distinct_scores(df, label, scores).select("*", F.inline(options))
+    rows = _distinct_scores(df, label, scores) if cells is None else cells
+    rows = rows.select("*", F.inline(options))
     mixed = weighted(
         [F.col(s) for s in scores], [F.get("weights", F.lit(i)) for i in range(len(scores))]
     )

@@ -173,6 +173,33 @@ def test_blend_ends_and_search(spark):
     assert best["auc"] == 1.0 and sum(best["weights"]) == pytest.approx(1.0)
 
 
+def test_blend_on_cells_equals_the_search_over_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [
+        (int(i % 4), float(rng.integers(0, 2)), round(float(rng.random()), 2), round(float(rng.random()), 2))
+        for i in range(400)
+    ]
+    rows = [(f, y, a * 0.6 + y * 0.3, b * 0.8 + y * 0.2) for f, y, a, b in rows]
+    odd = [(1, 1.0, None, 0.5), (2, 0.0, 0.5, None), (3, None, 0.5, 0.5)]
+    df = spark.createDataFrame(rows + odd, "inner_fold int, label double, a double, b double")
+    cells = ensemble.score_cells(df, ["a", "b"], fold="inner_fold", digits=2)
+    known = df.dropna()
+    assert cells.agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == known.count()
+    assert ensemble.score_cells(known.union(known), ["a", "b"], fold="inner_fold", digits=2).count() == cells.count()
+    on_grid = [(F.floor(F.col(c) * 100 + 0.5) / 100.0).alias(c) for c in "ab"]
+    plain = ensemble.blend_weight_by_fold(known.select("inner_fold", "label", *on_grid), "a", "b", steps=20)
+    fast = ensemble.blend_weight_on_cells(cells, "a", "b", steps=20)
+    want = {r.inner_fold: (r.weight, r.train_auc, r.held_auc) for r in plain.collect()}
+    got = {r.inner_fold: (r.weight, r.train_auc, r.held_auc) for r in fast.collect()}
+    assert len(got) == 4 and got == {k: pytest.approx(v, abs=1e-12) for k, v in want.items()}
+    # a fold without one of the classes has no area of its own
+    one = known.where("inner_fold <> 2 OR label = 1")
+    lone = ensemble.blend_weight_on_cells(ensemble.score_cells(one, ["a", "b"], fold="inner_fold"), "a", "b", steps=4)
+    assert {r.inner_fold for r in lone.collect() if r.held_auc is None} == {2}
+    nothing = ensemble.score_cells(df.limit(0), ["a", "b"], fold="inner_fold")
+    assert ensemble.blend_weight_on_cells(nothing, "a", "b", steps=4).count() == 0
+
+
 def test_calibration_on_held_out_half(spark):
     rng = np.random.default_rng(0)
     p = rng.random(2000)
