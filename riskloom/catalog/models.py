@@ -379,6 +379,19 @@ def feature_group_ablation(spark: SparkSession, sf: str) -> DataFrame:
     return training.ablation(rows, groups, "vec_id", "label", build, 3)
 
 
+@query("seed_runs")
+def seed_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The default forest under three seeds, and the AUC of their averaged scores."""
+    seeds = (42, 43, 44)
+    runs = training.run_seeds(
+        _prepared(spark, sf, 5), EMBED, "vec_id", lambda s: training.forest(seed=s), 5, seeds, parallel=3
+    )
+    whole = metrics.auc(runs.oof(), score="p").select(
+        F.lit(len(seeds)).alias("step"), F.lit(None).cast("int").alias("seed"), F.col("auc").alias("oof_auc")
+    )
+    return training.log_with_delta(runs.log().unionByName(whole, allowMissingColumns=True))
+
+
 @query("iterative_elimination")
 def iterative_elimination(spark: SparkSession, sf: str) -> DataFrame:
     rows = folds.stratified_folds(embedding_features(spark, sf), "vec_id", "label", 3)

@@ -1,6 +1,6 @@
 """Cross-validated Spark ML learners and what is read off them.
 
-The fold loop runs on the driver; every fit, transform and metric is a distributed
+The loops over folds and seeds run on the driver, several at a time where asked for; every fit, transform and metric is a distributed
 job over a feature table frozen once on shared storage.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -19,8 +20,10 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import total
 from riskloom.operators import metrics
 from riskloom.operators.selection import importance_cutoff
+from riskloom.plans.concurrent import concurrently
 from riskloom.plans.lineage import checkpointed
 
 # Missing inputs of the trees, elimination limits.
@@ -178,29 +181,101 @@ def run_cv(
     build: Callable[[], Estimator],
     folds: int,
     chosen: Sequence[Sequence[str]] | None = None,
+    parallel: int = 1,
 ) -> CvResult:
     """Fit one model per fold on the other folds; score each row by the model that
     did not see it. The held-out fold also drives early stopping. ``chosen`` gives each
-    fold its own subset of the features."""
+    fold its own subset of the features. ``parallel`` folds are fitted at a time, with the
+    same results."""
     picks = [list(c) for c in chosen] if chosen is not None else [list(features)] * folds
-    models, parts = [], []
-    for k in range(folds):
+
+    def fitted(k: int) -> Model:
         estimator = build()
         rows = sliced(prepared, features, picks[k])
         held_out = F.col("fold") == k
         if estimator.hasParam("validationIndicatorCol"):
-            model = estimator.fit(rows.withColumn("_validation", held_out))
-        else:
-            model = estimator.fit(rows.where(~held_out))
-        models.append(model)
-        scored = model.transform(rows.where(held_out))
-        parts.append(scored.select(key, "fold", "label", probability().alias("p")))
-    oof = parts[0]
-    for part in parts[1:]:
-        oof = oof.unionByName(part)
+            return estimator.fit(rows.withColumn("_validation", held_out))
+        return estimator.fit(rows.where(~held_out))
+
+    models = concurrently(prepared.sparkSession, [partial(fitted, k) for k in range(folds)], parallel)
+    oof = None
+    for k, model in enumerate(models):
+        scored = model.transform(sliced(prepared, features, picks[k]).where(F.col("fold") == k))
+        part = scored.select(key, "fold", "label", probability().alias("p"))
+        oof = part if oof is None else oof.unionByName(part)
+    assert oof is not None
     return CvResult(picks, models, checkpointed(oof))
 
 
+def averaged(scores: Sequence[Column]) -> Column:
+    """The mean, added in the order given, so that equal runs give equal bits."""
+    return total(list(scores)) / float(len(scores))
+
+
+@dataclass
+class SeedRuns:
+    """Cross-validated runs that differ by their seed; results in the order of ``seeds``."""
+
+    seeds: list[int]
+    results: list[CvResult]
+    features: list[str]
+    key: str
+
+    def log(self) -> DataFrame:
+        """(step, seed, oof_auc, mean_auc, std_auc), a row per run."""
+        rows = [
+            result.summary().select(F.lit(i).alias("step"), F.lit(seed).alias("seed"), "oof_auc", "mean_auc", "std_auc")
+            for i, (seed, result) in enumerate(zip(self.seeds, self.results, strict=True))
+        ]
+        return reduce(DataFrame.unionByName, rows)
+
+    def oof(self) -> DataFrame:
+        """(key, fold, label, p): the mean over the seeds of each row's out-of-fold scores."""
+        scores = [
+            r.oof.select(self.key, F.struct(F.lit(i).alias("i"), "p").alias("s"), "fold", "label")
+            for i, r in enumerate(self.results)
+        ]
+        # a row per seed of a key
+        inner = F.sort_array(F.collect_list("s"))
+        p = averaged([F.get(inner, F.lit(i))["p"] for i in range(len(self.seeds))])
+        return reduce(DataFrame.unionByName, scores).groupBy(self.key, "fold", "label").agg(p.alias("p"))
+
+    def score(self, prepared: DataFrame) -> DataFrame:
+        """(key, p): the mean over all seeds and folds for rows no model has seen, in one scan."""
+        rows, columns = prepared, []
+        for i, result in enumerate(self.results):
+            for k, model in enumerate(result.models):
+                out, inputs = f"_p_{i}_{k}", f"_x_{i}_{k}"
+                at = [self.features.index(c) for c in result.chosen[k]]
+                rows = VectorSlicer(inputCol="features", outputCol=inputs, indices=at).transform(rows)
+                quiet = model.copy().setProbabilityCol(out).setFeaturesCol(inputs)
+                rows = quiet.setRawPredictionCol("").setPredictionCol("").transform(rows).drop(inputs)
+                columns.append(F.get(vector_to_array(out), F.lit(1)))
+        return rows.select(self.key, averaged(columns).alias("p"))
+
+
+def run_seeds(
+    prepared: DataFrame,
+    features: Sequence[str],
+    key: str,
+    build: Callable[[int], Callable[[], Estimator]],
+    folds: int,
+    seeds: Sequence[int],
+    chosen: Sequence[Sequence[str]] | None = None,
+    parallel: int = 2,
+) -> SeedRuns:
+    """:func:`run_cv` once per seed over the same prepared rows, ``parallel`` seeds at a time.
+
+    ``build(seed)`` is the factory of that seed's learner. What is kept on the driver are
+    the fitted models.
+    """
+    if len(set(seeds)) != len(seeds) or not seeds:
+        raise ValueError(f"Seeds must be distinct and at least one: {list(seeds)}")
+    tasks = [partial(run_cv, prepared, features, key, build(seed), folds, chosen) for seed in seeds]
+    results = concurrently(prepared.sparkSession, tasks, parallel)
+    return SeedRuns(list(seeds), results, list(features), key)
+
+
 def mean_scores(parts: Sequence[DataFrame], key: str, score: str = "p") -> DataFrame:
     """Mean score per key over the outputs of several models or seeds."""
     out = parts[0].select(key, score)

@@ -159,6 +159,48 @@ def test_a_tree_without_rows_per_node_has_no_shapley_values():
         explain.LeafTable(replace(tree, cover=np.full(len(tree.left), -1.0)))
 
 
+def test_seeds_side_by_side_equal_one_after_another(spark, planted):
+    rows = folds.stratified_folds(planted, "SK_ID_CURR", "TARGET", 3)
+    rows = training.prepare(rows, FEATURES, "SK_ID_CURR", "TARGET")
+    chosen = [FEATURES, FEATURES[:2], FEATURES[::2]]
+
+    def build(seed):
+        return training.forest(trees=5, max_depth=3, min_rows=5, seed=seed)
+
+    side = training.run_seeds(rows, FEATURES, "SK_ID_CURR", build, 3, [3, 1, 2], chosen, parallel=3)
+    plain = [training.run_cv(rows, FEATURES, "SK_ID_CURR", build(s), 3, chosen) for s in (3, 1, 2)]
+    parts = [{r.SK_ID_CURR: r.p for r in result.oof.collect()} for result in plain]
+    for result, part in zip(side.results, parts, strict=True):
+        assert {r.SK_ID_CURR: r.p for r in result.oof.collect()} == part
+    want = {k: (parts[0][k] + parts[1][k] + parts[2][k]) / 3.0 for k in parts[0]}
+    assert {r.SK_ID_CURR: r.p for r in side.oof().collect()} == want
+    log = side.log().orderBy("step").collect()
+    assert [r.seed for r in log] == [3, 1, 2] and len({r.oof_auc for r in log}) > 1
+    assert [r.oof_auc for r in log] == [result.scores()[0] for result in plain]
+    # new rows: every model of every seed, one after another
+    each = []
+    for result in plain:
+        for k, model in enumerate(result.models):
+            out = model.transform(training.sliced(rows, FEATURES, chosen[k]))
+            each.append({r.SK_ID_CURR: r.p for r in out.select("SK_ID_CURR", training.probability().alias("p")).collect()})
+    for r in side.score(rows).collect():
+        assert r.p == pytest.approx(sum(e[r.SK_ID_CURR] for e in each) / 9, abs=1e-12)
+    folded = training.run_cv(rows, FEATURES, "SK_ID_CURR", build(3), 3, chosen, parallel=3)
+    assert {r.SK_ID_CURR: r.p for r in folded.oof.collect()} == parts[0]
+    with pytest.raises(ValueError):
+        training.run_seeds(rows, FEATURES, "SK_ID_CURR", build, 3, [1, 1])
+
+
+def test_concurrent_tasks_keep_order_and_raise(spark):
+    from riskloom.plans.concurrent import concurrently
+
+    tasks = [lambda n=n: spark.range(n).count() for n in (5, 3, 9, 0, 2)]
+    assert concurrently(spark, tasks, 3) == concurrently(spark, tasks, 1) == [5, 3, 9, 0, 2]
+    with pytest.raises(ZeroDivisionError):
+        concurrently(spark, [*tasks, lambda: 1 // 0], 2)
+    assert concurrently(spark, [], 4) == []
+
+
 def test_blend_ends_and_search(spark):
     rows = [(i, float(i % 2), i % 3, (i % 2) * 0.5 + i / 1000, (i * 7 % 11) / 11) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, label double, inner_fold int, a double, b double")
