@@ -14,10 +14,11 @@ one, from 0.5 on, that keeps the wanted precision on proposals left out of the f
 families without both sorts among those take the threshold of all together. Spans over it
 are selected, the surest first, none over a chosen one.
 
-Proposals are counted by their description over all documents. Training reads at
-most ``sample_rows`` distinct descriptions (the smallest hashes) of each sort, weighted by
-their counts, and leaves whole descriptions out of the fit; candidates of all documents
-are scored. With fewer than two descriptions of a sort nothing is added, which is warned
+Proposals are counted by their description over all documents. Training reads every
+distinct description, weighted by its counts, and leaves whole descriptions out of the fit:
+cuts, trees and thresholds come from Spark jobs over all of them, of which the driver sees sums. Only
+where ``sample_rows`` is given are that many of each sort (the smallest hashes) read on
+the driver instead. Candidates of all documents are scored. With fewer than two descriptions of a sort nothing is added, which is warned
 of where there are proposals to learn from. A null or
 empty text has no spans. Offsets are code points, ends exclusive. Repeated rows each keep
 their own result.
@@ -34,15 +35,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm import boosting
 from riskloom.llm.common import stored, texts
+from riskloom.plans.ordering import percentiles_of, running_totals
 
-SAMPLE_ROWS = 20_000
 PRECISION = 0.98
+ROWS_PER_INTERVAL = 100_000
 BASE = ("email", "ip", "card", "phone")
 WIDE = {
     "email_text": re.compile(
@@ -331,11 +333,8 @@ def fit(
     return model, out
 
 
-def learning_sample(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Descriptions, lessons and weights of the proposals that teach.
-
-    The weights of a sort sum to all its proposals, also where its sample is a part.
-    """
+def descriptions(rows: DataFrame) -> DataFrame:
+    """(x, n1, n0): how often each description teaches 1 and 0, over all proposals."""
     each = rows.select(F.explode("found").alias("f")).select("f.*")
     # values confirmed by a base span; a frequent one is a row for each task and description
     agreed = each.where("base AND valid AND value IS NOT NULL").select("value").distinct()
@@ -345,7 +344,7 @@ def learning_sample(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.n
         F.count_if(F.col("taught").isNull()).alias("open"),
     )
     met = met.join(agreed.withColumn("agreed", F.lit(True)), "value", "left")
-    counts = stored(
+    return stored(
         met.groupBy("x").agg(
             F.sum(F.col("n1") + F.when(F.col("agreed"), F.col("open")).otherwise(0)).alias("n1"),
             F.sum("n0").alias("n0"),
@@ -353,6 +352,14 @@ def learning_sample(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.n
         "descriptions",
         compact=True,
     )
+
+
+def learning_sample(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Descriptions, lessons and weights of the proposals that teach.
+
+    The weights of a sort sum to all its proposals, also where its sample is a part.
+    """
+    counts = descriptions(rows)
     total = counts.agg(F.sum("n0"), F.sum("n1")).first()
     x, y, weight = [], [], []
     for label, name in enumerate(("n0", "n1")):
@@ -365,8 +372,94 @@ def learning_sample(rows: DataFrame, sample_rows: int) -> tuple[np.ndarray, np.n
     return np.array(x, float).reshape(-1, FEATURES), np.array(y, bool), np.array(weight, float)
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """One row per document: (doc_id, spans), each (start, stop, kind, base)."""
+def with_held_out(counts: DataFrame) -> DataFrame:
+    """The descriptions that teach, with ``hold`` as :func:`held_out` says it, in the order of a hash.
+
+    The rank in a sort is taken within intervals of the hash; earlier intervals add their rows.
+    """
+    sort = F.when(F.col("n0") > 0, 1).otherwise(0) + F.when(F.col("n1") > 0, 2).otherwise(0)
+    rows = counts.withColumn("sort", sort).where("sort > 0").withColumn("h", F.xxhash64("x"))
+    intervals = rows.count() // ROWS_PER_INTERVAL + 1
+    rows = rows.withColumn("part", F.floor((F.col("h").cast("double") + 2.0**63) / (2.0**64 / intervals)))
+    sizes = rows.groupBy("sort", "part").agg(F.count(F.lit(1)).alias("n"))
+    # a row per interval of a sort
+    earlier = Window.partitionBy("sort").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("sort", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("sort", "part").orderBy("h", "x")
+    ranked = rows.withColumn("rank", F.row_number().over(inside) - 1).join(offsets, ["sort", "part"])
+    return ranked.select("x", "n0", "n1", ((F.col("before") + F.col("rank")) % 4 == 1).alias("hold"))
+
+
+def cuts_of(train: DataFrame) -> list[np.ndarray]:
+    """Quantile cuts of every feature; a description counts once for each label it has."""
+    times = F.when(F.col("n0") > 0, 1).otherwise(0) + F.when(F.col("n1") > 0, 1).otherwise(0)
+    values = train.select(times.alias("times"), F.posexplode("x").alias("f", "v"))
+    values = values.select("f", F.col("v").cast("double").alias("v"), "times")
+    names = {f"q{i}": q for i, q in enumerate(boosting.quantile_steps())}
+    found = percentiles_of(running_totals(values, ["f"], "v", {"n": F.col("times")}), ["f"], "v", names)
+    # a row per feature
+    at = {r.f: [r[q] for q in names] for r in found.collect()}
+    return [np.unique(at[f]) for f in range(FEATURES)]
+
+
+def thresholds_of(held: DataFrame, model: boosting.Boosted, precision: float) -> np.ndarray:
+    """:func:`threshold` of every family over the rows (x, n0, n1), as running totals over the probabilities."""
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column(0).to_pylist(), float).reshape(-1, FEATURES)
+            family = x[:, : len(FAMILIES)].argmax(1).astype(np.int32)
+            yield pa.record_batch(
+                [pa.array(family), pa.array(-model.predict(x)), *batch.columns[1:]], ["family", "q", "n0", "n1"]
+            )
+
+    rows = held.select("x", "n0", "n1").mapInArrow(judged, "family int, q double, n0 long, n1 long")
+    both = rows.select(F.explode(F.array(F.lit(-1), "family")).alias("family"), "q", "n0", "n1")
+    both = stored(both.groupBy("family", "q").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "judged", compact=True)
+    # the surest first: q is the probability below zero
+    totals = running_totals(both, ["family"], "q", {"n0": F.col("n0"), "n1": F.col("n1")})
+    good = F.col("before_n1") + F.col("n1")
+    totals = totals.withColumn("share", good / (good + F.col("before_n0") + F.col("n0"))).withColumn("over", F.col("q") <= -0.5)
+    found = totals.groupBy("family").agg(
+        F.max(F.when(F.col("over"), F.struct("q", "share")))["share"].alias("whole"),
+        F.max(F.when(F.col("over") & (F.col("share") >= precision), F.col("q"))).alias("q"),
+        F.first((F.col("total_n0") > 0) & (F.col("total_n1") > 0)).alias("two"),
+    )
+    least = {}
+    for r in found.collect():
+        enough = r.whole is None or r.whole >= precision
+        least[r.family] = (0.5 if enough else 2.0 if r.q is None else -r.q, r.two)
+    return np.array([least[i][0] if least.get(i, (0, False))[1] else least[-1][0] for i in range(len(FAMILIES))])
+
+
+def learn(rows: DataFrame, precision: float = PRECISION) -> tuple[boosting.Boosted | None, np.ndarray, bool]:
+    """:func:`fit` over every distinct description, and whether there was anything to learn from."""
+    known = stored(with_held_out(descriptions(rows)), "lessons", compact=True)
+    sorts = known.groupBy("hold").agg(F.max("n0").alias("n0"), F.max("n1").alias("n1")).collect()
+    if len(sorts) < 2 or any(r.n0 == 0 or r.n1 == 0 for r in sorts):
+        return None, np.full(len(FAMILIES), 2.0), bool(sorts)
+    train = known.where("NOT hold")
+    cuts = cuts_of(train)
+
+    def in_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column(0).to_pylist(), float).reshape(-1, FEATURES)
+            bins = [b.tobytes() for b in boosting.binned(x, cuts).astype(np.uint8)]
+            yield pa.record_batch([pa.array(bins, pa.binary()), *batch.columns[1:]], ["bins", "n0", "n1"])
+
+    # rows of equal bins are one row to the trees
+    table = train.select("x", "n0", "n1").mapInArrow(in_bins, "bins binary, n0 long, n1 long")
+    table = table.groupBy("bins").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).sortWithinPartitions("bins")
+    model = boosting.fit_counts(stored(table, "bins", compact=True), cuts)
+    return model, thresholds_of(known.where("hold"), model, precision), True
+
+
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int | None = None) -> DataFrame:
+    """One row per document: (doc_id, spans), each (start, stop, kind, base).
+
+    ``sample_rows`` bounds the distinct descriptions of each sort that are learnt from;
+    without it all are.
+    """
     id_type = docs.schema[id_col].dataType
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,9 +470,12 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sam
 
     out_type = T.StructType([T.StructField("doc_id", id_type), T.StructField("found", T.ArrayType(SPAN))])
     rows = stored(texts(docs, id_col, text_col).mapInArrow(propose, out_type), "proposals")
-    x, y, weight = learning_sample(rows, sample_rows)
-    model, thresholds = fit(x, y, weight)
-    if model is None and len(y):
+    if sample_rows is None:
+        model, thresholds, met = learn(rows)
+    else:
+        x, y, weight = learning_sample(rows, sample_rows)
+        (model, thresholds), met = fit(x, y, weight), bool(len(y))
+    if model is None and met:
         warnings.warn("personal data: proposals do not suffice to learn from, no further spans", stacklevel=2)
 
     @F.pandas_udf("array<struct<start:int,stop:int,kind:string,base:boolean>>")

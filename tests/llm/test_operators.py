@@ -417,6 +417,29 @@ def test_personal_data_learns_from_distinct_descriptions(spark):
     assert all(any(s.kind == "email_text" for s in r.spans) for r in got)
 
 
+def test_personal_data_learns_from_every_description(spark, monkeypatch):
+    # more descriptions than one interval of the hash, and than a driver's sample would hold
+    monkeypatch.setattr(pii, "ROWS_PER_INTERVAL", 50)
+    found = proposals_of(spark, private_rows(random.Random(8)))
+    x, y, weight = pii.learning_sample(found, 10**6)
+    hold = pii.held_out(x, y)
+    known = pii.with_held_out(pii.descriptions(found)).collect()
+    assert {tuple(r.x): r.hold for r in known} == dict(zip(map(tuple, x.tolist()), hold.tolist()))
+    assert sum(r.n0 + r.n1 for r in known) == round(weight.sum())
+    want, least = pii.fit(x, y, weight)
+    model, thresholds, met = pii.learn(found)
+    assert met and all(np.array_equal(a, b) for a, b in zip(model.cuts, want.cuts))
+    assert np.allclose(model.predict(x), want.predict(x), atol=1e-9)
+    assert np.allclose(thresholds, least, atol=1e-9)
+
+
+def test_personal_data_query_reads_no_sample(spark, monkeypatch):
+    monkeypatch.setattr(pii, "learning_sample", None)
+    rows = private_rows(random.Random(5))
+    spans = {r.doc_id: r.spans for r in pii.scan(documents(spark, rows)).collect()}
+    assert [s.kind for s in spans[5002]] == ["phone_local"]
+
+
 def labelled(rng):
     """Texts with labels: bad ones shout the same lines, toxic ones hold one of a few words."""
     docs, labels = [], []
