@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskloom.llm.common import in_slices, stored, texts, tidy
+from riskloom.llm.common import give_back, in_slices, stored, texts, tidy
 
 HEAD_WORDS = 200_000
 WORDS_HELD = 250_000
@@ -42,8 +42,7 @@ CLOSING = ".,!?;:"
 CONTROLS = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space as well
 
 
-@functools.lru_cache(maxsize=2)
-def tokenizer(path: str):
+def loaded(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -53,6 +52,11 @@ def tokenizer(path: str):
     return tok
 
 
+@functools.lru_cache(maxsize=2)
+def tokenizer(path: str):
+    return loaded(path)
+
+
 def split_words(text: str) -> list[str]:
     """Parts of a text whose ids, one after the other, are the ids of the text.
 
@@ -167,17 +171,23 @@ def word_table(rows: DataFrame, path: str, head: int) -> pa.Table:
     return frequent.withColumn("ids", encoded("word")).orderBy(F.desc("n"), "word").toArrow()
 
 
+@functools.lru_cache(maxsize=2)
+def joined_pieces(path: str) -> str:
+    """The vocabulary in the order of its ids; the tokenizer itself does not stay on the driver."""
+    vocab = loaded(path).get_vocab(with_added_tokens=True)
+    pieces = [""] * (max(vocab.values(), default=-1) + 1)
+    for piece, number in vocab.items():
+        pieces[number] = piece
+    return "\0".join(pieces)
+
+
 def decoded(ids: Column, path: str) -> Column:
     """The pieces of an id array joined by a space, as a tokenizer without decoder does.
 
     The join of ids with pieces is a lookup in the vocabulary, which every task gets as
     one literal array; the vocabulary file bounds its size.
     """
-    vocab = tokenizer(path).get_vocab(with_added_tokens=True)
-    pieces = [""] * (max(vocab.values(), default=-1) + 1)
-    for piece, number in vocab.items():
-        pieces[number] = piece
-    table = F.split(F.lit("\0".join(pieces)), "\0")
+    table = F.split(F.lit(joined_pieces(path)), "\0")
     return F.array_join(F.transform(ids, lambda i: F.get(table, i)), " ")
 
 
@@ -285,6 +295,8 @@ def encode(
     shared = spark.sparkContext.broadcast(sink.getvalue().to_pybytes())
     examples = example_bodies(np.asarray(arrow["n"].to_pylist(), float))
     trained = zstandard.train_dictionary(1 << 15, examples).as_bytes() if len(arrow) > 1000 else b""
+    del arrow, sink, writer, examples
+    give_back()
 
     @tidy
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import LOWER, UPPER, bit_set, let, might_hold, row_key, stored, unused
+from riskloom.llm.common import LOWER, UPPER, bit_set, let, might_hold, row_key, stored, stored_bits, unused
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -182,6 +182,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     bad = stored(bad.select(F.col("key").alias(held)).distinct(), "contaminated")
     rows = docs.withColumn(held, key)
     # only texts whose key is listed, and the few that look so, are shuffled
-    touched = might_hold(F.col(held)["a"], bit_set(bad.select(F.col(held)["a"].alias("h"))))
+    touched = might_hold(F.col(held)["a"], stored_bits(bad.select(F.col(held)["a"].alias("h"))))
     left = rows.where(touched).join(bad, held, "left_anti")
     return rows.where(~touched).unionByName(left).select(docs.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import (
     bpe,
+    common,
     decontaminate,
     embedding_dedup,
     langid,
@@ -440,6 +441,29 @@ def test_personal_data_query_reads_no_sample(spark, monkeypatch):
     assert [s.kind for s in spans[5002]] == ["phone_local"]
 
 
+def test_bit_sets_stay_out_of_plans(spark):
+    hashes = spark.range(0, 4000, 40).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(5000).withColumn("h", F.xxhash64("id"))
+    by_row, literal = common.stored_bits(hashes, 10), common.bit_set(hashes, 10)
+    held = rows.select("id", common.might_hold(F.col("h"), by_row, 10).alias("a"), common.might_hold(F.col("h"), literal, 10).alias("b"))
+    got = held.collect()
+    assert all(r.a == r.b for r in got) and all(r.a for r in got if r.id < 4000 and r.id % 40 == 0)
+    assert 0 < sum(r.a for r in got) < 1000
+    none = common.stored_bits(hashes.limit(0), 10)
+    assert rows.where(common.might_hold(F.col("h"), none, 10)).count() == 0
+
+
+def test_plans_of_the_pipeline_hold_no_bit_set(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = documents(spark, [(1, text), (2, text), (3, "other words " * 20)])
+    items = spark.createDataFrame([("i", text)], "item_id string, text string")
+    for rows in (decontaminate.drop_contaminated(docs, items), minhash.one_of_each(docs)):
+        # a bit set alone takes 131,072 characters
+        assert len(rows._jdf.queryExecution().toString()) < 100_000
+    assert [r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()] == [3]
+    assert sorted(r.doc_id for r in minhash.one_of_each(docs).collect()) == [1, 3]
+
+
 def labelled(rng):
     """Texts with labels: bad ones shout the same lines, toxic ones hold one of a few words."""
     docs, labels = [], []
