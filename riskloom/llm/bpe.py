@@ -132,7 +132,8 @@ def encode_words(path: str, words: list[str]) -> tuple[list[str], np.ndarray, np
     plain = list(set(words).difference(others))
     for at in range(0, len(plain), 500):
         some = plain[at : at + 500]
-        ids = np.array(tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+        # the fast form leaves out the places of the ids in the text
+        ids = np.array(tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
         stops = np.flatnonzero(ends[ids]) + 1
         if len(stops) == len(some) and stops[-1] == len(ids):
             order += some
@@ -140,7 +141,7 @@ def encode_words(path: str, words: list[str]) -> tuple[list[str], np.ndarray, np
             lengths.append(np.diff(stops, prepend=0))
         else:
             others += some
-    done = [e.ids for e in tok.encode_batch(others, add_special_tokens=False)]
+    done = [e.ids for e in tok.encode_batch_fast(others, add_special_tokens=False)]
     lengths.append(np.fromiter(map(len, done), np.int64, len(done)))
     flat.append(np.array([i for ids in done for i in ids], np.uint32))
     return order + others, np.concatenate(lengths), np.concatenate(flat)

@@ -21,7 +21,6 @@ Further columns are not read.
 from __future__ import annotations
 
 import functools
-import re
 import struct
 from collections.abc import Iterator
 
@@ -66,7 +65,9 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST, rounds: int = ROUND
     for _ in range(rounds):
         if len(seq) < 2:
             break
-        pair = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+        # symbols of 16 bits make pairs of 32, which sort and spread faster
+        kind, half = (np.uint32, 16) if int(seq.max()) < 1 << 16 else (np.uint64, 32)
+        pair = seq[:-1].astype(kind) << kind(half) | seq[1:]
         ordered = np.sort(pair)
         at = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(ordered)]])
         count = np.diff(at)
@@ -88,12 +89,14 @@ def grammar(ids: np.ndarray, first: int, least: int = LEAST, rounds: int = ROUND
         if not len(place):
             break
         # a pair that has a rule already keeps it
+        left, right = (wanted >> kind(half)).astype(np.uint64), (wanted & kind((1 << half) - 1)).astype(np.uint64)
+        wanted = left << np.uint64(32) | right
         known = np.searchsorted(keys, wanted)
         old = used & (np.append(keys, 0)[known] == wanted)
         fresh = used & ~old
         number = np.cumsum(fresh) - 1 + n_rules
         number[old] = owner[known[old]]
-        new = np.stack([wanted[fresh] >> np.uint64(32), wanted[fresh] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        new = np.stack([left[fresh], right[fresh]], axis=1).astype(np.uint32)
         sizes = np.where(new < first, 1, 0).astype(np.int64)
         deep = new >= first
         sizes[deep] = lengths[new[deep] - first]
@@ -117,17 +120,34 @@ def _ranks(pair: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     A hash table with one place a slot; of pairs that share a slot the first one stays.
     """
     bits = max(10, len(wanted).bit_length() + 3)
-    spread, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
+    kind = pair.dtype.type
+    spread = kind(0x9E3779B1 if kind is np.uint32 else 0x9E3779B97F4A7C15)
+    shift = kind(8 * pair.itemsize - bits)
     slot = (wanted * spread) >> shift
     table = np.full(1 << bits, len(wanted), np.int32)
     table[slot[::-1]] = np.arange(len(wanted), dtype=np.int32)[::-1]
-    held = np.append(wanted, 0)[table]
-    mine = (pair * spread) >> shift
-    return np.where(held[mine] == pair, table[mine], np.int32(len(wanted)))
+    held = np.append(wanted, kind(0))[table]
+    mine = ((pair * spread) >> shift).astype(np.intp)
+    out = table.take(mine)
+    out[held.take(mine) != pair] = len(wanted)
+    return out
 
 
 def expanded(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
-    """The ids of a sequence of symbols; one pass for each level of the grammar."""
+    """The ids of a sequence of symbols.
+
+    A short sequence takes one pass for each level of the grammar; for a long one the rules
+    are expanded that way and the symbols looked up.
+    """
+    if len(rules) and len(seq) > 4 * len(rules):
+        flat = np.concatenate([np.arange(first, dtype=np.uint32), expanded(rules.reshape(-1), rules, first)])
+        length = np.ones(first + len(rules), np.int64)
+        while True:
+            longer = length[rules].sum(axis=1)
+            if (longer == length[first:]).all():
+                break
+            length[first:] = longer
+        return gathered(flat, length, seq)[0].astype(np.uint32, copy=False)
     out = seq
     while True:
         deep = out >= first
@@ -142,6 +162,19 @@ def expanded(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
         out = longer
 
 
+def gathered(flat: np.ndarray, length: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` with these numbers end to end, and where each one ends; run after
+    run ``flat`` holds ``length`` entries."""
+    each = length[numbers]
+    size = int(each.sum())
+    kind = np.int32 if max(size, len(flat)) < 1 << 31 else np.int64
+    start, each = (np.cumsum(length) - length).astype(kind), each.astype(kind, copy=False)
+    stop = np.cumsum(each, dtype=kind)
+    place = np.repeat(start[numbers] - (stop - each), each)
+    place += np.arange(size, dtype=kind)
+    return flat.take(place), stop
+
+
 def packed(ids: np.ndarray, first: int) -> bytes:
     """The file of a shard."""
     rules, lengths, seq = grammar(ids, first)
@@ -181,7 +214,35 @@ def ids_between(raw: bytes, low: int, high: int) -> np.ndarray:
 # --- encoding -------------------------------------------------------------------------
 
 
-BEFORE_CLOSING = re.compile("([0-9a-z\xdf-\xf6\xf8-\xff])([.,!?;:])")
+def _table(*values: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+CLOSES = _table(*b".,!?;:")
+BEFORE_CLOSING = _table(*b"0123456789abcdefghijklmnopqrstuvwxyz")
+# second bytes of the small Latin-1 letters from \xdf on, all but \xf7
+LATIN_BYTE = _table(*range(0x9F, 0xB7), *range(0xB8, 0xC0))
+
+
+def _apart(ready: pa.StringArray, plain: list[bool]) -> pa.StringArray:
+    """A space between a small Latin-1 letter or a digit and closing punctuation after it, in
+    the ``plain`` texts. One may also come at an end of a text, where it changes no word."""
+    _, offsets, data = ready.buffers()
+    if data is None or not data.size:
+        return ready
+    bounds = np.frombuffer(offsets, np.int32, len(ready) + 1)
+    raw = np.frombuffer(data, np.uint8, int(bounds[-1]))
+    at = np.flatnonzero(CLOSES[raw[1:]]) + 1
+    before = raw[at - 1]
+    at = at[BEFORE_CLOSING[before] | LATIN_BYTE[before] & (raw[at - 2] == 0xC3)]
+    if not all(plain):
+        at = at[np.array(plain)[np.searchsorted(bounds, at, "right") - 1]]
+    moved = (bounds + np.searchsorted(at, bounds)).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.string(), len(ready), [None, pa.py_buffer(moved), pa.py_buffer(np.insert(raw, at, 32))]
+    )
 
 
 def cut(some: list[str]) -> pa.ListArray:
@@ -191,11 +252,12 @@ def cut(some: list[str]) -> pa.ListArray:
     tokens is lower-cased, as the tokenizer does next, and closing punctuation leaves the
     letter or digit before it, where the tokenizer parts them anyway.
     """
-    ready = [t if "<|" in t or not is_latin(t) else BEFORE_CLOSING.sub(r"\1 \2", t.lower()) for t in some]
-    if any(c in t for t in ready for c in CONTROLS):
+    plain = ["<|" not in t and is_latin(t) for t in some]
+    ready = _apart(pa.array([t.lower() if p else t for t, p in zip(some, plain)], pa.string()), plain)
+    if any(c in t for t in some for c in CONTROLS):
         # these four are space for the library of arrays, not for the tokenizer
-        return pa.array([[p for p in SPACE.split(t) if p] for t in ready], pa.list_(pa.string()))
-    split = pc.utf8_split_whitespace(pa.array(ready, pa.string()))
+        return pa.array([[p for p in SPACE.split(t) if p] for t in ready.to_pylist()], pa.list_(pa.string()))
+    split = pc.utf8_split_whitespace(ready)
     words = split.flatten()
     filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
     at = np.concatenate([[0], np.cumsum(filled)])[split.offsets.to_numpy()]
@@ -235,15 +297,12 @@ class WordIds:
             self._learn(unseen)
         flat, length = np.concatenate(self.flat), np.concatenate(self.length)
         self.flat, self.length = [flat], [length]
-        start = np.cumsum(length) - length
-        own = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        own = np.fromiter(map(self.number.__getitem__, words), np.int32, len(words))
         size = lists.value_lengths().to_numpy()
-        n = np.zeros(len(coded) + len(size), np.int64)  # number 0, the end id, closes every text
+        n = np.zeros(len(coded) + len(size), np.int32)  # number 0, the end id, closes every text
         n[np.arange(len(coded)) + np.repeat(np.arange(len(size)), size)] = own[coded.indices.to_numpy()]
-        each = length[n]
-        total = np.cumsum(each)
-        place = np.arange(int(total[-1])) + np.repeat(start[n] - (total - each), each)
-        return flat[place], np.diff(total[np.cumsum(size + 1) - 1], prepend=0)
+        ids, stop = gathered(flat, length, n)
+        return ids, np.diff(stop[np.cumsum(size + 1) - 1], prepend=0).astype(np.int64)
 
 
 @functools.lru_cache(maxsize=1)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from riskloom.llm import token_files
-from riskloom.llm.bpe import tokenizer
+from riskloom.llm.bpe import SPACE, is_latin, tokenizer
 from riskloom.plans.lineage import scratch_path
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -98,3 +99,36 @@ def test_words_held_are_bounded(monkeypatch):
     for text in ("one two three four five", "six seven", "one two", ""):
         assert words.encoded([text])[0].tolist() == library(text)
     assert len(words.number) <= 3 + 2
+
+
+LETTERS = "ab9Z_\xdf\xf7\xf6\xe9\x20\xb5\xb2\xf1.,!?;:'-<|\x1cx\n"
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from(LETTERS), max_size=30), max_size=6))
+def test_parts_of_texts(texts):
+    """The parts are those of a pattern run over each text, but for white space the tokenizer drops."""
+    closing = re.compile("([0-9a-z\xdf-\xf6\xf8-\xff])([.,!?;:])")
+
+    def parts(text):
+        if "<|" not in text and is_latin(text):
+            text = closing.sub(r"\1 \2", text.lower())
+        return [w for w in SPACE.split(text) if w]
+
+    got = [[w for part in some for w in SPACE.split(part) if w] for some in token_files.cut(texts).to_pylist()]
+    assert got == [parts(t) for t in texts]
+
+
+def test_long_sequences_look_rules_up():
+    """A sequence longer than its rules is expanded by one lookup per symbol."""
+    rng = np.random.default_rng(5)
+    ids = np.tile(rng.integers(0, 50, 300), 40).astype(np.uint32)
+    ids[rng.integers(0, len(ids), 900)] = 7
+    rules, lengths, seq = token_files.grammar(ids, 50)
+    body = [token_files.expanded(rule, rules, 50) for rule in rules]
+    assert [len(b) for b in body] == lengths.tolist()
+    long = np.tile(seq, 5 + 4 * len(rules) // len(seq))
+    flat = np.concatenate([body[s - 50] if s >= 50 else [s] for s in long.tolist()])
+    assert len(long) > 4 * len(rules) and token_files.expanded(long, rules, 50).tolist() == flat.tolist()
+    flat, stop = token_files.gathered(np.array([5, 6, 7, 8], np.uint32), np.array([2, 0, 1, 1]), np.array([2, 0, 1, 0]))
+    assert flat.tolist() == [7, 5, 6, 5, 6] and stop.tolist() == [1, 3, 3, 5]
