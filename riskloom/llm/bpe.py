@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,6 @@ from riskloom.llm.common import give_back, in_slices, stored, texts, tidy
 HEAD_WORDS = 200_000
 WORDS_HELD = 250_000
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-CLOSING = ".,!?;:"
 CONTROLS = "\x1c\x1d\x1e\x1f"  # str.split() takes these for space as well
 
 
@@ -57,28 +57,6 @@ def tokenizer(path: str):
     return loaded(path)
 
 
-def split_words(text: str) -> list[str]:
-    """Parts of a text whose ids, one after the other, are the ids of the text.
-
-    Texts of Latin-1 characters are lower-cased, which the tokenizer would do next, and
-    closing punctuation leaves a word of letters, where the tokenizer parts them anyway.
-    Any other text, and one that may hold special tokens, is only cut at white space.
-    """
-    if any(c in text for c in CONTROLS):
-        return [w for w in SPACE.split(text) if w]
-    if "<|" in text or not is_latin(text):
-        return text.split()
-    out = []
-    for word in text.lower().split():
-        if not word.isalpha():
-            core = word.rstrip(CLOSING)
-            if core != word and core.isalpha():
-                out.append(core)
-                word = word[len(core) :]
-        out.append(word)
-    return out
-
-
 def is_latin(text: str) -> bool:
     try:
         text.encode("latin-1")
@@ -87,9 +65,66 @@ def is_latin(text: str) -> bool:
     return True
 
 
+def _table(*values: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+CLOSES = _table(*b".,!?;:")
+BEFORE_CLOSING = _table(*b"0123456789abcdefghijklmnopqrstuvwxyz")
+# second bytes of the small Latin-1 letters from \xdf on, all but \xf7
+LATIN_BYTE = _table(*range(0x9F, 0xB7), *range(0xB8, 0xC0))
+
+
+def _apart(ready: pa.StringArray, plain: list[bool]) -> pa.StringArray:
+    """A space between a small Latin-1 letter or a digit and closing punctuation after it, in
+    the ``plain`` texts. One may also come at an end of a text, where it changes no word."""
+    _, offsets, data = ready.buffers()
+    if data is None or not data.size:
+        return ready
+    bounds = np.frombuffer(offsets, np.int32, len(ready) + 1)
+    raw = np.frombuffer(data, np.uint8, int(bounds[-1]))
+    at = np.flatnonzero(CLOSES[raw[1:]]) + 1
+    before = raw[at - 1]
+    at = at[BEFORE_CLOSING[before] | LATIN_BYTE[before] & (raw[at - 2] == 0xC3)]
+    if not all(plain):
+        at = at[np.array(plain)[np.searchsorted(bounds, at, "right") - 1]]
+    moved = (bounds + np.searchsorted(at, bounds)).astype(np.int32)
+    # built by the library itself: its readers look past the end of a buffer of others
+    data = pa.array([np.insert(raw, at, 32).tobytes()], pa.binary()).buffers()[2]
+    return pa.Array.from_buffers(pa.string(), len(ready), [None, pa.py_buffer(moved), data])
+
+
+def cut(some: list[str]) -> pa.ListArray:
+    """Parts of each text whose ids, one after the other, are the ids of the text.
+
+    Any text may be cut at white space. A text of Latin-1 characters without special
+    tokens is lower-cased, as the tokenizer does next, and closing punctuation leaves the
+    letter or digit before it, where the tokenizer parts them anyway.
+    """
+    plain = ["<|" not in t and is_latin(t) for t in some]
+    ready = _apart(pa.array([t.lower() if p else t for t, p in zip(some, plain)], pa.string()), plain)
+    split = pc.utf8_split_whitespace(ready)
+    words = split.flatten()
+    filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+    at = np.concatenate([[0], np.cumsum(filled)])[split.offsets.to_numpy()]
+    lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), words.filter(pa.array(filled)))
+    # these four are space for the library of arrays, not for the tokenizer; a text has the
+    # same parts whatever texts come with it
+    odd = {i for i, t in enumerate(some) if any(c in t for c in CONTROLS)}
+    if odd:
+        parts = lists.to_pylist()
+        for i in odd:
+            parts[i] = [w for w in SPACE.split(ready[i].as_py()) if w]
+        return pa.array(parts, pa.list_(pa.string()))
+    return lists
+
+
 @tidy
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n) for the words met twice or more; at most ``WORDS_HELD`` are held at a time."""
+    """(word, n) for the words met twice or more; at most ``WORDS_HELD`` and those of a slice
+    are held at a time."""
     held: dict[str, int] = {}
 
     def flush() -> pa.RecordBatch:
@@ -99,11 +134,13 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in in_slices(batches):
-        for text in batch.column(0).to_pylist():
-            for word in split_words(text):
-                held[word] = held.get(word, 0) + 1
-            if len(held) >= WORDS_HELD:
-                yield flush()
+        coded = cut(batch.column(0).to_pylist()).flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        counts = np.bincount(coded.indices.to_numpy(), minlength=len(words)).tolist()
+        for word, n in zip(words, counts):
+            held[word] = held.get(word, 0) + n
+        if len(held) >= WORDS_HELD:
+            yield flush()
     if held:
         yield flush()
 
@@ -213,7 +250,7 @@ class Head:
         self.words = rows["word"]
         self.size = len(rows)
         ids = rows["ids"].to_pylist()
-        lengths = np.fromiter((len(x) // 4 for x in ids), np.int64, self.size)
+        lengths = np.fromiter(map(len, ids), np.int64, self.size) // 4
         self.flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
         self.length = np.concatenate([lengths, [0]])
         self.start = np.concatenate([np.cumsum(lengths) - lengths, [0]])
@@ -222,6 +259,15 @@ class Head:
     def number(self) -> dict[str, int]:
         return {w: i for i, w in enumerate(self.words.to_pylist())}
 
+    def numbered(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, pa.DictionaryArray]:
+        """The numbers of the words of the texts (``size`` for any other word), the bounds of
+        the texts in them, and the words."""
+        lists = cut(some)
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        own = np.fromiter((self.number.get(w, self.size) for w in words), np.int64, len(words))
+        return own[coded.indices.to_numpy()], lists.offsets.to_numpy(), coded
+
 
 DIRECT = 128
 
@@ -301,17 +347,17 @@ def encode(
 
     @tidy
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Head(shared.value).number
+        known = Head(shared.value)
         for batch in in_slices(batches):
-            a, b, text = (batch.column(i).to_pylist() for i in range(3))
-            out = ([], [], [], [])
-            for ka, kb, t in zip(a, b, text):
-                for pos, word in enumerate(split_words(t)):
-                    if word not in number:
-                        for column, value in zip(out, (ka, kb, pos, word)):
-                            column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.string())
-            yield pa.record_batch([pa.array(x, k) for x, k in zip(out, kinds)], ["a", "b", "pos", "word"])
+            numbers, bounds, coded = known.numbered(batch.column(2).to_pylist())
+            at = np.flatnonzero(numbers == known.size)
+            row = np.searchsorted(bounds, at, "right") - 1
+            own = pa.array(row)
+            words = coded.dictionary.take(coded.indices.take(pa.array(at)))
+            pos = pa.array((at - bounds[row]).astype(np.int32))
+            yield pa.record_batch(
+                [batch.column(0).take(own), batch.column(1).take(own), pos, words], ["a", "b", "pos", "word"]
+            )
 
     @tidy
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,11 +377,8 @@ def encode(
         pack = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(trained)).compress
         known = Head(shared.value)
         for batch in in_slices(batches):
-            bodies = []
-            for text in batch.column(3).to_pylist():
-                words = split_words(text)
-                n = np.fromiter((known.number.get(w, known.size) for w in words), np.int64, len(words))
-                bodies.append(pack(pack_numbers(n)))
+            numbers, bounds, _ = known.numbered(batch.column(3).to_pylist())
+            bodies = [pack(pack_numbers(numbers[low:high])) for low, high in zip(bounds[:-1], bounds[1:])]
             whole = pa.array(np.full(batch.num_rows, -1, np.int32))
             yield pa.record_batch(
                 [*batch.columns[:3], whole, pa.array(bodies, pa.binary())], ["doc_id", "a", "b", "pos", "data"]

@@ -26,14 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from riskloom.llm.bpe import CONTROLS, SPACE, encode_words, ends_of_words, is_latin
+from riskloom.llm.bpe import cut, encode_words, ends_of_words
 from riskloom.llm.common import texts
 
 MAGIC = b"RPG1"
@@ -214,56 +213,6 @@ def ids_between(raw: bytes, low: int, high: int) -> np.ndarray:
 # --- encoding -------------------------------------------------------------------------
 
 
-def _table(*values: int) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(values)] = True
-    return out
-
-
-CLOSES = _table(*b".,!?;:")
-BEFORE_CLOSING = _table(*b"0123456789abcdefghijklmnopqrstuvwxyz")
-# second bytes of the small Latin-1 letters from \xdf on, all but \xf7
-LATIN_BYTE = _table(*range(0x9F, 0xB7), *range(0xB8, 0xC0))
-
-
-def _apart(ready: pa.StringArray, plain: list[bool]) -> pa.StringArray:
-    """A space between a small Latin-1 letter or a digit and closing punctuation after it, in
-    the ``plain`` texts. One may also come at an end of a text, where it changes no word."""
-    _, offsets, data = ready.buffers()
-    if data is None or not data.size:
-        return ready
-    bounds = np.frombuffer(offsets, np.int32, len(ready) + 1)
-    raw = np.frombuffer(data, np.uint8, int(bounds[-1]))
-    at = np.flatnonzero(CLOSES[raw[1:]]) + 1
-    before = raw[at - 1]
-    at = at[BEFORE_CLOSING[before] | LATIN_BYTE[before] & (raw[at - 2] == 0xC3)]
-    if not all(plain):
-        at = at[np.array(plain)[np.searchsorted(bounds, at, "right") - 1]]
-    moved = (bounds + np.searchsorted(at, bounds)).astype(np.int32)
-    return pa.Array.from_buffers(
-        pa.string(), len(ready), [None, pa.py_buffer(moved), pa.py_buffer(np.insert(raw, at, 32))]
-    )
-
-
-def cut(some: list[str]) -> pa.ListArray:
-    """Parts of each text whose ids, one after the other, are the ids of the text.
-
-    Any text may be cut at white space. A text of Latin-1 characters without special
-    tokens is lower-cased, as the tokenizer does next, and closing punctuation leaves the
-    letter or digit before it, where the tokenizer parts them anyway.
-    """
-    plain = ["<|" not in t and is_latin(t) for t in some]
-    ready = _apart(pa.array([t.lower() if p else t for t, p in zip(some, plain)], pa.string()), plain)
-    if any(c in t for t in some for c in CONTROLS):
-        # these four are space for the library of arrays, not for the tokenizer
-        return pa.array([[p for p in SPACE.split(t) if p] for t in ready.to_pylist()], pa.list_(pa.string()))
-    split = pc.utf8_split_whitespace(ready)
-    words = split.flatten()
-    filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
-    at = np.concatenate([[0], np.cumsum(filled)])[split.offsets.to_numpy()]
-    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), words.filter(pa.array(filled)))
-
-
 class WordIds:
     """Ids of the parts of texts, each kept once in a worker; ``WORDS_HELD`` bounds them."""
 

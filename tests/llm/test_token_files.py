@@ -132,3 +132,9 @@ def test_long_sequences_look_rules_up():
     assert len(long) > 4 * len(rules) and token_files.expanded(long, rules, 50).tolist() == flat.tolist()
     flat, stop = token_files.gathered(np.array([5, 6, 7, 8], np.uint32), np.array([2, 0, 1, 1]), np.array([2, 0, 1, 0]))
     assert flat.tolist() == [7, 5, 6, 5, 6] and stop.tolist() == [1, 3, 3, 5]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(st.sampled_from(LETTERS + "\xa0\x85​"), max_size=20), max_size=5))
+def test_parts_do_not_depend_on_the_other_texts(texts):
+    assert token_files.cut(texts).to_pylist() == [token_files.cut([t]).to_pylist()[0] for t in texts]
