@@ -191,6 +191,39 @@ def test_seeds_side_by_side_equal_one_after_another(spark, planted):
         training.run_seeds(rows, FEATURES, "SK_ID_CURR", build, 3, [1, 1])
 
 
+def test_seeds_fit_folds_side_by_side_where_partitions_are_few(spark, planted, monkeypatch):
+    rows = folds.stratified_folds(planted, "SK_ID_CURR", "TARGET", 3)
+    rows = training.prepare(rows, FEATURES, "SK_ID_CURR", "TARGET").coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert training.folds_at_once(rows, 5, 1) == min(5, 2 * cores)
+    assert training.folds_at_once(rows.repartition(2 * cores), 5, 3) == 1
+    asked, plain = [], training.concurrently
+
+    def noted(session, tasks, parallel):
+        asked.append((len(tasks), parallel))
+        return plain(session, tasks, parallel)
+
+    def build(seed):
+        return training.forest(trees=2, max_depth=2, min_rows=5, seed=seed)
+
+    monkeypatch.setattr(training, "concurrently", noted)
+    training.run_seeds(rows, FEATURES, "SK_ID_CURR", build, 3, [1, 2], parallel=2)
+    assert sorted(asked) == [(2, 2), (3, min(3, cores)), (3, min(3, cores))]
+    asked.clear()
+    training.run_seeds(rows, FEATURES, "SK_ID_CURR", build, 3, [1, 2], parallel=1)
+    assert sorted(asked) == [(2, 1), (3, 1), (3, 1)]
+
+
+def test_forest_keeps_the_nodes_of_rows_and_grows_the_same_trees(spark, planted):
+    rows = folds.stratified_folds(planted, "SK_ID_CURR", "TARGET", 3)
+    rows = training.prepare(rows, FEATURES, "SK_ID_CURR", "TARGET")
+    build = training.forest(trees=5, max_depth=4, min_rows=5)
+    assert build().getCacheNodeIds()
+    kept, walked = build().fit(rows), build().setCacheNodeIds(False).fit(rows)
+    assert [t.toDebugString.split("\n")[1:] for t in kept.trees] == [t.toDebugString.split("\n")[1:] for t in walked.trees]
+    assert kept.totalNumNodes > 5
+
+
 def test_concurrent_tasks_keep_order_and_raise(spark):
     from riskloom.plans.concurrent import concurrently
 
