@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -20,6 +21,7 @@ from riskloom.llm import (
     minhash,
     pii,
     quality,
+    queries,
     secret_scan,
     suffix_dedup,
     toxicity,
@@ -128,6 +130,24 @@ def test_repeated_bytes(spark, bucket_bytes):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_passages_count_from_400_bytes(spark, tmp_path):
+    """Passages of over 50 words in two documents each: removed from 400 bytes on, kept below."""
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i, size in enumerate((330, 394, 399, 400, 401, 900)):
+        passage = " ".join(f"{rng.randrange(10**5):05}" for _ in range(size // 6 + 1))[:size]
+        assert len(passage) == size and len(passage.split()) > 50
+        for doc_id, (before, after) in ((10 + i, "AB"), (20 + i, "CD")):
+            outside = prose(rng, 90, 10**6) + before, after + prose(rng, 90, 10**6)
+            rows.append((doc_id, passage.join(outside)))
+            n = size if size >= 400 else 0
+            kept = "".join(outside) if n else rows[-1][1]
+            want[doc_id] = (len(rows[-1][1]), n, int(n > 0), hashlib.sha256(kept.encode()).hexdigest())
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op2_suffix_dedup"](spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
 def test_index_of_repeats():
     rng = np.random.default_rng(0)
     for length in (8, 13, 40):
